@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from meterline.functions.reuse import per_application
+
 # ---------------------------------------------------------------------------
 # These labels, codes and band edges must equal the source's
 # data dictionary exactly, in this order.
@@ -75,27 +77,37 @@ def code_label(code: Column, labels: dict, default: str | None = None) -> Column
     return expr.otherwise(F.lit(default).cast("string"))
 
 
-def ratecode_label(code: Column) -> Column:
-    return code_label(code, RATECODE_LABELS, RATECODE_DEFAULT)
+# The label columns below take the NAME of the code column and are built once
+# per application (see ``functions.reuse``).
+
+@per_application
+def ratecode_label(column: str = "RatecodeID") -> Column:
+    return code_label(F.col(column), RATECODE_LABELS, RATECODE_DEFAULT)
 
 
-def payment_label(code: Column) -> Column:
-    return code_label(code, PAYMENT_LABELS, PAYMENT_DEFAULT)
+@per_application
+def payment_label(column: str = "payment_type") -> Column:
+    return code_label(F.col(column), PAYMENT_LABELS, PAYMENT_DEFAULT)
 
 
-def vendor_label(code: Column) -> Column:
-    return code_label(code, VENDOR_LABELS, VENDOR_DEFAULT)
+@per_application
+def vendor_label(column: str = "VendorID") -> Column:
+    return code_label(F.col(column), VENDOR_LABELS, VENDOR_DEFAULT)
 
 
-def month_label(month_number: Column) -> Column:
-    return code_label(month_number, MONTH_LABELS, CALENDAR_DEFAULT)
+@per_application
+def month_label(column: str = "pickup_month") -> Column:
+    return code_label(F.col(column), MONTH_LABELS, CALENDAR_DEFAULT)
 
 
-def weekday_label(day_number: Column) -> Column:
-    return code_label(day_number, WEEKDAY_LABELS, CALENDAR_DEFAULT)
+@per_application
+def weekday_label(column: str = "pickup_day") -> Column:
+    return code_label(F.col(column), WEEKDAY_LABELS, CALENDAR_DEFAULT)
 
 
-def distance_band(distance: Column) -> Column:
+@per_application
+def distance_band(column: str = "trip_distance") -> Column:
+    distance = F.col(column)
     expr = None
     for edge, label in DISTANCE_BANDS:
         expr = F.when(distance <= edge, label) if expr is None else expr.when(distance <= edge, label)

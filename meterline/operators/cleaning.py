@@ -13,6 +13,7 @@ from meterline.functions import (
     rounded_minutes, vendor_label, weekday_label,
 )
 from meterline.functions.calendar import check_period
+from meterline.functions.reuse import per_application
 from meterline.functions.labels import UNKNOWN_ZONE
 from meterline.schema import CAST_TYPES, CLEAN_COLUMNS
 
@@ -38,11 +39,38 @@ FILL_VALUES = {
 # ---------------------------------------------------------------------------
 
 
+def filled(name: str, dtype: str) -> Column:
+    """Column ``name`` with its default filled in (NaN counts as missing in a
+    floating-point column, as ``fillna`` does)."""
+    c = F.col(name)
+    if name not in FILL_VALUES:
+        return c
+    if dtype in ("double", "float"):
+        return F.coalesce(F.nanvl(c, F.lit(None)), F.lit(float(FILL_VALUES[name])))
+    return F.coalesce(c, F.lit(FILL_VALUES[name]))
+
+
 def fill_missing(df: DataFrame) -> DataFrame:
     """Per-column defaults; a NaN in a double column is filled like a null."""
     return df.fillna(FILL_VALUES)
 
 
+def typed_columns(df: DataFrame, with_minutes: bool = True) -> list[Column]:
+    """fill -> cast (-> trip minutes) for every column of a raw frame, as ONE
+    projection list (one analyzer pass, one codegen'd Project)."""
+    return _typed_columns(tuple(df.dtypes), with_minutes)
+
+
+@per_application
+def _typed_columns(dtypes: tuple, with_minutes: bool) -> list[Column]:
+    cols = [(filled(c, t).cast(CAST_TYPES[c]) if c in CAST_TYPES else filled(c, t)).alias(c) for c, t in dtypes]
+    if with_minutes:
+        pickup = filled("tpep_pickup_datetime", "").cast("timestamp")
+        dropoff = filled("tpep_dropoff_datetime", "").cast("timestamp")
+        cols.append(rounded_minutes(pickup, dropoff).alias("trip_time_minutes"))
+    return cols
+
+
 def fill_all_numeric(df: DataFrame, value: int = 0) -> DataFrame:
     """Every null (and NaN) in a numeric column becomes ``value``."""
     return df.fillna(value)
@@ -76,8 +104,13 @@ def speed_mph(distance: Column, minutes: Column) -> Column:
     return round_half_up(F.when(minutes != 0, distance / (minutes / 60.0)), 2)
 
 
+@per_application
+def avg_speed_column() -> Column:
+    return speed_mph(F.col("trip_distance"), F.col("trip_time_minutes"))
+
+
 def add_avg_speed(df: DataFrame) -> DataFrame:
-    return df.withColumn("avg_speed", speed_mph(F.col("trip_distance"), F.col("trip_time_minutes")))
+    return df.withColumn("avg_speed", avg_speed_column())
 
 
 def select_clean(df: DataFrame) -> DataFrame:
@@ -85,30 +118,35 @@ def select_clean(df: DataFrame) -> DataFrame:
     return df.select(*[c for c in CLEAN_COLUMNS if c in df.columns])
 
 
+@per_application
+def code_labels() -> dict[str, Column]:
+    return {
+        "RatecodeID": ratecode_label("RatecodeID"),
+        "payment_type": payment_label("payment_type"),
+        "VendorID": vendor_label("VendorID"),
+    }
+
+
 def map_codes(df: DataFrame) -> DataFrame:
     """Rate code, payment type and vendor codes become their labels, in place."""
-    labelled = {
-        "RatecodeID": ratecode_label(F.col("RatecodeID")),
-        "payment_type": payment_label(F.col("payment_type")),
-        "VendorID": vendor_label(F.col("VendorID")),
-    }
+    labelled = code_labels()
     return df.select(*[labelled[c].alias(c) if c in labelled else F.col(c) for c in df.columns])
 
 
 def map_ratecode(df: DataFrame) -> DataFrame:
-    return df.withColumn("RatecodeID", ratecode_label(F.col("RatecodeID")))
+    return df.withColumn("RatecodeID", ratecode_label("RatecodeID"))
 
 
 def map_payment(df: DataFrame) -> DataFrame:
-    return df.withColumn("payment_type", payment_label(F.col("payment_type")))
+    return df.withColumn("payment_type", payment_label("payment_type"))
 
 
 def map_vendor(df: DataFrame) -> DataFrame:
-    return df.withColumn("VendorID", vendor_label(F.col("VendorID")))
+    return df.withColumn("VendorID", vendor_label("VendorID"))
 
 
 def add_distance_band(df: DataFrame, column: str = "trip_distance", name: str = "distance_bucket") -> DataFrame:
-    return df.withColumn(name, distance_band(F.col(column)))
+    return df.withColumn(name, distance_band(column))
 
 
 def add_calendar_keys(df: DataFrame, period: str = "day", ts: str = "tpep_pickup_datetime") -> DataFrame:
@@ -118,8 +156,8 @@ def add_calendar_keys(df: DataFrame, period: str = "day", ts: str = "tpep_pickup
 
 
 def label_month(df: DataFrame, column: str = "pickup_month") -> DataFrame:
-    return df.withColumn(column, month_label(F.col(column)))
+    return df.withColumn(column, month_label(column))
 
 
 def label_day(df: DataFrame, column: str = "pickup_day") -> DataFrame:
-    return df.withColumn(column, weekday_label(F.col(column)))
+    return df.withColumn(column, weekday_label(column))

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from meterline.functions.reuse import per_application
 from meterline.functions import (
     calendar_columns, check_period, distance_band, exact_avg, exact_sum, month_label, ratio_pct,
     round_half_up, weekday_label,
@@ -20,6 +21,7 @@ from meterline.functions import (
 PICKUP = "tpep_pickup_datetime"
 
 
+@per_application
 def _metric(kind: str, column: str, exact: bool) -> Column:
     value = F.col(column)
     if kind == "sum":
@@ -29,18 +31,23 @@ def _metric(kind: str, column: str, exact: bool) -> Column:
     raise ValueError(kind)
 
 
+@per_application
+def _calendar(period: str) -> dict:
+    return calendar_columns(F.col(PICKUP), period)
+
+
 def _grouped(df: DataFrame, period: str, locations, extra_keys: dict, after_calendar: dict | None = None):
     check_period(period)
-    calendar = calendar_columns(F.col(PICKUP), period)
+    calendar = _calendar(period)
     keyed = df.withColumns({**extra_keys, **calendar, **(after_calendar or {})})
     keys = [*locations, *extra_keys, *calendar, *(after_calendar or {})]
     return keyed.groupBy(*keys), keys
 
 
 def _labelled(agg: DataFrame, period: str) -> DataFrame:
-    out = agg.withColumn("pickup_month", month_label(F.col("pickup_month")))
+    out = agg.withColumn("pickup_month", month_label("pickup_month"))
     if period == "day":
-        out = out.withColumn("pickup_day", weekday_label(F.col("pickup_day")))
+        out = out.withColumn("pickup_day", weekday_label("pickup_day"))
     return out
 
 
@@ -61,8 +68,8 @@ def trip_metrics(df: DataFrame, period: str = "day", locations=(), exact: bool =
         _metric("avg", "trip_distance", exact).alias("avg_distance"),
         _metric("avg", "trip_time_minutes", exact).alias("avg_trip_time"),
         # tip % from unrounded sums, then rounded
-        (exact_sum(F.col("tip_amount")) if exact else F.sum("tip_amount")).alias("_tips"),
-        (exact_sum(F.col("total_amount")) if exact else F.sum("total_amount")).alias("_revenue"),
+        (_metric("sum", "tip_amount", True) if exact else F.sum("tip_amount")).alias("_tips"),
+        (_metric("sum", "total_amount", True) if exact else F.sum("total_amount")).alias("_revenue"),
     )
     pct = ratio_pct(F.col("_tips"), F.col("_revenue"))
     agg = agg.withColumn("tip_percentage", round_half_up(pct) if exact else F.round(pct, 2)).drop("_tips", "_revenue")
@@ -71,7 +78,7 @@ def trip_metrics(df: DataFrame, period: str = "day", locations=(), exact: bool =
 
 def bucket_metrics(df: DataFrame, period: str = "day", locations=(), exact: bool = True) -> DataFrame:
     """Trips, revenue, average minutes and tips by distance band."""
-    grouped, _ = _grouped(df, period, locations, {"distance_bucket": distance_band(F.col("trip_distance"))})
+    grouped, _ = _grouped(df, period, locations, {"distance_bucket": distance_band("trip_distance")})
     agg = grouped.agg(
         F.count(F.lit(1)).alias("total_trips"),
         _metric("sum", "total_amount", exact).alias("total_revenue"),

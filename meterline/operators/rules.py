@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from meterline.functions.reuse import per_application
 from meterline.operators.zones import known_zones_only
 from meterline.sources.zones import SizedDimension
 
@@ -34,6 +35,7 @@ def _start() -> Column:
     return F.to_date(F.lit(START_DATE))
 
 
+@per_application
 def keep_rules() -> list[tuple[str, Column]]:
     """The rules a clean trip satisfies (on filled, cast columns with minutes)."""
     return [
@@ -62,6 +64,14 @@ def optional_rules(passengers: bool = False, vendors: bool = False) -> list[tupl
     return rules
 
 
+@per_application
+def valid_condition(passengers: bool = False, vendors: bool = False, tolerance: float | None = None) -> Column:
+    """All keep rules (plus the opt-in ones) as one predicate; with
+    ``tolerance`` also the money check."""
+    cond = all_of(keep_rules() + optional_rules(passengers, vendors))
+    return cond if tolerance is None else cond & money_consistent(tolerance)
+
+
 def all_of(rules: list[tuple[str, Column]]) -> Column:
     cond = F.lit(True)
     for _, predicate in rules:
@@ -77,7 +87,7 @@ def consistency_filter(df: DataFrame, *, passengers: bool = False, vendors: bool
     ``zones`` turns on the known-zone rule: both location ids must exist in the
     dimension, checked with two ``left_semi`` joins (no id list on the driver).
     """
-    out = df.filter(all_of(keep_rules() + optional_rules(passengers, vendors)))
+    out = df.filter(valid_condition(passengers, vendors))
     if zones is not None:
         out = known_zones_only(out, zones)
     return out
@@ -90,6 +100,7 @@ def total_from_components() -> Column:
     return total
 
 
+@per_application
 def money_consistent(tolerance: float = MONEY_TOLERANCE) -> Column:
     """True when the components add up to total within ``tolerance``.
 
@@ -112,6 +123,7 @@ def period_filter(df: DataFrame, start: str = ANALYSIS_START) -> DataFrame:
     return df.filter(_c("tpep_pickup_datetime") > F.to_date(F.lit(start)))
 
 
+@per_application
 def violation_rules() -> list[tuple[str, Column]]:
     """The 14 profiling checks: a row counts when the predicate is true (a
     null comparison does not count).  These differ from ``keep_rules`` on

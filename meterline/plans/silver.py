@@ -2,31 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
-from meterline.operators.cleaning import (
-    add_avg_speed, add_trip_time, cast_columns, fill_missing, map_codes, select_clean,
-)
+from meterline.operators.cleaning import avg_speed_column, code_labels, typed_columns
 from meterline.operators.dedup import drop_duplicate_trips
-from meterline.operators.rules import consistency_filter, validate_financials
-from meterline.operators.zones import map_location_to_zone
+from meterline.operators.rules import MONEY_TOLERANCE, valid_condition
+from meterline.operators.zones import known_zones_only, map_location_to_zone
+from meterline.schema import CLEAN_COLUMNS
 from meterline.sources.zones import SizedDimension
 
 
 def typed_trips(raw: DataFrame) -> DataFrame:
-    """Fill, cast, trip minutes: every raw row, clean types (narrow, no shuffle)."""
-    return raw.transform(fill_missing).transform(cast_columns).transform(add_trip_time)
+    """Fill, cast, trip minutes: every raw row, clean types, one projection."""
+    return raw.select(*typed_columns(raw))
 
 
 def valid_trips(raw: DataFrame, *, passengers: bool = False, vendors: bool = False,
                 known_zones: SizedDimension | None = None) -> DataFrame:
-    """Typed trips passing the validity rules, then the money check (in that
-    order: a negative total passes the ratio test and is removed by the
-    range rule only)."""
-    return (typed_trips(raw)
-            .transform(lambda d: consistency_filter(d, passengers=passengers, vendors=vendors,
-                                                    zones=known_zones))
-            .transform(validate_financials))
+    """Typed trips passing the validity rules AND the money check, as one
+    filter.  A negative total passes the ratio test and is removed by the range
+    rule only; the ratio is guarded against a zero total, so conjunct order
+    does not matter."""
+    out = typed_trips(raw).filter(valid_condition(passengers, vendors, MONEY_TOLERANCE))
+    if known_zones is not None:
+        out = known_zones_only(out, known_zones)
+    return out
 
 
 def clean_core(raw: DataFrame, *, survivor: str = "smallest", passengers: bool = False,
@@ -34,10 +34,18 @@ def clean_core(raw: DataFrame, *, survivor: str = "smallest", passengers: bool =
     """Valid, deduplicated trips with speed, in clean column order, codes
     still numeric.  The dedup aggregation is the only shuffle, and it runs
     after every filter so only surviving rows move."""
-    return (valid_trips(raw, passengers=passengers, vendors=vendors, known_zones=known_zones)
-            .transform(lambda d: drop_duplicate_trips(d, survivor=survivor))
-            .transform(add_avg_speed)
-            .transform(select_clean))
+    deduped = drop_duplicate_trips(valid_trips(raw, passengers=passengers, vendors=vendors,
+                                               known_zones=known_zones), survivor=survivor)
+    return deduped.select(*_clean_projection(deduped.columns, labels=False))
+
+
+def _clean_projection(columns, labels: bool) -> list:
+    """Clean column order, with speed and (optionally) code labels: one Project."""
+    derived = {"avg_speed": avg_speed_column()}
+    if labels:
+        derived.update(code_labels())
+    return [derived[c].alias(c) if c in derived else F.col(c)
+            for c in CLEAN_COLUMNS if c in derived or c in columns]
 
 
 def clean_trips(raw: DataFrame, zones: SizedDimension, *, survivor: str = "smallest",
@@ -47,7 +55,7 @@ def clean_trips(raw: DataFrame, zones: SizedDimension, *, survivor: str = "small
 
     ``passengers``, ``vendors`` and ``zone_rule`` switch on the optional
     rules (off by default)."""
-    return (clean_core(raw, survivor=survivor, passengers=passengers, vendors=vendors,
-                       known_zones=zones if zone_rule else None)
-            .transform(map_codes)
-            .transform(lambda d: map_location_to_zone(d, zones)))
+    deduped = drop_duplicate_trips(valid_trips(raw, passengers=passengers, vendors=vendors,
+                                               known_zones=zones if zone_rule else None), survivor=survivor)
+    labelled = deduped.select(*_clean_projection(deduped.columns, labels=True))
+    return map_location_to_zone(labelled, zones)

@@ -23,17 +23,22 @@ def zone_dimension(zones: DataFrame) -> DataFrame:
 
 
 class SizedDimension:
-    """A dimension table with its row count measured once, so every join on it
-    knows whether broadcasting is safe."""
+    """A dimension table whose size is bounded once, so every join on it knows
+    whether broadcasting is safe.
 
-    def __init__(self, df: DataFrame, max_broadcast_rows: int = BROADCAST_MAX_ROWS):
+    ``bound`` is a frame with at least as many rows as ``df`` (the rows before
+    the one-per-id reduction); counting it needs no shuffle, and for a Parquet
+    scan Spark answers from file footers."""
+
+    def __init__(self, df: DataFrame, max_broadcast_rows: int = BROADCAST_MAX_ROWS,
+                 bound: DataFrame | None = None):
         self.df = df
-        self.rows = df.count()
-        self.broadcastable = self.rows <= max_broadcast_rows
+        self.rows_bound = (df if bound is None else bound).count()
+        self.broadcastable = self.rows_bound <= max_broadcast_rows
 
     def side(self) -> DataFrame:
         return F.broadcast(self.df) if self.broadcastable else self.df
 
 
 def sized_zones(zones: DataFrame, max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> SizedDimension:
-    return SizedDimension(zone_dimension(zones), max_broadcast_rows)
+    return SizedDimension(zone_dimension(zones), max_broadcast_rows, bound=zones)
