@@ -130,7 +130,7 @@ def schema_check(df: DataFrame, contract: T.StructType = RAW_SCHEMA) -> DataFram
     for field in contract.fields:
         have = actual.get(field.name)
         rows.append(F.struct(
-            F.lit(field.name).alias("column"),
+            F.lit(field.name).alias("column_name"),
             F.lit(field.dataType.simpleString()).alias("expected_type"),
             F.lit(have.simpleString() if have is not None else None).cast("string").alias("actual_type"),
             F.lit(have == field.dataType).alias("type_ok"),

@@ -1,0 +1,91 @@
+"""Schema contract, schema check, exact and approximate quantiles."""
+
+from __future__ import annotations
+
+import math
+import random
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F, types as T
+
+from meterline.operators.quantiles import approx_quantiles, exact_quantiles, remove_outliers_iqr
+from meterline.schema import RAW_SCHEMA, SchemaContractError, conform, schema_check
+from tests.helpers import raw_frame, trip
+
+
+def test_conform_adds_missing_and_widens(spark):
+    df = raw_frame(spark, [trip()]).drop("airport_fee").withColumn("PUlocationID", F.col("PUlocationID").cast("short"))
+    out = conform(df)
+    assert [(f.name, f.dataType) for f in out.schema.fields] == [(f.name, f.dataType) for f in RAW_SCHEMA.fields]
+    assert out.first()["airport_fee"] is None
+
+
+def test_conform_keeps_extra_columns(spark):
+    df = raw_frame(spark, [trip()]).withColumn("_source_file", F.lit("x"))
+    assert conform(df).columns[-1] == "_source_file"
+    assert "_source_file" not in conform(df, keep_extra=False).columns
+
+
+def test_conform_rejects_incompatible(spark):
+    df = raw_frame(spark, [trip()]).withColumn("trip_distance", F.lit("far"))
+    with pytest.raises(SchemaContractError):
+        conform(df)
+
+
+def test_schema_check_reports(spark):
+    df = raw_frame(spark, [trip()]).withColumn("payment_type", F.lit("cash")).drop("airport_fee")
+    rows = {r["column_name"]: r for r in schema_check(df).collect()}
+    assert len(rows) == 18
+    assert rows["VendorID"]["type_ok"] and rows["VendorID"]["nonconforming_values"] == 0
+    assert not rows["payment_type"]["type_ok"] and rows["payment_type"]["nonconforming_values"] == 1
+    assert rows["airport_fee"]["actual_type"] is None
+
+
+def _duck_quantiles(values, probs):
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t(v DOUBLE)")
+    con.executemany("INSERT INTO t VALUES (?)", [(v,) for v in values])
+    return [con.execute(f"SELECT quantile_cont(v, {p}) FROM t").fetchone()[0] for p in probs]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_exact_quantiles_match_sql(spark, seed):
+    rnd = random.Random(seed)
+    # skewed, with heavy duplicates (a third of rows share one value) and nulls
+    values = [round(rnd.paretovariate(1.5), 2) for _ in range(3000)] + [7.25] * 1500
+    rows = [(v,) for v in values] + [(None,)] * 50
+    df = spark.createDataFrame(rows, "v double").repartition(7)
+    probs = (0.25, 0.75, 0.1, 0.5)
+    got = exact_quantiles(df, "v", probs, bins=64)
+    want = _duck_quantiles(values, probs)
+    for g, w in zip(got, want):
+        assert math.isclose(g, w, rel_tol=1e-12, abs_tol=1e-12)
+
+
+def test_exact_quantiles_single_value_and_empty(spark):
+    df = spark.createDataFrame([(3.0,)] * 10, "v double")
+    assert exact_quantiles(df, "v") == [3.0, 3.0]
+    assert exact_quantiles(df.filter("v > 5"), "v") is None
+
+
+def test_approx_quantiles_rank_error(spark):
+    rnd = random.Random(5)
+    values = sorted(rnd.uniform(0, 1000) for _ in range(20000))
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    q1, q3 = approx_quantiles(df, "v", relative_error=0.01)
+    n = len(values)
+    for q, p in ((q1, 0.25), (q3, 0.75)):
+        rank = sum(1 for v in values if v <= q)
+        assert abs(rank - p * n) <= 0.02 * n
+
+
+def test_iqr_is_sequential(spark, small_dir):
+    """Quartiles of the second column come from rows that survived the first."""
+    from meterline.registry import QUERIES
+    clean = QUERIES["clean_trips"](spark, small_dir)
+    seq = remove_outliers_iqr(clean).count()
+    dist_only = remove_outliers_iqr(clean, columns=("trip_distance",)).count()
+    total_on_full = remove_outliers_iqr(clean, columns=("total_amount",)).count()
+    assert seq <= dist_only and seq <= total_on_full
+    assert seq > 0
