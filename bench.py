@@ -18,7 +18,7 @@ import time
 
 HEADLINE = (
     "clean_trips", "gold_trips", "gold_bucket", "gold_passengers", "rule_violations",
-    "quality_report", "gold_trips_iqr", "dedup_trips", "ingest_stream",
+    "quality_report", "gold_trips_iqr", "dedup_trips", "ingest_stream", "layers_gold_trips",
 )
 
 

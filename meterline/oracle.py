@@ -349,6 +349,7 @@ def oracle_queries() -> dict[str, str]:
                              "trip_distance, COUNT(*) AS dup_count FROM trips_raw GROUP BY tpep_pickup_datetime, "
                              "tpep_dropoff_datetime, passenger_count, trip_distance HAVING COUNT(*) > 1")
     q["gold_trips"] = clean + gold_trips_sql("day", ["PUlocationID"])
+    q["layers_gold_trips"] = q["gold_trips"]
     q["gold_trips_week"] = clean + gold_trips_sql("week", ["PUlocationID", "DOlocationID"])
     q["gold_trips_month"] = clean + gold_trips_sql("month", [])
     q["gold_bucket"] = clean + gold_bucket_sql("day", ["PUlocationID"])

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from meterline import operators as O
 from meterline.operators import gold as G
+from meterline.plans.layers import read_layer, run_layers
 from meterline.plans.quality import quality_report
 from meterline.plans.silver import clean_core, clean_trips, typed_trips
 from meterline.schema import MONEY_COLUMNS, RAW_COLUMNS, RAW_SCHEMA, conform, schema_check
@@ -117,6 +118,14 @@ def q_events_stream(spark, sf):
     return read_ingested(spark, result.sink_path).select(*schema.names)
 
 
+@query("layers_gold_trips")
+def q_layers_gold_trips(spark, sf):
+    """The whole layered job (ingest -> written clean layer -> three aggregate
+    tables); returns the trip-metrics table as written."""
+    run = run_layers(spark, landing_path(spark, sf), scratch_path(spark, "layers"), _zones(spark, sf))
+    return read_layer(spark, run, "gold_trips")
+
+
 @query("materialize_roundtrip")
 def q_materialize_roundtrip(spark, sf):
     """Clean layer written as a table with comment and properties, read back."""

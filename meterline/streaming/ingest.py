@@ -43,8 +43,13 @@ def read_file_stream(spark: SparkSession, source: str, schema: T.StructType = RA
     return reader.parquet(source)
 
 
+# Files per micro-batch: a backfill of many files runs as bounded batches, each
+# committed on its own, so a failure costs at most one batch.
+DEFAULT_MAX_FILES_PER_TRIGGER = 1000
+
+
 def ingest(spark: SparkSession, source: str, sink: str, checkpoint: str, *,
-           schema: T.StructType = RAW_SCHEMA, max_files_per_trigger: int | None = None,
+           schema: T.StructType = RAW_SCHEMA, max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER,
            partition_by: tuple = ()) -> IngestResult:
     """Take every file not yet ingested (``availableNow``: all that is there
     now, in bounded batches, then stop) and append it to ``sink``."""
