@@ -103,6 +103,16 @@ def passenger_metrics(df: DataFrame, period: str = "day", locations=(), exact: b
     return _labelled(agg, period)
 
 
+def tip_share(df: DataFrame, keys=("payment_type",)) -> DataFrame:
+    """Tips as a percentage of revenue per group (0 when revenue is 0)."""
+    agg = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("total_trips"),
+        _metric("sum", "tip_amount", True).alias("total_tips"),
+        _metric("sum", "total_amount", True).alias("total_revenue"),
+    )
+    return agg.withColumn("tip_percentage", round_half_up(ratio_pct(F.col("total_tips"), F.col("total_revenue"))))
+
+
 def period_comparison(df: DataFrame, period: str = "week", locations=("PUlocationID",)) -> DataFrame:
     """Trips and revenue per calendar week (Monday start) or month, with the
     previous period present for the same location and the change in percent.

@@ -20,13 +20,17 @@ def _dimension_as(zones: SizedDimension, role: str) -> DataFrame:
 
 def map_location_to_zone(df: DataFrame, zones: SizedDimension, columns=LOCATION_COLUMNS) -> DataFrame:
     """Replace each location id column by its zone name (null when the id is
-    null or not in the dimension), keeping the column order."""
+    null or not in the dimension), keeping the column order.
+
+    Both lookups join the same dimension frame under different aliases, so
+    Spark builds and ships its broadcast once (``ReusedExchange``)."""
+    side = zones.side()
     out = df
     for column in columns:
-        side = _dimension_as(zones, column)
-        out = out.join(side, out[column] == side[f"_id_{column}"], "left")
-    names = {c: F.col(f"_zone_{c}").alias(c) for c in columns}
-    return out.select(*[names.get(c, F.col(c)) for c in df.columns])
+        role = f"_zone_of_{column}"
+        out = out.join(side.alias(role), out[column] == F.col(f"{role}.LocationID"), "left")
+    names = {c: F.col(f"_zone_of_{c}.zone").alias(c) for c in columns}
+    return out.select(*[names.get(c, df[c]) for c in df.columns])
 
 
 def flag_unknown_zones(df: DataFrame, zones: SizedDimension, columns=LOCATION_COLUMNS) -> DataFrame:

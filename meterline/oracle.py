@@ -350,6 +350,10 @@ def oracle_queries() -> dict[str, str]:
                              "tpep_dropoff_datetime, passenger_count, trip_distance HAVING COUNT(*) > 1")
     q["gold_trips"] = clean + gold_trips_sql("day", ["PUlocationID"])
     q["layers_gold_trips"] = q["gold_trips"]
+    q["tip_percentage"] = (clean + f"SELECT payment_type, COUNT(*) AS total_trips, {exact_sum('tip_amount')} AS total_tips, "
+                           f"{exact_sum('total_amount')} AS total_revenue, "
+                           + round2("CASE WHEN total_revenue <> 0 THEN 100 * total_tips / total_revenue ELSE 0 END")
+                           + " AS tip_percentage FROM clean GROUP BY payment_type")
     q["gold_trips_week"] = clean + gold_trips_sql("week", ["PUlocationID", "DOlocationID"])
     q["gold_trips_month"] = clean + gold_trips_sql("month", [])
     q["gold_bucket"] = clean + gold_bucket_sql("day", ["PUlocationID"])

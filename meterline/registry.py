@@ -291,6 +291,19 @@ def q_gold_trips(spark, sf):
     return G.trip_metrics(_clean(spark, sf), "day", ["PUlocationID"])
 
 
+@query("gold_trips_plain")
+def q_gold_trips_plain(spark, sf):
+    """The daily trip table with the plain double formula (sum/avg of doubles,
+    then round), for comparison with the exact default."""
+    return G.trip_metrics(_clean(spark, sf), "day", ["PUlocationID"], exact=False)
+
+
+@query("tip_percentage")
+def q_tip_percentage(spark, sf):
+    """Tip share of revenue per payment type on the clean layer."""
+    return G.tip_share(_clean(spark, sf), ["payment_type"])
+
+
 @query("gold_trips_week")
 def q_gold_trips_week(spark, sf):
     return G.trip_metrics(_clean(spark, sf), "week", ["PUlocationID", "DOlocationID"])

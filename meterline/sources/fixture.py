@@ -98,7 +98,11 @@ def zones_from_nation(nation: DataFrame) -> DataFrame:
 
 
 def raw_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return zones_from_nation(table(spark, sf_dir, "nation"))
+    """Zone rows with their file position ``_pos`` (path, row index)."""
+    nation = table(spark, sf_dir, "nation")
+    position = F.struct(F.col("_metadata.file_path"), F.col("_metadata.row_index")).alias("_pos")
+    return nation.select(F.col("n_nationkey").cast("int").alias("LocationID"), F.col("n_name").alias("zone"),
+                         position)
 
 
 def fixture_sql() -> str:

@@ -12,11 +12,15 @@ BROADCAST_MAX_ROWS = 200_000
 def zone_dimension(zones: DataFrame) -> DataFrame:
     """One row per LocationID; when an id repeats, the row read last wins.
 
-    "Last" is file order, taken from ``monotonically_increasing_id`` (partition
-    index in the high bits, row position in the low bits), so no id can fan
-    out a join.  Null ids are dropped: they can never match a trip.
+    "Last" is file order: a ``_pos`` column when the source provides one
+    (``sources.fixture.raw_zones`` takes file path and row index from the
+    Parquet scan, which is deterministic, so Spark can reuse the dimension's
+    broadcast), else ``monotonically_increasing_id`` (partition index in the
+    high bits, row position in the low bits).  No id can fan out a join.  Null
+    ids are dropped: they can never match a trip.
     """
-    ordered = zones.select("LocationID", "zone", F.monotonically_increasing_id().alias("_pos"))
+    position = F.col("_pos") if "_pos" in zones.columns else F.monotonically_increasing_id()
+    ordered = zones.select("LocationID", "zone", position.alias("_pos"))
     return (ordered.filter(F.col("LocationID").isNotNull())
             .groupBy("LocationID")
             .agg(F.max_by("zone", "_pos").alias("zone")))
