@@ -9,9 +9,12 @@ doubles agree bit for bit between engines.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from meterline.schema import RAW_COLUMNS
+from meterline.schema import RAW_COLUMNS, RAW_SCHEMA
+from meterline.session import scratch_path
 
 # ---------------------------------------------------------------------------
 # The trip fixture definition (FIXTURES.md section 2).  Each
@@ -120,33 +123,27 @@ def fixture_sql() -> str:
 _STAGED: dict[tuple[str, str], str] = {}
 
 
-def stage(df: DataFrame, path: str) -> None:
-    """Write ``df`` as Parquet at ``path``.  A frame with fewer partitions than
-    the cluster has cores (one big unsplittable input file) is spread first, so
-    later reads of the files run in parallel; wider inputs are written as
-    they are."""
+def spread(df: DataFrame) -> DataFrame:
+    """A frame with fewer partitions than the cluster has cores (one big
+    unsplittable input file) is spread round-robin, so the work on it runs in
+    parallel; wider inputs are returned as they are (no shuffle)."""
     parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < parallelism:
-        df = df.repartition(parallelism)
-    df.write.parquet(path)
+    return df.repartition(parallelism) if df.rdd.getNumPartitions() < parallelism else df
 
 
 def landing_path(spark: SparkSession, sf_dir: str) -> str:
     """Raw trip files for ``sf_dir``, written once per application under the
     shared checkpoint folder: the raw layer that later layers read, as trip
     files on storage are in production."""
-    from meterline.session import scratch_path
-    import os
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     path = _STAGED.get(key)
     if path is None:
         path = scratch_path(spark, "landing")
-        stage(raw_trips(spark, sf_dir), path)
+        trips_from_lineitem(spread(table(spark, sf_dir, "lineitem"))).write.parquet(path)
         _STAGED[key] = path
     return path
 
 
 def staged_raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw trip layer (18 columns, raw contract types) read from files."""
-    from meterline.schema import RAW_SCHEMA
     return spark.read.schema(RAW_SCHEMA).parquet(landing_path(spark, sf_dir))
