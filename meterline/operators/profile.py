@@ -58,13 +58,16 @@ def describe_columns(df: DataFrame, columns=MONEY_COLUMNS, digits: int = 4) -> D
     """(column, count, mean, stddev, min, max) as typed values, one pass.
 
     ``count`` counts non-null values; mean is exact (cents) and rounded to
-    ``digits``, stddev is the sample deviation rounded to ``digits``.
+    ``digits``, stddev is the sample deviation rounded to ``digits``.  A NaN
+    in a column makes its mean NaN, as in plain arithmetic.
     """
     aggs = []
     for c in columns:
         v = F.col(c)
+        mean = F.when(F.count_if(F.isnan(v)) > 0, F.lit(float("nan"))).otherwise(
+            round_half_up(exact_avg(v), digits))
         aggs += [F.count(v).alias(f"{c}__count"),
-                 round_half_up(exact_avg(v), digits).alias(f"{c}__mean"),
+                 mean.alias(f"{c}__mean"),
                  round_half_up(F.stddev_samp(v), digits).alias(f"{c}__stddev"),
                  F.min(v).alias(f"{c}__min"), F.max(v).alias(f"{c}__max")]
     wide = df.agg(*aggs)

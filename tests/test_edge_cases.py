@@ -227,3 +227,21 @@ def test_financial_split_labels(spark):
     rows = [trip(), trip(total_amount=0.0), trip(congestion_surcharge=None)]
     got = {r["financial_status"]: r["trips"] for r in O.financial_split(raw_frame(spark, rows)).collect()}
     assert got == {"consistent": 1, "inconsistent": 2, "total": 3}
+
+
+def test_hot_dedup_key_third_of_rows(spark):
+    """One trip key holds a third of all rows: the result is whole and exact."""
+    hot = [trip() for _ in range(3000)]
+    cold = [trip(tpep_pickup_datetime=T0 + dt.timedelta(seconds=i), tpep_dropoff_datetime=T0 + dt.timedelta(minutes=20, seconds=i))
+            for i in range(1, 6001)]
+    df = raw_frame(spark, hot + cold).repartition(12)
+    assert O.drop_duplicate_trips(df).count() == 6001
+    groups = O.duplicate_groups(df).collect()
+    assert len(groups) == 1 and groups[0]["dup_count"] == 3000
+
+
+def test_describe_nan_mean(spark):
+    rows = {r["column_name"]: r for r in O.describe_columns(raw_frame(spark, [trip(), trip(fare_amount=float("nan"))]),
+                                                              ("fare_amount", "tip_amount")).collect()}
+    assert rows["fare_amount"]["mean"] != rows["fare_amount"]["mean"]  # NaN
+    assert rows["tip_amount"]["mean"] == 2.0 and rows["tip_amount"]["count"] == 2
