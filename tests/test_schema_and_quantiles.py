@@ -89,3 +89,13 @@ def test_iqr_is_sequential(spark, small_dir):
     total_on_full = remove_outliers_iqr(clean, columns=("total_amount",)).count()
     assert seq <= dist_only and seq <= total_on_full
     assert seq > 0
+
+
+def test_exact_quantiles_extreme_outliers(spark):
+    rnd = random.Random(11)
+    values = [round(rnd.uniform(0, 50), 2) for _ in range(5000)] + [1e12, -1e9, 3.5e15, -0.0, 0.0]
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(5)
+    probs = (0.25, 0.75, 0.001, 0.999)
+    got = exact_quantiles(df, "v", probs)
+    for g, w in zip(got, _duck_quantiles(values, probs)):
+        assert math.isclose(g, w, rel_tol=1e-12, abs_tol=1e-12)
