@@ -26,11 +26,41 @@ RECOMMENDED_CONF = {
 }
 
 
+_MB = 1024 * 1024
+
+# Profile for a large cluster reading ~100 TB of trip files.  Scan splits of
+# 512 MB keep the map side near 200k tasks; the dedup shuffle (the only one
+# that moves whole rows) starts at 65,536 partitions, about 1 GB of valid rows
+# each when half of 100 TB survives the filters, and AQE merges partitions
+# toward 512 MB and splits skewed ones.  The dedup's sort-based aggregate
+# spills, so a large partition costs disk, not memory.  Decommissioning moves
+# shuffle blocks off executors that are going away.
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": str(512 * _MB),
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "65536",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(512 * _MB),
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * _MB),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * _MB),
+    "spark.decommission.enabled": "true",
+    "spark.storage.decommission.enabled": "true",
+    "spark.storage.decommission.shuffleBlocks.enabled": "true",
+}
+
+
 def build_session(master: str = "local[8]", app: str = "meterline",
-                  shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
+                  shuffle_partitions: int = 8, extra: dict | None = None,
+                  profile: str = "local") -> SparkSession:
+    """``profile="cluster"`` adds ``CLUSTER_CONF`` (and ignores
+    ``shuffle_partitions``: AQE sizes partitions from the data)."""
     builder = SparkSession.builder.master(master).appName(app)
     conf = {**RECOMMENDED_CONF, **REQUIRED_CONF,
             "spark.sql.shuffle.partitions": str(shuffle_partitions)}
+    if profile == "cluster":
+        conf.update(CLUSTER_CONF)
+        conf["spark.sql.shuffle.partitions"] = CLUSTER_CONF[
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum"]
+    elif profile != "local":
+        raise ValueError(f"unknown profile: {profile}")
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
