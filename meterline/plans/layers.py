@@ -35,6 +35,17 @@ from meterline.streaming.ingest import IngestResult, ingest, read_ingested
 # Partition column of the clean and aggregate layers: pickup month, "yyyy-MM".
 MONTH_KEY = "pickup_ym"
 
+# Rows of raw trips cleaned per job.  Consecutive months are packed into
+# batches up to this size, so one job's dedup shuffle stays bounded, each write
+# task touches few month partitions (few, large files), and a failure costs
+# one batch.
+BATCH_ROWS = 2_000_000_000
+# A batch below this many rows is regrouped by month before it is written (a
+# cheap shuffle at that size), giving one file per month instead of one per
+# task and month.  Larger batches hold few months and write large files as
+# they are.
+SMALL_BATCH_ROWS = 20_000_000
+
 # Table comments and properties of each layer.
 LAYER_TABLES = {
     "raw": ("Raw trip data with ingestion metadata.", {"quality": "bronze"}),
@@ -62,15 +73,25 @@ def month_key(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM")
 
 
+def _next_month(m: str) -> str:
+    year, month = int(m[:4]), int(m[5:7])
+    return f"{year + month // 12:04d}-{month % 12 + 1:02d}"
+
+
 def in_months(ts: Column, months: list) -> Column:
-    """``ts`` within any of the ``yyyy-MM`` months, as timestamp ranges that
-    reach the Parquet scan (row groups of other months are skipped)."""
+    """``ts`` within any of the ``yyyy-MM`` months, as timestamp ranges (one
+    per run of consecutive months) that reach the Parquet scan, so row groups
+    of other months are skipped."""
+    runs: list[list[str]] = []
+    for m in sorted(set(months)):
+        if runs and _next_month(runs[-1][1]) == m:
+            runs[-1][1] = m
+        else:
+            runs.append([m, m])
     cond = F.lit(False)
-    for m in months:
-        year, month = int(m[:4]), int(m[5:7])
-        nxt = f"{year + month // 12:04d}-{month % 12 + 1:02d}"
-        start = F.lit(f"{m}-01 00:00:00").cast("timestamp_ntz")
-        end = F.lit(f"{nxt}-01 00:00:00").cast("timestamp_ntz")
+    for first, last in runs:
+        start = F.lit(f"{first}-01 00:00:00").cast("timestamp_ntz")
+        end = F.lit(f"{_next_month(last)}-01 00:00:00").cast("timestamp_ntz")
         cond = cond | ((ts >= start) & (ts < end))
     return cond
 
@@ -84,18 +105,43 @@ def _exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def _write(df: DataFrame, path: str, months: list | None) -> None:
-    """Full overwrite, or replace only the given month partitions."""
-    writer = df.write.partitionBy(MONTH_KEY)
-    if months is None:
-        writer.mode("overwrite").parquet(path)
-    else:
-        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+def _write(df: DataFrame, path: str, replace_all: bool) -> None:
+    """Overwrite the whole layer, or replace only the month partitions that
+    ``df`` holds (dynamic partition overwrite)."""
+    writer = df.write.partitionBy(MONTH_KEY).mode("overwrite")
+    if not replace_all:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.parquet(path)
+
+
+def month_batches(raw: DataFrame, months: list | None, batch_rows: int = BATCH_ROWS) -> list[list[str]]:
+    """Consecutive pickup months packed into batches of at most ``batch_rows``
+    raw rows (a month larger than that is a batch of its own).  One counting
+    aggregation over the pickup column; the result has one row per month."""
+    source = raw if months is None else raw.filter(in_months(F.col("tpep_pickup_datetime"), months))
+    return [months for months, _ in sized_month_batches(raw, months, batch_rows)]
+
+
+def sized_month_batches(raw: DataFrame, months: list | None, batch_rows: int = BATCH_ROWS) -> list[tuple[list, int]]:
+    """``month_batches`` with the raw row count of each batch."""
+    source = raw if months is None else raw.filter(in_months(F.col("tpep_pickup_datetime"), months))
+    sizes = sorted((r["m"], r["n"]) for r in source.groupBy(month_key(F.col("tpep_pickup_datetime")).alias("m"))
+                   .agg(F.count(F.lit(1)).alias("n")).filter(F.col("m").isNotNull()).collect())
+    batches, current, rows = [], [], 0
+    for month, n in sizes:
+        if current and rows + n > batch_rows:
+            batches.append((current, rows))
+            current, rows = [], 0
+        current.append(month)
+        rows += n
+    if current:
+        batches.append((current, rows))
+    return batches
 
 
 def run_layers(spark: SparkSession, landing: str, root: str, zones: SizedDimension, *,
                period: str = "day", locations=("PUlocationID",), table_prefix: str | None = None,
-               incremental: bool = True) -> LayerRun:
+               incremental: bool = True, batch_rows: int = BATCH_ROWS) -> LayerRun:
     """Ingest new files from ``landing`` and bring the clean and aggregate
     layers under ``root`` up to date.
 
@@ -117,17 +163,26 @@ def run_layers(spark: SparkSession, landing: str, root: str, zones: SizedDimensi
             return LayerRun(result, [], _paths(root))
     run = LayerRun(result, months, _paths(root))
 
-    source = raw if months is None else raw.filter(in_months(F.col("tpep_pickup_datetime"), months))
-    clean = clean_trips(source, zones)
-    _write(clean.withColumn(MONTH_KEY, month_key(F.col("tpep_pickup_datetime"))), run.paths["clean"], months)
+    batches = sized_month_batches(raw, months, batch_rows)
+    if not batches:
+        return run
+    for i, (batch, rows) in enumerate(batches):
+        source = raw.filter(in_months(F.col("tpep_pickup_datetime"), batch))
+        clean = clean_trips(source, zones).withColumn(MONTH_KEY, month_key(F.col("tpep_pickup_datetime")))
+        if rows < SMALL_BATCH_ROWS:
+            clean = clean.repartition(MONTH_KEY)
+        _write(clean, run.paths["clean"], replace_all=months is None and i == 0)
 
     written = spark.read.parquet(run.paths["clean"])
     if months is not None:
         written = written.filter(F.col(MONTH_KEY).isin(months))  # partition pruning
     for layer, build in GOLD_BUILDERS.items():
-        # the month key is fixed by (pickup_year, pickup_month), so grouping by
-        # it too leaves every group unchanged; it becomes the partition column
-        _write(build(written, period, [*locations, MONTH_KEY]), run.paths[layer], months)
+        # The month key is fixed by (pickup_year, pickup_month), so grouping by
+        # it too leaves every group unchanged; it becomes the partition column.
+        # A month of aggregates is small (bounded by the key cardinality), so
+        # each month is written as one file.
+        table = build(written, period, [*locations, MONTH_KEY]).repartition(MONTH_KEY)
+        _write(table, run.paths[layer], replace_all=months is None)
 
     if table_prefix:
         for layer, path in run.paths.items():

@@ -39,6 +39,7 @@ CLUSTER_CONF = {
     "spark.sql.files.maxPartitionBytes": str(512 * _MB),
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "65536",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(512 * _MB),
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * _MB),
     "spark.sql.autoBroadcastJoinThreshold": str(64 * _MB),
     "spark.decommission.enabled": "true",

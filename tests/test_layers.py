@@ -44,3 +44,20 @@ def test_incremental_equals_full(spark, tmp_dir):
             inc_rows, full_rows = inc_rows.drop("_ingestion_time", "_source_file"), full_rows.drop("_ingestion_time", "_source_file")
         assert _rows(inc_rows) == _rows(full_rows), layer
     assert read_layer(spark, second, "clean").count() == 40 + 35 + 12  # 5 February rows were copies
+
+
+def test_month_batches_bound_each_job(spark, tmp_dir):
+    from meterline.plans.layers import month_batches
+    zones = sized_zones(zones_frame(spark, [(1, "Alpha"), (2, "Beta")]))
+    landing = f"{tmp_dir}/landing"
+    raw_frame(spark, _trips(1, 40) + _trips(2, 30) + _trips(3, 20)).coalesce(1).write.parquet(landing)
+    raw = raw_frame(spark, _trips(1, 40) + _trips(2, 30) + _trips(3, 20))
+    assert month_batches(raw, None, 50) == [["2024-01"], ["2024-02", "2024-03"]]
+    assert month_batches(raw, ["2024-03"], 50) == [["2024-03"]]
+    small = run_layers(spark, landing, f"{tmp_dir}/small", zones, batch_rows=35)
+    whole = run_layers(spark, landing, f"{tmp_dir}/whole", zones)
+    for layer in ("clean", "gold_trips", "gold_bucket", "gold_passengers"):
+        a, b = read_layer(spark, small, layer), read_layer(spark, whole, layer)
+        if layer == "clean":
+            a, b = a.drop("_ingestion_time", "_source_file"), b.drop("_ingestion_time", "_source_file")
+        assert _rows(a) == _rows(b), layer
