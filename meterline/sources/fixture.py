@@ -90,6 +90,15 @@ def trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
     return df.unionAll(copies).select(*RAW_COLUMNS)
 
 
+def read_trip_files(spark: SparkSession, path: str) -> DataFrame:
+    """Batch backfill of raw trip files whose schemas differ from file to
+    file (columns added over the years, widths changed): Parquet schema
+    merging, then the raw contract (absent columns as nulls, compatible
+    widening casts, an error on anything else)."""
+    from meterline.schema import conform
+    return conform(spark.read.option("mergeSchema", "true").parquet(path), RAW_SCHEMA)
+
+
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips_from_lineitem(table(spark, sf_dir, "lineitem"))
 

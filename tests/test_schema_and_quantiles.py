@@ -99,3 +99,23 @@ def test_exact_quantiles_extreme_outliers(spark):
     got = exact_quantiles(df, "v", probs)
     for g, w in zip(got, _duck_quantiles(values, probs)):
         assert math.isclose(g, w, rel_tol=1e-12, abs_tol=1e-12)
+
+
+def test_backfill_merges_evolving_files(spark, tmp_dir):
+    from meterline.sources.fixture import read_trip_files
+    old = raw_frame(spark, [trip()]).drop("airport_fee", "congestion_surcharge")
+    new = raw_frame(spark, [trip(airport_fee=1.25)])
+    old.write.parquet(f"{tmp_dir}/files/year=2022")
+    new.write.parquet(f"{tmp_dir}/files/year=2024")
+    df = read_trip_files(spark, f"{tmp_dir}/files")
+    assert [(f.name, f.dataType) for f in df.schema.fields[:18]] == [(f.name, f.dataType) for f in RAW_SCHEMA.fields]
+    got = sorted((r["year"], r["airport_fee"]) for r in df.collect())
+    assert got == [(2022, None), (2024, 1.25)]
+
+
+def test_backfill_rejects_incompatible_files(spark, tmp_dir):
+    from meterline.sources.fixture import read_trip_files
+    bad = raw_frame(spark, [trip()]).withColumn("trip_distance", F.lit("far"))
+    bad.write.parquet(f"{tmp_dir}/bad")
+    with pytest.raises(SchemaContractError):
+        read_trip_files(spark, f"{tmp_dir}/bad")
