@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from meterline import operators as O
 from meterline.operators import gold as G
 from meterline.plans.silver import clean_core, clean_trips
-from meterline.registry import QUERIES
 from meterline.sources.fixture import raw_zones, staged_raw_trips
 from meterline.sources.zones import sized_zones
 
