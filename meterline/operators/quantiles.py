@@ -137,11 +137,14 @@ def approx_quantiles(df: DataFrame, column: str, probabilities=QUARTILES,
 
 
 def _materialized(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into ``spark.checkpoint.dir``: later passes read the
-    written data, and a lost executor cannot force recomputing the input."""
-    from meterline.session import checkpoint_root
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as a Parquet table under ``spark.checkpoint.dir`` and read
+    it back.  This cuts the lineage like ``checkpoint()`` (a lost executor never
+    forces recomputing the input), and because the copy is columnar each
+    quantile pass reads only the one column it needs."""
+    from meterline.session import scratch_path
+    path = scratch_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def iqr_bounds(q1: float, q3: float, fence: float = FENCE) -> tuple[float, float]:
@@ -156,9 +159,9 @@ def remove_outliers_iqr(df: DataFrame, columns=("trip_distance", "total_amount")
     column.  Rows with a null value in a checked column are dropped; an empty
     frame is returned unchanged.
 
-    With ``materialize`` the input is checkpointed once (reliable checkpoint
-    in ``spark.checkpoint.dir``), so the quantile passes re-read it instead of
-    recomputing its lineage.
+    With ``materialize`` the input is written once as Parquet under
+    ``spark.checkpoint.dir``, so the quantile passes re-read one column of it
+    instead of recomputing its lineage.
     """
     if materialize:
         df = _materialized(df)
