@@ -20,7 +20,6 @@ protocol, so a lost executor only re-runs its tasks.
 
 from __future__ import annotations
 
-import time
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -146,25 +145,33 @@ def run_layers(spark: SparkSession, landing: str, root: str, zones: SizedDimensi
     layers under ``root`` up to date.
 
     The first run (or ``incremental=False``) builds everything.  Later runs
-    rebuild only the pickup months of the rows this run ingested; the months
-    are found by one small aggregation over the new rows (a bounded list:
-    one entry per calendar month)."""
-    started = int(time.time()) - 1  # epoch seconds, a little before this run's first batch
+    rebuild only the pickup months of raw rows not yet processed: rows whose
+    ingestion time is later than the mark a previous run recorded after ALL
+    its layers were written.  A run that dies after ingesting leaves the mark
+    behind, so the next run processes those rows again; nothing is skipped.
+    The months come from one small aggregation (one row per month)."""
     result = ingest(spark, landing, f"{root}/raw", f"{root}/_checkpoints/raw")
     raw = read_ingested(spark, result.sink_path)
     built = _exists(spark, f"{root}/clean") and all(_exists(spark, f"{root}/{g}") for g in GOLD_BUILDERS)
+    mark = _read_mark(spark, root) if (incremental and built) else None
 
+    pending = raw if mark is None else raw.filter(F.col("_ingestion_time") > F.lit(mark))
+    stats = (pending.groupBy(month_key(F.col("tpep_pickup_datetime")).alias("m"))
+             .agg(F.max("_ingestion_time").alias("t")).collect())
+    newest = max((r["t"] for r in stats if r["t"] is not None), default=None)
     months = None
-    if incremental and built:
-        fresh = raw.filter(F.unix_timestamp("_ingestion_time") >= started)
-        months = sorted(r[0] for r in fresh.select(month_key(F.col("tpep_pickup_datetime")).alias("m"))
-                        .filter(F.col("m").isNotNull()).distinct().collect())
+    if mark is not None:
+        months = sorted(r["m"] for r in stats if r["m"] is not None)
         if not months:
+            if newest is not None:
+                _write_mark(spark, root, newest)  # only rows that no layer keeps (no pickup time)
             return LayerRun(result, [], _paths(root))
     run = LayerRun(result, months, _paths(root))
 
     batches = sized_month_batches(raw, months, batch_rows)
     if not batches:
+        if newest is not None:
+            _write_mark(spark, root, newest)
         return run
     for i, (batch, rows) in enumerate(batches):
         source = raw.filter(in_months(F.col("tpep_pickup_datetime"), batch))
@@ -184,6 +191,8 @@ def run_layers(spark: SparkSession, landing: str, root: str, zones: SizedDimensi
         table = build(written, period, [*locations, MONTH_KEY]).repartition(MONTH_KEY)
         _write(table, run.paths[layer], replace_all=months is None)
 
+    if newest is not None:
+        _write_mark(spark, root, newest)
     if table_prefix:
         for layer, path in run.paths.items():
             comment, props = LAYER_TABLES[layer]
@@ -192,6 +201,26 @@ def run_layers(spark: SparkSession, landing: str, root: str, zones: SizedDimensi
     return run
 
 
+def _mark_path(root: str) -> str:
+    return f"{root}/_state/processed_until"
+
+
+def _read_mark(spark: SparkSession, root: str):
+    """Highest ingestion time already reflected in every layer (None: none)."""
+    try:
+        row = spark.read.parquet(_mark_path(root)).agg(F.max("processed_until").alias("t")).first()
+    except AnalysisException:
+        return None
+    return None if row is None else row["t"]
+
+
+def _write_mark(spark: SparkSession, root: str, newest) -> None:
+    """Record progress, after all layers are written.  The value comes from the
+    raw layer itself (the newest ingestion time of the rows processed)."""
+    (spark.createDataFrame([(newest,)], "processed_until timestamp")
+     .write.mode("overwrite").parquet(_mark_path(root)))
+
+
 def _paths(root: str) -> dict:
     return {"raw": f"{root}/raw", "clean": f"{root}/clean", **{g: f"{root}/{g}" for g in GOLD_BUILDERS}}
 

@@ -61,3 +61,18 @@ def test_month_batches_bound_each_job(spark, tmp_dir):
         if layer == "clean":
             a, b = a.drop("_ingestion_time", "_source_file"), b.drop("_ingestion_time", "_source_file")
         assert _rows(a) == _rows(b), layer
+
+
+def test_run_dying_after_ingest_loses_nothing(spark, tmp_dir):
+    from meterline.streaming.ingest import ingest
+    zones = sized_zones(zones_frame(spark, [(1, "Alpha"), (2, "Beta")]))
+    landing, root = f"{tmp_dir}/landing", f"{tmp_dir}/inc"
+    raw_frame(spark, _trips(1, 30)).coalesce(1).write.parquet(landing)
+    run_layers(spark, landing, root, zones)
+    raw_frame(spark, _trips(4, 15)).coalesce(1).write.mode("append").parquet(landing)
+    # a run that ingests the new file and then dies before rebuilding any layer
+    assert ingest(spark, landing, f"{root}/raw", f"{root}/_checkpoints/raw").rows == 15
+    resumed = run_layers(spark, landing, root, zones)
+    assert resumed.ingest.rows == 0 and resumed.months == ["2024-04"]
+    assert read_layer(spark, resumed, "clean").count() == 45
+    assert run_layers(spark, landing, root, zones).months == []
