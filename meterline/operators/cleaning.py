@@ -39,15 +39,20 @@ FILL_VALUES = {
 # ---------------------------------------------------------------------------
 
 
+_FILL_BY_LOWER = {k.lower(): v for k, v in FILL_VALUES.items()}
+_CAST_BY_LOWER = {k.lower(): (k, v) for k, v in CAST_TYPES.items()}
+
+
 def filled(name: str, dtype: str) -> Column:
     """Column ``name`` with its default filled in (NaN counts as missing in a
-    floating-point column, as ``fillna`` does)."""
+    floating-point column, as ``fillna`` does).  Names match case-insensitively."""
     c = F.col(name)
-    if name not in FILL_VALUES:
+    value = _FILL_BY_LOWER.get(name.lower())
+    if value is None:
         return c
     if dtype in ("double", "float"):
-        return F.coalesce(F.nanvl(c, F.lit(None)), F.lit(float(FILL_VALUES[name])))
-    return F.coalesce(c, F.lit(FILL_VALUES[name]))
+        return F.coalesce(F.nanvl(c, F.lit(None)), F.lit(float(value)))
+    return F.coalesce(c, F.lit(value))
 
 
 def fill_missing(df: DataFrame) -> DataFrame:
@@ -63,7 +68,11 @@ def typed_columns(df: DataFrame, with_minutes: bool = True) -> list[Column]:
 
 @per_application
 def _typed_columns(dtypes: tuple, with_minutes: bool) -> list[Column]:
-    cols = [(filled(c, t).cast(CAST_TYPES[c]) if c in CAST_TYPES else filled(c, t)).alias(c) for c, t in dtypes]
+    cols = []
+    for c, t in dtypes:
+        known = _CAST_BY_LOWER.get(c.lower())
+        # contract columns take the contract's spelling (files say PULocationID)
+        cols.append(filled(c, t).cast(known[1]).alias(known[0]) if known else filled(c, t).alias(c))
     if with_minutes:
         pickup = filled("tpep_pickup_datetime", "").cast("timestamp")
         dropoff = filled("tpep_dropoff_datetime", "").cast("timestamp")
@@ -87,7 +96,12 @@ def cast_columns(df: DataFrame, types: dict = CAST_TYPES) -> DataFrame:
     ``timestamp_ntz -> timestamp`` reads wall-clock values in the session zone
     (UTC, see ``meterline.session``).
     """
-    return df.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
+    by_lower = {k.lower(): (k, v) for k, v in types.items()}
+    out = []
+    for c in df.columns:
+        known = by_lower.get(c.lower())
+        out.append(F.col(c).cast(known[1]).alias(known[0]) if known else F.col(c))
+    return df.select(*out)
 
 
 def trip_minutes(df: DataFrame) -> Column:

@@ -90,23 +90,27 @@ def conform(df: DataFrame, contract: T.StructType = RAW_SCHEMA, keep_extra: bool
     nulls (files written before a column existed), and fail loudly on an
     incompatible type.  Extra columns (such as lineage) are kept after the
     contract's columns unless ``keep_extra`` is false.
+
+    Names match case-insensitively, as Spark resolves them (trip files spell
+    ``PULocationID`` or ``Airport_fee``); the output uses the contract's
+    spelling.
     """
-    actual = {f.name: f.dataType for f in df.schema.fields}
+    actual = {f.name.lower(): (f.name, f.dataType) for f in df.schema.fields}
     out: list[Column] = []
     for field in contract.fields:
-        have = actual.get(field.name)
+        name, have = actual.get(field.name.lower(), (None, None))
         if have is None:
             out.append(F.lit(None).cast(field.dataType).alias(field.name))
         elif have == field.dataType:
-            out.append(F.col(field.name))
+            out.append(F.col(name).alias(field.name))
         elif (type(have), type(field.dataType)) in _WIDENING or isinstance(have, T.DecimalType):
-            out.append(F.col(field.name).cast(field.dataType).alias(field.name))
+            out.append(F.col(name).cast(field.dataType).alias(field.name))
         else:
             raise SchemaContractError(
                 f"column {field.name}: {have.simpleString()} is not compatible with "
                 f"{field.dataType.simpleString()}")
-    names = {f.name for f in contract.fields}
-    extra = [F.col(c) for c in df.columns if c not in names] if keep_extra else []
+    names = {f.name.lower() for f in contract.fields}
+    extra = [F.col(c) for c in df.columns if c.lower() not in names] if keep_extra else []
     return df.select(*out, *extra)
 
 
@@ -115,10 +119,10 @@ def schema_check(df: DataFrame, contract: T.StructType = RAW_SCHEMA) -> DataFram
     match, and how many non-null values would not survive the cast to the
     expected type (one pass over the data).
     """
-    actual = {f.name: f.dataType for f in df.schema.fields}
+    actual = {f.name.lower(): f.dataType for f in df.schema.fields}
     checks = []
     for field in contract.fields:
-        have = actual.get(field.name)
+        have = actual.get(field.name.lower())
         if have is None:
             bad = F.lit(0).cast("bigint")
         else:
@@ -128,7 +132,7 @@ def schema_check(df: DataFrame, contract: T.StructType = RAW_SCHEMA) -> DataFram
     counts = df.agg(*checks)
     rows = []
     for field in contract.fields:
-        have = actual.get(field.name)
+        have = actual.get(field.name.lower())
         rows.append(F.struct(
             F.lit(field.name).alias("column_name"),
             F.lit(field.dataType.simpleString()).alias("expected_type"),

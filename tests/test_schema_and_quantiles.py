@@ -119,3 +119,23 @@ def test_backfill_rejects_incompatible_files(spark, tmp_dir):
     bad.write.parquet(f"{tmp_dir}/bad")
     with pytest.raises(SchemaContractError):
         read_trip_files(spark, f"{tmp_dir}/bad")
+
+
+def test_trip_file_spellings(spark, tmp_dir):
+    """Real trip files spell PULocationID / DOLocationID / Airport_fee."""
+    from meterline.plans.silver import clean_trips, typed_trips
+    from meterline.sources.fixture import read_trip_files
+    from meterline.sources.zones import sized_zones
+    from tests.helpers import zones_frame
+    df = (raw_frame(spark, [trip(PUlocationID=None, airport_fee=1.25, total_amount=18.25)])
+          .withColumnRenamed("PUlocationID", "PULocationID").withColumnRenamed("DOlocationID", "DOLocationID")
+          .withColumnRenamed("airport_fee", "Airport_fee"))
+    df.write.parquet(f"{tmp_dir}/tlc")
+    back = read_trip_files(spark, f"{tmp_dir}/tlc")
+    assert back.columns == list(RAW_SCHEMA.names)
+    row = back.first()
+    assert row["PUlocationID"] is None and row["DOlocationID"] == 2 and row["airport_fee"] == 1.25
+    typed = typed_trips(df).first()
+    assert typed["PUlocationID"] == 999 and typed["DOlocationID"] == 2
+    clean = clean_trips(df, sized_zones(zones_frame(spark, [(2, "Beta")]))).first()
+    assert clean["DOlocationID"] == "Beta" and clean["PUlocationID"] is None and clean["airport_fee"] == 1.25
