@@ -56,6 +56,11 @@ def test_gold_reads_only_needed_columns_from_clean_table(spark, small_dir, tmp_d
     names = {f.split(":")[0] for f in schema.split(",")}
     assert names == {"PUlocationID", "tpep_pickup_datetime", "trip_distance", "trip_time_minutes",
                      "total_amount", "tip_amount"}
+    # one shuffle: partial aggregate -> Exchange -> final aggregate
+    for build in (G.trip_metrics, G.bucket_metrics, G.passenger_metrics):
+        plan = _plan(build(spark.read.parquet(f"{tmp_dir}/clean"), "day", ["PUlocationID"]))
+        assert plan.count("Exchange hashpartitioning") == 1
+        assert "SortAggregate" not in plan
 
 
 def test_profiles_are_single_pass(spark, small_dir):
