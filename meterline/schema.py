@@ -81,6 +81,15 @@ _WIDENING = {
 }
 
 
+# Floating-point files for integer contract columns (trip files store codes
+# and passenger counts as double in some years): ``try_cast``, so fractions
+# truncate as the source's cast does and NaN or overflow become null.
+_FLOAT_TO_INTEGER = {
+    (T.DoubleType, T.LongType), (T.DoubleType, T.IntegerType),
+    (T.FloatType, T.LongType), (T.FloatType, T.IntegerType),
+}
+
+
 class SchemaContractError(ValueError):
     """A column's type cannot be brought to the contract."""
 
@@ -105,6 +114,8 @@ def conform(df: DataFrame, contract: T.StructType = RAW_SCHEMA, keep_extra: bool
             out.append(F.col(name).alias(field.name))
         elif (type(have), type(field.dataType)) in _WIDENING or isinstance(have, T.DecimalType):
             out.append(F.col(name).cast(field.dataType).alias(field.name))
+        elif (type(have), type(field.dataType)) in _FLOAT_TO_INTEGER:
+            out.append(F.col(name).try_cast(field.dataType).alias(field.name))
         else:
             raise SchemaContractError(
                 f"column {field.name}: {have.simpleString()} is not compatible with "

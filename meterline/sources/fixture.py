@@ -90,13 +90,22 @@ def trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
     return df.unionAll(copies).select(*RAW_COLUMNS)
 
 
-def read_trip_files(spark: SparkSession, path: str) -> DataFrame:
-    """Batch backfill of raw trip files whose schemas differ from file to
-    file (columns added over the years, widths changed): Parquet schema
-    merging, then the raw contract (absent columns as nulls, compatible
-    widening casts, an error on anything else)."""
+def read_trip_files(spark: SparkSession, *paths: str) -> DataFrame:
+    """Batch backfill of raw trip files whose schemas differ over the years.
+
+    Each path (say, one folder per year) is read with Parquet schema merging
+    (columns added later), brought to the raw contract (absent columns as
+    nulls, widening casts, doubles into integer codes, an error on anything
+    else), and the groups are unioned by name.  Paths whose types conflict
+    with each other (long in one year, double in another) are therefore
+    passed separately."""
     from meterline.schema import conform
-    return conform(spark.read.option("mergeSchema", "true").parquet(path), RAW_SCHEMA)
+    frames = [conform(spark.read.option("mergeSchema", "true").parquet(p), RAW_SCHEMA, keep_extra=False)
+              for p in paths]
+    out = frames[0]
+    for frame in frames[1:]:
+        out = out.unionByName(frame)
+    return out
 
 
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:

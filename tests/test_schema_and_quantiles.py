@@ -108,9 +108,22 @@ def test_backfill_merges_evolving_files(spark, tmp_dir):
     old.write.parquet(f"{tmp_dir}/files/year=2022")
     new.write.parquet(f"{tmp_dir}/files/year=2024")
     df = read_trip_files(spark, f"{tmp_dir}/files")
-    assert [(f.name, f.dataType) for f in df.schema.fields[:18]] == [(f.name, f.dataType) for f in RAW_SCHEMA.fields]
-    got = sorted((r["year"], r["airport_fee"]) for r in df.collect())
-    assert got == [(2022, None), (2024, 1.25)]
+    assert [(f.name, f.dataType) for f in df.schema.fields] == [(f.name, f.dataType) for f in RAW_SCHEMA.fields]
+    got = sorted((r["airport_fee"] is None, r["airport_fee"]) for r in df.collect())
+    assert got == [(False, 1.25), (True, None)]
+
+
+def test_backfill_years_with_conflicting_types(spark, tmp_dir):
+    from meterline.sources.fixture import read_trip_files
+    doubles = (raw_frame(spark, [trip(passenger_count=2), trip(passenger_count=None)])
+               .withColumn("passenger_count", F.col("passenger_count").cast("double"))
+               .withColumn("RatecodeID", F.lit(float("nan"))))
+    doubles.write.parquet(f"{tmp_dir}/y2023")
+    raw_frame(spark, [trip(passenger_count=3)]).write.parquet(f"{tmp_dir}/y2024")
+    df = read_trip_files(spark, f"{tmp_dir}/y2023", f"{tmp_dir}/y2024")
+    assert [(f.name, f.dataType) for f in df.schema.fields] == [(f.name, f.dataType) for f in RAW_SCHEMA.fields]
+    got = sorted((r["passenger_count"] or -1, r["RatecodeID"] or -1) for r in df.collect())
+    assert got == [(-1, -1), (2, -1), (3, 1)]
 
 
 def test_backfill_rejects_incompatible_files(spark, tmp_dir):
