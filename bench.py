@@ -47,7 +47,11 @@ def main() -> None:
         once(name)  # warm-up
         timings[name] = round(statistics.median(once(name) for _ in range(runs)), 3)
     rows = spark.read.parquet(landing_path(spark, sf_dir)).count()
-    sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
+    label = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
+    try:
+        sf = float(label)
+    except ValueError:
+        sf = label
     print(json.dumps({
         "metric": "headline_median_total",
         "value": round(sum(timings.values()), 3),
