@@ -26,6 +26,23 @@ def zone_dimension(zones: DataFrame) -> DataFrame:
             .agg(F.max_by("zone", "_pos").alias("zone")))
 
 
+_ROW_BOUNDS: dict = {}
+
+
+def _row_bound(df: DataFrame) -> int:
+    """Row count of ``df``, remembered per application and exact set of input
+    files (a rewritten table has new file names, so it is counted again);
+    frames not read from files are always counted."""
+    files = tuple(sorted(df.inputFiles()))
+    if not files:
+        return df.count()
+    sc = df.sparkSession.sparkContext
+    key = (sc.applicationId, files, df.schema.json())
+    if key not in _ROW_BOUNDS:
+        _ROW_BOUNDS[key] = df.count()
+    return _ROW_BOUNDS[key]
+
+
 class SizedDimension:
     """A dimension table whose size is bounded once, so every join on it knows
     whether broadcasting is safe.
@@ -37,7 +54,7 @@ class SizedDimension:
     def __init__(self, df: DataFrame, max_broadcast_rows: int = BROADCAST_MAX_ROWS,
                  bound: DataFrame | None = None):
         self.df = df
-        self.rows_bound = (df if bound is None else bound).count()
+        self.rows_bound = _row_bound(df if bound is None else bound)
         self.broadcastable = self.rows_bound <= max_broadcast_rows
 
     def side(self) -> DataFrame:
