@@ -117,8 +117,7 @@ def month_batches(raw: DataFrame, months: list | None, batch_rows: int = BATCH_R
     """Consecutive pickup months packed into batches of at most ``batch_rows``
     raw rows (a month larger than that is a batch of its own).  One counting
     aggregation over the pickup column; the result has one row per month."""
-    source = raw if months is None else raw.filter(in_months(F.col("tpep_pickup_datetime"), months))
-    return [months for months, _ in sized_month_batches(raw, months, batch_rows)]
+    return [batch for batch, _ in sized_month_batches(raw, months, batch_rows)]
 
 
 def sized_month_batches(raw: DataFrame, months: list | None, batch_rows: int = BATCH_ROWS) -> list[tuple[list, int]]:
