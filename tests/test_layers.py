@@ -76,3 +76,18 @@ def test_run_dying_after_ingest_loses_nothing(spark, tmp_dir):
     assert resumed.ingest.rows == 0 and resumed.months == ["2024-04"]
     assert read_layer(spark, resumed, "clean").count() == 45
     assert run_layers(spark, landing, root, zones).months == []
+
+
+def test_layer_tables_registered(spark, tmp_dir):
+    from meterline.sources.sinks import table_properties
+    zones = sized_zones(zones_frame(spark, [(1, "Alpha"), (2, "Beta")]))
+    landing = f"{tmp_dir}/landing"
+    raw_frame(spark, _trips(5, 12)).coalesce(1).write.parquet(landing)
+    run_layers(spark, landing, f"{tmp_dir}/t", zones, table_prefix="ml_layers")
+    expected = {"raw": "bronze", "clean": "silver", "gold_trips": "gold", "gold_bucket": "gold",
+                "gold_passengers": "gold"}
+    for layer, quality in expected.items():
+        assert table_properties(spark, f"ml_layers_{layer}").get("quality") == quality
+    assert spark.table("ml_layers_clean").count() == 12
+    assert spark.table("ml_layers_gold_trips").filter("pickup_ym = '2024-05'").count() > 0
+    assert spark.table("ml_layers_raw").columns[-2:] == ["_ingestion_time", "_source_file"]
