@@ -91,3 +91,14 @@ def test_layer_tables_registered(spark, tmp_dir):
     assert spark.table("ml_layers_clean").count() == 12
     assert spark.table("ml_layers_gold_trips").filter("pickup_ym = '2024-05'").count() > 0
     assert spark.table("ml_layers_raw").columns[-2:] == ["_ingestion_time", "_source_file"]
+
+
+def test_month_ranges_wrap_years_and_merge_runs(spark):
+    from pyspark.sql import functions as F
+    from meterline.plans.layers import _next_month, in_months
+    assert _next_month("2024-12") == "2025-01" and _next_month("2024-01") == "2024-02"
+    stamps = [dt.datetime(2024, 11, 30, 23, 59, 59), dt.datetime(2024, 12, 15), dt.datetime(2025, 1, 31, 23, 59, 59),
+              dt.datetime(2025, 2, 1), dt.datetime(2025, 4, 1), dt.datetime(2025, 3, 31, 12)]
+    df = spark.createDataFrame([(s,) for s in stamps], "ts timestamp_ntz")
+    got = [r["ts"] for r in df.filter(in_months(F.col("ts"), ["2025-01", "2024-12", "2025-04"])).orderBy("ts").collect()]
+    assert got == [dt.datetime(2024, 12, 15), dt.datetime(2025, 1, 31, 23, 59, 59), dt.datetime(2025, 4, 1)]
