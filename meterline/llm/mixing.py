@@ -28,9 +28,14 @@ from meterline.llm.common import WORD_PATTERN, bucket_of, staged
 EPS = 1e-9
 
 
-def flight(pi: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+# Fractional documents of a source that the landing decides at once.
+LANDING = 14
+
+
+def flight(pi: np.ndarray, size: np.ndarray, rng: np.random.Generator, leave: int = 2) -> np.ndarray:
     """Move ``pi`` through the null-space of (documents, words) until at most
-    two entries are fractional.  Three entries are active at a time."""
+    ``leave`` (two at least) entries are fractional.  Three entries are active
+    at a time, taken in order."""
     pi, words = pi.tolist(), size.tolist()
     waiting = [i for i, p in enumerate(pi) if EPS < p < 1 - EPS]
     waiting.reverse()
@@ -38,7 +43,7 @@ def flight(pi: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.nda
     while True:
         while len(active) < 3 and waiting:
             active.append(waiting.pop())
-        if len(active) < 3:
+        if len(active) < 3 or len(active) + len(waiting) <= leave:
             return np.array(pi)
         a, b, c = active
         # u with u.1 = 0 and u.words = 0; any shift if all three are as long.
@@ -56,23 +61,25 @@ def flight(pi: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.nda
 
 
 def landing(pi: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Round the last fractional entries (two at most) so that the words come
-    nearest to their expectation; of equals, the choice with fewer words."""
-    left = [i for i, p in enumerate(pi) if EPS < p < 1 - EPS]
-    want = sum(pi[i] * size[i] for i in left)
-    best = min(range(1 << len(left)), key=lambda m: (abs(sum(size[i] for j, i in enumerate(left) if m >> j & 1) - want), m))
-    for j, i in enumerate(left):
-        pi[i] = best >> j & 1
+    """Round the last fractional entries, ``LANDING`` at most: of all choices
+    with a document count within one of its expectation, the one whose words
+    come nearest to theirs."""
+    left = np.flatnonzero((pi > EPS) & (pi < 1 - EPS))
+    picks = np.arange(1 << len(left))[:, None] >> np.arange(len(left)) & 1
+    off = np.abs(picks @ size[left] - pi[left] @ size[left])
+    off[np.abs(picks.sum(1) - pi[left].sum()) > 1] = np.inf
+    pi[left] = picks[off.argmin()]
     return np.round(pi)
 
 
 def fly(last: bool) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        # Long documents fly first, so that what is left fractional is short.
-        rows = rows.drop(columns="b").sort_values(["size", "draw", "unit"], ascending=[False, True, True])
+        # Short documents fly first: a choice among the longest few can come
+        # near any sum, so they are what the landing is left with.
+        rows = rows.drop(columns="b").sort_values(["size", "draw", "unit"])
         rng = np.random.default_rng(int(rows["draw"].iloc[0]) & (2**63 - 1))
         size = rows["size"].to_numpy(np.int64)
-        pi = flight(rows["pi"].to_numpy(float), size, rng)
+        pi = flight(rows["pi"].to_numpy(float), size, rng, LANDING if last else 2)
         return rows.assign(pi=landing(pi, size) if last else pi)
     return run
 
