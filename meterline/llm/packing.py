@@ -8,6 +8,8 @@ with its successor, the smallest free gap that holds it; of pieces that want
 the same gaps the longer go first, and among equals the rank decides.  A gap
 takes one piece a round.  Then the gaps are updated and the next round starts;
 what finds no gap opens new sequences, as many as its tokens need at least.
+Rounds take the pieces over half the capacity first, then those over a quarter,
+and so on, so that short pieces fill what long ones leave.
 
 The sweep works on runs (at most ``capacity`` sizes of pieces), so its state
 depends on the capacity and the rounds and not on the number of documents.
@@ -20,7 +22,7 @@ from __future__ import annotations
 
 import os
 import zlib
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +34,7 @@ CAPACITY = 2048
 SALTS = 64
 
 # Words whose ids a worker remembers; then it starts anew.
-WORD_CACHE = 200_000
+WORD_CACHE = 500_000
 
 
 def tokenizer_path() -> str:
@@ -41,33 +43,41 @@ def tokenizer_path() -> str:
 
 
 class WordTokenizer:
-    """Ids of a text as little-endian unsigned 32-bit bytes.  This tokenizer
-    drops white space and never joins across it, so a text's ids are its
-    words' ids in order, and each distinct word is encoded once."""
+    """Ids of texts as little-endian unsigned 32-bit bytes.  This tokenizer
+    lowers case, drops white space and never joins across it, so a text's ids
+    are its lower-cased words' ids in order, and a word is encoded once."""
 
     def __init__(self, path: str):
         self.path, self.known, self.model = path, {}, None
 
     def learn(self, words: Iterable[bytes]) -> None:
+        """Encode many words in one call and cut the ids at the words' ends."""
         if self.model is None:
             os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
             from tokenizers import Tokenizer
             self.model = Tokenizer.from_file(self.path)
-        new = list(words)
+        new = [(w, w.decode()) for w in words]
         for k in range(0, len(new), 1024):
             part = new[k:k + 1024]
-            for word, e in zip(part, self.model.encode_batch([w.decode() for w in part], add_special_tokens=False)):
-                self.known[word] = np.array(e.ids, "<u4").tobytes()
-
-    def ids(self, text: bytes) -> bytes:
-        words = text.split()
-        new = set(words).difference(self.known)
-        if new:
-            if len(self.known) > WORD_CACHE:
-                self.known.clear()
-                new = set(words)
-            self.learn(new)
-        return b"".join(map(self.known.__getitem__, words))
+            found = self.model.encode(" ".join(w for _, w in part), add_special_tokens=False)
+            ids = np.array(found.ids, "<u4")
+            starts = np.array([a for a, _ in found.offsets], np.int64)
+            ends = np.cumsum([len(w) + 1 for _, w in part])
+            cuts = np.searchsorted(starts, ends).tolist()
+            at = 0
+            for (word, _), cut in zip(part, cuts):
+                self.known[word] = ids[at:cut].tobytes()
+                at = cut
+
+    def ids(self, texts: list[bytes]) -> Iterator[bytes]:
+        # Special tokens are matched before case is lowered.
+        docs = [(t if b"<|" in t else t.lower()).split() for t in texts]
+        words = set().union(*docs)
+        if len(self.known) > WORD_CACHE:
+            self.known.clear()
+        self.learn(w for w in words if w not in self.known)
+        for doc in docs:
+            yield b"".join(map(self.known.__getitem__, doc))
 
 
 _workers: dict[str, WordTokenizer] = {}
@@ -80,8 +90,9 @@ def pieces(documents: DataFrame, path: str, capacity: int = CAPACITY) -> DataFra
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         model = _workers.setdefault(path, WordTokenizer(path))
         rows = []
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            ids = model.ids(text.as_py() or b"") + b"\0\0\0\0"
+        texts = [t or b"" for t in batch.column(1).to_pylist()]
+        for doc, ids in zip(batch.column(0).to_pylist(), model.ids(texts)):
+            ids += b"\0\0\0\0"
             for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                 part = ids[at:at + 4 * capacity]
                 rows.append((doc, piece, at // 4, len(part) // 4, zlib.crc32(part)))
@@ -107,32 +118,37 @@ def plan_rounds(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[
         if gap > length:
             into.setdefault(gap - length, []).append((first, many))
 
+    floor = capacity
     while any(left.values()):
-        # One sweep: successors of the free gaps, every gap used once.
-        after: dict[int, list[tuple[int, int]]] = {}
-        free: list[tuple[int, int, int]] = []  # smallest gap last
-        matched = False
-        for size in sorted({*gaps, *(n for n, c in left.items() if c)}, reverse=True):
-            free += [(size, *run) for run in gaps.pop(size, ())]
-            while left.get(size) and free:
-                gap, first, many = free.pop()
-                now = min(many, left[size])
-                if now < many:
-                    free.append((gap, first + now, many - now))
-                put(size, first, now, gap, after)
-                matched = True
-        for gap, first, many in free:
-            after.setdefault(gap, []).append((first, many))
-        gaps = after
-        if not matched:
-            # No gap holds any of these: the longest open new sequences.
-            need = -(-sum(n * c for n, c in left.items()) // capacity)
-            for size in sorted((n for n, c in left.items() if c), reverse=True):
-                now = left[size] if 2 * size > capacity else min(need, left[size])
-                if now > 0:
-                    put(size, sequences, now, capacity, gaps)
-                    sequences += now
-                    need -= now
+        # Longer pieces first: those over half the last bound, until none is left.
+        floor //= 2
+        band = sorted((n for n in left if n > floor), reverse=True)
+        while any(left[n] for n in band):
+            # One sweep: successors of the free gaps, every gap used once.
+            after: dict[int, list[tuple[int, int]]] = {}
+            free: list[tuple[int, int, int]] = []  # smallest gap last
+            matched = False
+            for size in sorted({*gaps, *band}, reverse=True):
+                free += [(size, *run) for run in gaps.pop(size, ())]
+                while left.get(size) and free and size > floor:
+                    gap, first, many = free.pop()
+                    now = min(many, left[size])
+                    if now < many:
+                        free.append((gap, first + now, many - now))
+                    put(size, first, now, gap, after)
+                    matched = True
+            for gap, first, many in free:
+                after.setdefault(gap, []).append((first, many))
+            gaps = after
+            if not matched:
+                # No gap holds any of these: the longest open new sequences.
+                need = -(-sum(n * left[n] for n in band) // capacity)
+                for size in band:
+                    now = left[size] if 2 * size > capacity else min(need, left[size])
+                    if now > 0:
+                        put(size, sequences, now, capacity, gaps)
+                        sequences += now
+                        need -= now
     return plan
 
 

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from meterline.llm import langid, mixing, simhash, url_filter
+from meterline.llm import langid, linededup, mixing, packing, simhash, url_filter
 from meterline.llm.common import table
 
 # The rules of the url query.
@@ -23,6 +23,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -32,6 +36,13 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "size", "source_size", "target", "taken"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: lines, lines dropped, and the digest of the kept text (null text as empty)."""
+    rows = linededup.drop_recurring_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "n_lines", "n_dropped",
+                       F.sha2(F.coalesce("kept_text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     out = F.coalesce(langid.held_out(F.col("doc_id")), F.lit(False))
@@ -39,7 +50,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents, profiles).select("doc_id", out.alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op6_url_filter, op7_mixing, op10_language_id)}
+QUERIES = {f.__name__: f for f in (
+    op1_simhash, op3_packing, op6_url_filter, op7_mixing, op8_line_dedup, op10_language_id)}
 
 ORACLE = {
     "op6_url_filter": r"""
