@@ -120,14 +120,21 @@ def learn_profiles(documents: DataFrame, length: int = 300, sample_rows: int = 2
     return Profiles(profiles, length)
 
 
-def identify(documents: DataFrame, profiles: Profiles) -> DataFrame:
-    """(doc_id, lang_pred, score) of every row's whole text.
+def identify(documents: DataFrame, profiles: Profiles, keep: tuple = ()) -> DataFrame:
+    """(doc_id, lang_pred, score) of every row's whole text, and the columns
+    named in ``keep`` (``text`` as text).
 
     Null or empty text, text without a letter, and no learned language give
     ``und`` with score 0.  Repeated rows give equal rows; other columns are
-    never read."""
+    never read unless kept."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [profiles.predict(t.as_py()) for t in batch.column(1)]
-        return pa.record_batch([batch.column(0), pa.array([x[0] for x in found], pa.string()),
-                                pa.array([x[1] for x in found], pa.float64())], names=["doc_id", "lang_pred", "score"])
-    return map_rows(text_bytes(documents), run, "doc_id long, lang_pred string, score double")
+        told = {"lang_pred": pa.array([x[0] for x in found], pa.string()), "score": pa.array([x[1] for x in found], pa.float64())}
+        own = {"doc_id": batch.column(0), "text": batch.column(1).cast(pa.string()),
+               **dict(zip(others, batch.columns[2:]))}
+        return pa.record_batch({**told, **{c: own[c] for c in ("doc_id", *keep)}})
+
+    others = [c for c in keep if c != "text"]
+    kinds = dict(documents.select(*others).dtypes) | {"text": "string"}
+    return map_rows(text_bytes(documents, *others), run, ", ".join(
+        ["lang_pred string", "score double", "doc_id long", *(f"`{c}` {kinds[c]}" for c in keep)]))
