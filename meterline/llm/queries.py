@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from meterline.llm import langid, linededup, mixing, packing, simhash, url_filter
+from meterline.llm import ann, bitsliced, langid, linededup, mixing, packing, simhash, url_filter
 from meterline.llm.common import table
 
 # The rules of the url query.
@@ -27,6 +27,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -43,6 +47,10 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.coalesce("kept_text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitsliced.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     out = F.coalesce(langid.held_out(F.col("doc_id")), F.lit(False))
@@ -51,9 +59,20 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_simhash, op3_packing, op6_url_filter, op7_mixing, op8_line_dedup, op10_language_id)}
+    op1_simhash, op3_packing, op4_ann, op6_url_filter, op7_mixing, op8_line_dedup,
+    op9_top_k, op10_language_id)}
 
 ORACLE = {
+    "op9_top_k": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+  WHERE len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding) AND len(embedding) > 0),
+s AS (
+  SELECT a.vec_id AS query_id, b.vec_id,
+    CAST(list_sum(list_transform(list_zip(a.q, b.q), x -> x[1] * x[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
     "op6_url_filter": r"""
 WITH parts AS (
   SELECT page_id,
