@@ -65,11 +65,11 @@ QUERIES = {f.__name__: f for f in (
 ORACLE = {
     "op9_top_k": """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
-  WHERE len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding) AND len(embedding) > 0),
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding) AND len(embedding) > 0),
 s AS (
   SELECT a.vec_id AS query_id, b.vec_id,
-    CAST(list_sum(list_transform(list_zip(a.q, b.q), x -> x[1] * x[2])) AS BIGINT) AS score
+    CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda x: x[1] * x[2])) AS BIGINT) AS score
   FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
