@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from meterline.llm import ann, bitsliced, langid, linededup, mixing, packing, simhash, url_filter
+from meterline.llm import ann, bitsliced, langid, linededup, mixing, packing, pitman_yor, simhash, url_filter
 from meterline.llm.common import table
 
 # The rules of the url query.
@@ -31,6 +31,10 @@ def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score(table(spark, sf_dir, "documents"), pitman_yor.held_out(F.col("doc_id")))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -59,7 +63,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_simhash, op3_packing, op4_ann, op6_url_filter, op7_mixing, op8_line_dedup,
+    op1_simhash, op3_packing, op4_ann, op5_lm_score, op6_url_filter, op7_mixing, op8_line_dedup,
     op9_top_k, op10_language_id)}
 
 ORACLE = {
