@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from meterline.llm import ann, bitsliced, langid, linededup, mixing, packing, pitman_yor, simhash, url_filter
+from meterline.llm import ann, bitsliced, langid, linededup, mixing, packing, pitman_yor, simhash, substring, url_filter
 from meterline.llm.common import table
 
 # The rules of the url query.
@@ -23,6 +23,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def op2_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = substring.remove_repeats(table(spark, sf_dir, "documents"), window=20)
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -63,10 +68,22 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_simhash, op3_packing, op4_ann, op5_lm_score, op6_url_filter, op7_mixing, op8_line_dedup,
+    op1_simhash, op2_substring, op3_packing, op4_ann, op5_lm_score, op6_url_filter, op7_mixing, op8_line_dedup,
     op9_top_k, op10_language_id)}
 
 ORACLE = {
+    "op2_substring": r"""
+WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), CAST([] AS VARCHAR[])) AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM d WHERE len(w) >= 20),
+g AS (SELECT doc_id, s, sha256(array_to_string(w[s:s + 19], ' ')) AS g FROM p),
+r AS (SELECT doc_id, s, row_number() OVER (PARTITION BY g ORDER BY doc_id, s) AS n FROM g),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS i FROM r WHERE n > 1),
+words AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM d),
+kept AS (
+  SELECT words.doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY words.i) AS t
+  FROM words LEFT JOIN gone ON words.doc_id = gone.doc_id AND words.i = gone.i WHERE gone.i IS NULL GROUP BY words.doc_id)
+SELECT d.doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id""",
     "op9_top_k": """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
