@@ -30,8 +30,8 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 
 def text_bytes(df: DataFrame, *keep: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id as long, text as UTF-8 bytes, ``keep``): what a Python stage reads.
-    Other columns of the input never leave the scan."""
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"),
+    Rows without an id take no part; other columns never leave the scan."""
+    return df.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"),
                      *(F.col(c) for c in keep))
 
 

@@ -77,11 +77,12 @@ def drop_recurring_lines(documents: DataFrame, *, depth: int = 3, similarity: fl
     text: no lines, kept_text null.  Rows of one doc_id are one document: a
     line number dropped in one is dropped in all of them, which for repeated
     rows are the same lines.  Other columns pass through, but for the three
-    added, which replace any of the same name.  An empty table gives no rows.
+    added, which replace any of the same name (_lines and _dropped go, too).
+    An empty table gives no rows.
     """
     dropped = (recurring_lines(documents, depth=depth, similarity=similarity, min_docs=min_docs)
                .groupBy("doc_id").agg(F.collect_set("line_no").alias("_dropped")))
-    rest = [c for c in documents.columns if c not in ("n_lines", "n_dropped", "kept_text", "_dropped")]
+    rest = [c for c in documents.columns if c not in ("n_lines", "n_dropped", "kept_text", "_dropped", "_lines")]
     rows = documents.select(*rest, F.split("text", "\n").alias("_lines")).join(dropped, "doc_id", "left")
     numbered = F.transform("_lines", lambda line, i: F.struct(line.alias("line"), i.alias("i")))
     keep = F.filter(numbered, lambda x: ~F.array_contains("_dropped", x["i"]))

@@ -124,9 +124,10 @@ def mix(documents: DataFrame, *, weights: tuple = (5, 2, 1), max_copies: int = 3
     Null text and empty text have size 0 and are taken with their source's
     rate in documents.  Null sources are one source, the last.  Repeated rows
     count and are drawn each on its own.  A source without words has target
-    0 and takes nothing.  An empty table gives no rows.
+    0 and takes nothing.  Rows without an id take no part, other columns are
+    never read, and an empty table gives no rows.
     """
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
+    rows = documents.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
                             word_count(F.col("text")).alias("size"))
     # Repeated rows of one id are told apart by their place among equals.
     rows = staged(rows.withColumn("unit", F.row_number().over(

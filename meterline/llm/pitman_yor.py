@@ -209,13 +209,13 @@ def score(documents: DataFrame, out: Column, *, contexts: int = 16, head: int =
         once.select("word", "n", "ctx", F.transform("c", lambda x: F.lit(1 - d)).alias("kept"), F.lit(p_once).alias("p0")))
 
     # The most frequent words as one matrix of log probabilities.
-    top = model.orderBy(F.col("n").desc(), "word").limit(head).toArrow()
-    ends = np.cumsum([0, *map(len, top["ctx"])])
-    of = np.repeat(np.arange(top.num_rows), np.diff(ends))
+    top = model.orderBy(F.col("n").desc(), "word").limit(head).toArrow().combine_chunks()
+    many = [np.diff(x.offsets.to_numpy()) for x in top["ctx"].chunks]
+    of = np.repeat(np.arange(top.num_rows), np.concatenate([np.empty(0, np.int64), *many]).astype(np.int64))
     prob = np.array(top["p0"].to_numpy())[:, None] * np.array(back)[None, :]
     if top.num_rows:
-        ctx = np.concatenate([x.as_py() for x in top["ctx"]]).astype(int)
-        prob[of, ctx] += np.concatenate([x.as_py() for x in top["kept"]]) / totals[ctx]
+        ctx, kept_sum = (np.concatenate([x.flatten().to_numpy() for x in top[c].chunks]) for c in ("ctx", "kept"))
+        prob[of, ctx] += kept_sum / totals[ctx]
     log_prob, log_base = np.log10(prob), np.log10((top["n"].to_numpy() + 1) / (n + v + 1))
     known = documents.sparkSession.sparkContext.broadcast(({w.as_py(): i for i, w in enumerate(top["word"])}, log_prob, log_base))
     place = {w: i + 1 for i, w in enumerate(words)}
@@ -229,17 +229,18 @@ def score(documents: DataFrame, out: Column, *, contexts: int = 16, head: int =
         for text in batch.column(1):
             words = tokens(text.as_py())
             ids = np.fromiter((index.get(w, -1) for w in words), np.int64, len(words))
+            have = ids >= 0
+            rest = np.flatnonzero(~have)
             opened = starts[ids]
-            opened[ids < 0] = 0
+            opened[rest] = [place.get(words[i], 0) for i in rest]
             last = np.maximum.accumulate(np.where(opened > 0, np.arange(len(ids)), -1))
             ctx = np.where(last >= 0, opened[last], 0)
             ctx = np.concatenate(([0], ctx[:-1]))
-            have = ids >= 0
             out["n_tokens"].append(len(ids))
             out["n_head"].append(int(have.sum()))
             out["head_score"].append(float(log_prob[ids[have], ctx[have]].sum()))
             out["head_base"].append(float(log_base[ids[have]].sum()))
-            out["rare"].append([{"word": words[i], "ctx": int(ctx[i])} for i in np.flatnonzero(~have)])
+            out["rare"].append([{"word": words[i], "ctx": int(ctx[i])} for i in rest])
         rare = pa.array(out.pop("rare"), pa.list_(pa.struct([("word", pa.binary()), ("ctx", pa.int32())])))
         own = {x: pa.array(y, pa.float64() if "_s" in x or "_b" in x else pa.int64()) for x, y in out.items()}
         own["n_tokens"] = pa.array(out["n_tokens"], pa.int64())
