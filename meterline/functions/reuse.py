@@ -9,6 +9,7 @@ per application serves every query.
 from __future__ import annotations
 
 import functools
+import inspect
 
 _CACHE: dict = {}
 
@@ -20,10 +21,16 @@ def _application_key():
 
 
 def per_application(fn):
-    """Memoise ``fn(*args)`` per running Spark application (args must be
-    hashable).  Callers must not mutate the returned value."""
+    """Memoise ``fn`` per running Spark application (arguments must be
+    hashable and may be given by name).  Callers must not mutate the returned
+    value."""
+    signature = inspect.signature(fn)
+
     @functools.wraps(fn)
-    def wrapper(*args):
+    def wrapper(*given, **named):
+        bound = signature.bind(*given, **named)
+        bound.apply_defaults()
+        args = tuple(bound.arguments.values())
         app = _application_key()
         if app is None:
             return fn(*args)

@@ -293,6 +293,7 @@ def oracle_queries() -> dict[str, str]:
     q["zone_dim"] = with_(ZONES) + "SELECT * FROM zones"
     q["schema_contract"] = q["scan_trips"]
     q["ingest_stream"] = q["scan_trips"]
+    q["ingest_late_files"] = q["scan_trips"]
     q["ingest_lineage"] = (raw + "SELECT CAST(year(tpep_pickup_datetime) AS INTEGER) AS source_year, "
                            "COUNT(*) AS trips, COUNT(*) AS stamped_trips, COUNT(*) AS traced_trips "
                            "FROM trips_raw GROUP BY source_year")
@@ -360,6 +361,8 @@ def oracle_queries() -> dict[str, str]:
     q["gold_bucket_week"] = clean + gold_bucket_sql("week", [])
     q["gold_bucket_month"] = clean + gold_bucket_sql("month", ["PUlocationID"])
     q["gold_passengers"] = clean + gold_passengers_sql("day", ["PUlocationID"])
+    q["layers_gold_bucket"] = q["gold_bucket"]
+    q["layers_gold_passengers"] = q["gold_passengers"]
     q["gold_passengers_week"] = clean + gold_passengers_sql("week", ["DOlocationID"])
     q["gold_passengers_month"] = clean + gold_passengers_sql("month", [])
     q["gold_passengers_hour"] = clean + gold_passengers_sql("day", [], by_hour=True)

@@ -12,14 +12,22 @@ table, and each aggregate scan reads only its own columns from Parquet.
 
 Incremental runs.  The dedup key holds the exact pickup time, so duplicates
 never span two pickup months, and every aggregate table groups by pickup year
-and month.  A run therefore rebuilds only the months its newly ingested rows
-touch and replaces just those partitions (dynamic partition overwrite); the
-result equals a full rebuild.  Every write goes through Spark's commit
-protocol, so a lost executor only re-runs its tasks.
+and month.  A run therefore rebuilds only the months that newly ingested
+batches touch and replaces just those partitions (dynamic partition
+overwrite); the result equals a full rebuild.
+
+State.  After all layers are written a run appends one row: the folder
+(version) that holds the layers, the last ingest batch they reflect, and a
+fingerprint of what else they depend on (zone rows, period, locations).  A run
+that dies appends nothing: the next one does its batches again.  A full build
+goes to a new version, so readers keep the old one until the row is written,
+and a changed fingerprint makes a full build.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -29,22 +37,11 @@ from meterline.operators.gold import bucket_metrics, passenger_metrics, trip_met
 from meterline.plans.silver import clean_trips
 from meterline.sources.sinks import register_table
 from meterline.sources.zones import SizedDimension
-from meterline.streaming.ingest import IngestResult, ingest, read_ingested
+from meterline.streaming.ingest import BATCH, IngestResult, ingest, read_batches
 
 # Partition column of the clean and aggregate layers: pickup month, "yyyy-MM".
 MONTH_KEY = "pickup_ym"
 
-# Rows of raw trips cleaned per job.  Consecutive months are packed into
-# batches up to this size, so one job's dedup shuffle stays bounded, each write
-# task touches few month partitions (few, large files), and a failure costs
-# one batch.
-BATCH_ROWS = 2_000_000_000
-# A batch below this many rows is regrouped by month before it is written (a
-# cheap shuffle at that size), giving one file per month instead of one per
-# task and month.  Larger batches hold few months and write large files as
-# they are.
-SMALL_BATCH_ROWS = 20_000_000
-
 # Table comments and properties of each layer.
 LAYER_TABLES = {
     "raw": ("Raw trip data with ingestion metadata.", {"quality": "bronze"}),
@@ -66,6 +63,7 @@ class LayerRun:
     ingest: IngestResult
     months: list | None = None          # months rebuilt (None = all)
     paths: dict = field(default_factory=dict)
+    schemas: dict = field(default_factory=dict)
 
 
 def month_key(ts: Column) -> Column:
@@ -95,139 +93,106 @@ def in_months(ts: Column, months: list) -> Column:
     return cond
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether a committed layer is readable at ``path`` (an interrupted
-    overwrite leaves none, and the next run rebuilds in full)."""
-    try:
-        return MONTH_KEY in spark.read.parquet(path).columns
-    except AnalysisException:
-        return False
-
-
 def _write(df: DataFrame, path: str, replace_all: bool) -> None:
-    """Overwrite the whole layer, or replace only the month partitions that
-    ``df`` holds (dynamic partition overwrite)."""
-    writer = df.write.partitionBy(MONTH_KEY).mode("overwrite")
+    """Write the whole layer, or replace only the month partitions that ``df``
+    holds.  The rebalance hint deals rows out by month; AQE merges small months
+    into one task and splits large ones."""
+    writer = df.hint("rebalance", F.col(MONTH_KEY)).write.partitionBy(MONTH_KEY).mode("overwrite")
     if not replace_all:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
 
 
-def month_batches(raw: DataFrame, months: list | None, batch_rows: int = BATCH_ROWS) -> list[list[str]]:
-    """Consecutive pickup months packed into batches of at most ``batch_rows``
-    raw rows (a month larger than that is a batch of its own).  One counting
-    aggregation over the pickup column; the result has one row per month."""
-    return [batch for batch, _ in sized_month_batches(raw, months, batch_rows)]
+@dataclass
+class _State:
+    run: int
+    version: str
+    last_batch: int
+    depends_on: str
+
+
+_STATE_SCHEMA = "run long, version string, last_batch long, depends_on string"
+
+
+def _read_state(spark: SparkSession, root: str) -> _State | None:
+    try:
+        row = spark.read.schema(_STATE_SCHEMA).parquet(f"{root}/_state/runs").orderBy(F.col("run").desc()).first()
+    except AnalysisException:
+        return None
+    return None if row is None else _State(**row.asDict())
+
+
+def _append_state(spark: SparkSession, root: str, state: _State) -> None:
+    row = [(state.run, state.version, state.last_batch, state.depends_on)]
+    spark.createDataFrame(row, _STATE_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/_state/runs")
+
 
+def _fingerprint(zones: SizedDimension, period: str, locations: tuple) -> str:
+    """Of everything but the raw rows that the layers are computed from."""
+    z = zones.df.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("LocationID", "zone")).alias("x")).first()
+    return json.dumps([z["n"], z["x"], period, list(locations)])
 
-def sized_month_batches(raw: DataFrame, months: list | None, batch_rows: int = BATCH_ROWS) -> list[tuple[list, int]]:
-    """``month_batches`` with the raw row count of each batch."""
-    source = raw if months is None else raw.filter(in_months(F.col("tpep_pickup_datetime"), months))
-    sizes = sorted((r["m"], r["n"]) for r in source.groupBy(month_key(F.col("tpep_pickup_datetime")).alias("m"))
-                   .agg(F.count(F.lit(1)).alias("n")).filter(F.col("m").isNotNull()).collect())
-    batches, current, rows = [], [], 0
-    for month, n in sizes:
-        if current and rows + n > batch_rows:
-            batches.append((current, rows))
-            current, rows = [], 0
-        current.append(month)
-        rows += n
-    if current:
-        batches.append((current, rows))
-    return batches
+
+def _paths(root: str, version: str) -> dict:
+    return {"raw": f"{root}/raw", **{layer: f"{root}/versions/{version}/{layer}" for layer in ("clean", *GOLD_BUILDERS)}}
 
 
 def run_layers(spark: SparkSession, landing: str, root: str, zones: SizedDimension, *,
                period: str = "day", locations=("PUlocationID",), table_prefix: str | None = None,
-               incremental: bool = True, batch_rows: int = BATCH_ROWS) -> LayerRun:
+               incremental: bool = True) -> LayerRun:
     """Ingest new files from ``landing`` and bring the clean and aggregate
     layers under ``root`` up to date.
 
-    The first run (or ``incremental=False``) builds everything.  Later runs
-    rebuild only the pickup months of raw rows not yet processed: rows whose
-    ingestion time is later than the mark a previous run recorded after ALL
-    its layers were written.  A run that dies after ingesting leaves the mark
-    behind, so the next run processes those rows again; nothing is skipped.
-    The months come from one small aggregation (one row per month)."""
+    The first run, ``incremental=False``, and a changed zone table, period or
+    location list build everything, in a new version folder.  Other runs
+    rebuild the pickup months of the ingest batches not yet reflected (one
+    small aggregation, one row per month).  Input without any valid row gives
+    empty layers.  Old versions are left for the folder's owner to remove."""
     result = ingest(spark, landing, f"{root}/raw", f"{root}/_checkpoints/raw")
-    raw = read_ingested(spark, result.sink_path)
-    built = _exists(spark, f"{root}/clean") and all(_exists(spark, f"{root}/{g}") for g in GOLD_BUILDERS)
-    mark = _read_mark(spark, root) if (incremental and built) else None
-
-    pending = raw if mark is None else raw.filter(F.col("_ingestion_time") > F.lit(mark))
-    stats = (pending.groupBy(month_key(F.col("tpep_pickup_datetime")).alias("m"))
-             .agg(F.max("_ingestion_time").alias("t")).collect())
-    newest = max((r["t"] for r in stats if r["t"] is not None), default=None)
+    raw = read_batches(spark, result.sink_path)
+    state, depends_on = _read_state(spark, root), _fingerprint(zones, period, tuple(locations))
+    full = not incremental or state is None or state.depends_on != depends_on
+    newest = raw.agg(F.max(BATCH).alias("b")).first()["b"]
+    newest = -1 if newest is None else newest
     months = None
-    if mark is not None:
-        months = sorted(r["m"] for r in stats if r["m"] is not None)
-        if not months:
-            if newest is not None:
-                _write_mark(spark, root, newest)  # only rows that no layer keeps (no pickup time)
-            return LayerRun(result, [], _paths(root))
-    run = LayerRun(result, months, _paths(root))
-
-    batches = sized_month_batches(raw, months, batch_rows)
-    if not batches:
-        if newest is not None:
-            _write_mark(spark, root, newest)
-        return run
-    for i, (batch, rows) in enumerate(batches):
-        source = raw.filter(in_months(F.col("tpep_pickup_datetime"), batch))
-        clean = clean_trips(source, zones).withColumn(MONTH_KEY, month_key(F.col("tpep_pickup_datetime")))
-        if rows < SMALL_BATCH_ROWS:
-            clean = clean.repartition(MONTH_KEY)
-        _write(clean, run.paths["clean"], replace_all=months is None and i == 0)
-
-    written = spark.read.parquet(run.paths["clean"])
-    if months is not None:
+    if not full:
+        month = month_key(F.col("tpep_pickup_datetime")).alias("m")
+        pending = raw.filter(F.col(BATCH) > state.last_batch).select(month).distinct().collect()
+        months = sorted(r["m"] for r in pending if r["m"] is not None)
+    version = uuid.uuid4().hex if full else state.version
+    run = LayerRun(result, months, _paths(root, version))
+
+    source = raw.drop(BATCH) if full else raw.drop(BATCH).filter(in_months(F.col("tpep_pickup_datetime"), months))
+    clean = clean_trips(source, zones).withColumn(MONTH_KEY, month_key(F.col("tpep_pickup_datetime")))
+    run.schemas["clean"] = clean.schema
+    if full or months:
+        _write(clean, run.paths["clean"], replace_all=full)
+    written = spark.read.schema(clean.schema).parquet(run.paths["clean"])
+    if not full:
         written = written.filter(F.col(MONTH_KEY).isin(months))  # partition pruning
     for layer, build in GOLD_BUILDERS.items():
         # The month key is fixed by (pickup_year, pickup_month), so grouping by
         # it too leaves every group unchanged; it becomes the partition column.
-        # A month of aggregates is small (bounded by the key cardinality), so
-        # each month is written as one file.
-        table = build(written, period, [*locations, MONTH_KEY]).repartition(MONTH_KEY)
-        _write(table, run.paths[layer], replace_all=months is None)
+        table = build(written, period, [*locations, MONTH_KEY])
+        run.schemas[layer] = table.schema
+        if full or months:
+            _write(table, run.paths[layer], replace_all=full)
 
-    if newest is not None:
-        _write_mark(spark, root, newest)
+    if full or newest > state.last_batch:
+        _append_state(spark, root, _State(0 if state is None else state.run + 1, version, newest, depends_on))
     if table_prefix:
         for layer, path in run.paths.items():
             comment, props = LAYER_TABLES[layer]
-            register_table(spark, f"{table_prefix}_{layer}", path, comment=comment, properties=props,
-                           partitioned=layer != "raw")
+            register_table(spark, f"{table_prefix}_{layer}", path, comment=comment, properties=props, partitioned=True)
     return run
 
 
-def _mark_path(root: str) -> str:
-    return f"{root}/_state/processed_until"
-
-
-def _read_mark(spark: SparkSession, root: str):
-    """Highest ingestion time already reflected in every layer (None: none)."""
-    try:
-        row = spark.read.parquet(_mark_path(root)).agg(F.max("processed_until").alias("t")).first()
-    except AnalysisException:
-        return None
-    return None if row is None else row["t"]
-
-
-def _write_mark(spark: SparkSession, root: str, newest) -> None:
-    """Record progress, after all layers are written.  The value comes from the
-    raw layer itself (the newest ingestion time of the rows processed)."""
-    (spark.createDataFrame([(newest,)], "processed_until timestamp")
-     .write.mode("overwrite").parquet(_mark_path(root)))
-
-
-def _paths(root: str) -> dict:
-    return {"raw": f"{root}/raw", "clean": f"{root}/clean", **{g: f"{root}/{g}" for g in GOLD_BUILDERS}}
-
-
 def read_layer(spark: SparkSession, run: LayerRun, layer: str) -> DataFrame:
     """A layer as written, without the partition column."""
-    df = spark.read.parquet(run.paths[layer])
-    return df.drop(MONTH_KEY) if MONTH_KEY in df.columns else df
+    if layer == "raw":
+        return read_batches(spark, run.paths[layer]).drop(BATCH)
+    # The partition column is the last one of the files' own schema.
+    return spark.read.schema(run.schemas[layer]).parquet(run.paths[layer]).drop(MONTH_KEY)
 
 
 __all__ = ["LayerRun", "run_layers", "read_layer", "MONTH_KEY"]

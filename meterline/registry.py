@@ -89,6 +89,19 @@ def q_ingest_stream(spark, sf):
     return read_ingested(spark, result.sink_path).select(*RAW_COLUMNS)
 
 
+@query("ingest_late_files")
+def q_ingest_late_files(spark, sf):
+    """Files that arrive in a second step are added to those of the first,
+    whatever their order in time: the later half of the rows comes first."""
+    base = scratch_path(spark, "late")
+    late = F.col("tpep_pickup_datetime") < F.lit("2024-06-01").cast("timestamp_ntz")
+    raw = _raw(spark, sf)
+    for part in (raw.filter(~F.coalesce(late, F.lit(False))), raw.filter(late)):
+        part.write.mode("append").parquet(f"{base}/source")
+        result = ingest(spark, f"{base}/source", f"{base}/raw", f"{base}/_checkpoint")
+    return read_ingested(spark, result.sink_path).select(*RAW_COLUMNS)
+
+
 @query("ingest_lineage")
 def q_ingest_lineage(spark, sf):
     """Lineage after ingest: per source partition (pickup year), rows, rows
@@ -115,7 +128,7 @@ def q_events_stream(spark, sf):
     schema = table(spark, sf, "events").schema
     result = ingest(spark, f"{sf.rstrip('/')}/events*.parquet", f"{base}/raw", f"{base}/_checkpoint",
                     schema=schema)
-    return read_ingested(spark, result.sink_path).select(*schema.names)
+    return read_ingested(spark, result.sink_path, schema).select(*schema.names)
 
 
 @query("layers_gold_trips")
@@ -126,6 +139,20 @@ def q_layers_gold_trips(spark, sf):
     return read_layer(spark, run, "gold_trips")
 
 
+@query("layers_gold_bucket")
+def q_layers_gold_bucket(spark, sf):
+    """The distance-band table as the layered job writes it."""
+    run = run_layers(spark, landing_path(spark, sf), scratch_path(spark, "layers"), _zones(spark, sf))
+    return read_layer(spark, run, "gold_bucket")
+
+
+@query("layers_gold_passengers")
+def q_layers_gold_passengers(spark, sf):
+    """The passenger table as the layered job writes it."""
+    run = run_layers(spark, landing_path(spark, sf), scratch_path(spark, "layers"), _zones(spark, sf))
+    return read_layer(spark, run, "gold_passengers")
+
+
 @query("materialize_roundtrip")
 def q_materialize_roundtrip(spark, sf):
     """Clean layer written as a table with comment and properties, read back."""

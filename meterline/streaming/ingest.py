@@ -1,10 +1,13 @@
 """Incremental ingest of Parquet files into the raw layer.
 
-Structured Streaming file source -> two lineage columns -> Parquet file sink.
+Structured Streaming file source -> two lineage columns -> one Parquet folder
+per batch.
 The checkpoint records which files were taken and which batches committed,
 so every file lands exactly once: re-running picks up only new files, and a
-lost executor or a killed run resumes from the last committed batch.  The
-sink's ``_spark_metadata`` log lets batch readers see committed files only.
+lost executor or a killed run resumes from the last committed batch.  Each
+batch overwrites a folder of its own (``ingest_batch=<id>``), so a batch that
+is run again replaces itself, and the batch id tells later jobs what is new
+without any clock.
 """
 
 from __future__ import annotations
@@ -37,7 +40,9 @@ def read_file_stream(spark: SparkSession, source: str, schema: T.StructType = RA
     partitioned ``key=value``, or a glob).  The schema is declared: a file
     stream never infers one, so a changed file cannot silently change the
     table."""
-    reader = spark.readStream.schema(schema)
+    # A file is new if the checkpoint has not seen it, however old its time
+    # stamp is (a backfill, or a copy that keeps time stamps).
+    reader = spark.readStream.schema(schema).option("maxFileAge", "36500d")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.parquet(source)
@@ -48,29 +53,41 @@ def read_file_stream(spark: SparkSession, source: str, schema: T.StructType = RA
 DEFAULT_MAX_FILES_PER_TRIGGER = 1000
 
 
+BATCH = "ingest_batch"
+
+
 def ingest(spark: SparkSession, source: str, sink: str, checkpoint: str, *,
-           schema: T.StructType = RAW_SCHEMA, max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER,
-           partition_by: tuple = ()) -> IngestResult:
+           schema: T.StructType = RAW_SCHEMA,
+           max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER) -> IngestResult:
     """Take every file not yet ingested (``availableNow``: all that is there
-    now, in bounded batches, then stop) and append it to ``sink``."""
+    now, in bounded batches, then stop) and add it to ``sink``.  Rows are
+    counted in what was written, not taken from the stream's progress log,
+    which keeps only the latest batches."""
     stream = with_lineage(read_file_stream(spark, source, schema, max_files_per_trigger))
-    writer = (stream.writeStream.format("parquet")
-              .option("path", sink)
-              .option("checkpointLocation", checkpoint)
-              .outputMode("append")
-              .trigger(availableNow=True))
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    run = writer.start()
+    written: list[str] = []
+
+    def write(rows: DataFrame, batch: int) -> None:
+        path = f"{sink}/{BATCH}={batch}"
+        rows.write.mode("overwrite").parquet(path)
+        written.append(path)
+
+    run = (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+           .trigger(availableNow=True).start())
     run.awaitTermination()
     if run.exception() is not None:
         raise run.exception()
-    progress = run.recentProgress or []
-    rows = sum(int(p.get("numInputRows", 0)) for p in progress)
-    batches = sum(1 for p in progress if int(p.get("numInputRows", 0)) > 0)
-    return IngestResult(sink, checkpoint, batches, rows)
+    rows = spark.read.schema(stream.schema).parquet(*written).count() if written else 0
+    return IngestResult(sink, checkpoint, len(written), rows)
+
+
+def read_batches(spark: SparkSession, sink: str, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
+    """Batch read of the raw layer with the id of the batch each row came in."""
+    lineage = T.StructType(schema.fields + [T.StructField("_ingestion_time", T.TimestampType()),
+                                            T.StructField("_source_file", T.StringType()),
+                                            T.StructField(BATCH, T.LongType())])
+    return spark.read.schema(lineage).parquet(sink)
 
 
-def read_ingested(spark: SparkSession, sink: str) -> DataFrame:
-    """Batch read of the raw layer (committed files only)."""
-    return spark.read.parquet(sink)
+def read_ingested(spark: SparkSession, sink: str, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
+    """Batch read of the raw layer."""
+    return read_batches(spark, sink, schema).drop(BATCH)

@@ -46,21 +46,52 @@ def test_incremental_equals_full(spark, tmp_dir):
     assert read_layer(spark, second, "clean").count() == 40 + 35 + 12  # 5 February rows were copies
 
 
-def test_month_batches_bound_each_job(spark, tmp_dir):
-    from meterline.plans.layers import month_batches
+def test_killed_full_build_leaves_the_old_version(spark, tmp_dir, monkeypatch):
+    import pytest
+    from meterline.plans import layers
     zones = sized_zones(zones_frame(spark, [(1, "Alpha"), (2, "Beta")]))
+    landing, root = f"{tmp_dir}/landing", f"{tmp_dir}/inc"
+    raw_frame(spark, _trips(1, 40) + _trips(2, 30)).coalesce(1).write.parquet(landing)
+    first = run_layers(spark, landing, root, zones)
+    want = _rows(read_layer(spark, first, "gold_trips"))
+    write = layers._write
+    for survives in range(4):  # dies at the first, second, ... write
+        left = [survives]
+
+        def dying(*a, **k):
+            if left[0] == 0:
+                raise RuntimeError("killed")
+            left[0] -= 1
+            write(*a, **k)
+        monkeypatch.setattr(layers, "_write", dying)
+        with pytest.raises(RuntimeError):
+            run_layers(spark, landing, root, zones, incremental=False)
+        monkeypatch.setattr(layers, "_write", write)
+        after = run_layers(spark, landing, root, zones)
+        assert after.months == [] and after.paths == first.paths
+        assert _rows(read_layer(spark, after, "gold_trips")) == want and read_layer(spark, after, "clean").count() == 70
+
+
+def test_changed_zones_and_period_rebuild_everything(spark, tmp_dir):
+    landing, root = f"{tmp_dir}/landing", f"{tmp_dir}/inc"
+    raw_frame(spark, _trips(1, 40)).coalesce(1).write.parquet(landing)
+    run_layers(spark, landing, root, sized_zones(zones_frame(spark, [(1, "Alpha"), (2, "Beta")])))
+    renamed = sized_zones(zones_frame(spark, [(1, "Gamma"), (2, "Beta")]))
+    second = run_layers(spark, landing, root, renamed)
+    assert second.months is None
+    assert not any("Alpha" in map(str, r) for r in read_layer(spark, second, "clean").collect())
+    third = run_layers(spark, landing, root, renamed, period="week")
+    assert third.months is None and "pickup_week" in read_layer(spark, third, "gold_trips").columns
+
+
+def test_only_invalid_rows_give_empty_layers(spark, tmp_dir):
     landing = f"{tmp_dir}/landing"
-    raw_frame(spark, _trips(1, 40) + _trips(2, 30) + _trips(3, 20)).coalesce(1).write.parquet(landing)
-    raw = raw_frame(spark, _trips(1, 40) + _trips(2, 30) + _trips(3, 20))
-    assert month_batches(raw, None, 50) == [["2024-01"], ["2024-02", "2024-03"]]
-    assert month_batches(raw, ["2024-03"], 50) == [["2024-03"]]
-    small = run_layers(spark, landing, f"{tmp_dir}/small", zones, batch_rows=35)
-    whole = run_layers(spark, landing, f"{tmp_dir}/whole", zones)
+    rows = [trip(total_amount=-5.0, trip_distance=-1.0) for _ in range(5)]
+    raw_frame(spark, rows).coalesce(1).write.parquet(landing)
+    run = run_layers(spark, landing, f"{tmp_dir}/inc", sized_zones(zones_frame(spark, [(1, "Alpha")])))
+    assert run.ingest.rows == 5
     for layer in ("clean", "gold_trips", "gold_bucket", "gold_passengers"):
-        a, b = read_layer(spark, small, layer), read_layer(spark, whole, layer)
-        if layer == "clean":
-            a, b = a.drop("_ingestion_time", "_source_file"), b.drop("_ingestion_time", "_source_file")
-        assert _rows(a) == _rows(b), layer
+        assert read_layer(spark, run, layer).count() == 0
 
 
 def test_run_dying_after_ingest_loses_nothing(spark, tmp_dir):
@@ -90,7 +121,7 @@ def test_layer_tables_registered(spark, tmp_dir):
         assert table_properties(spark, f"ml_layers_{layer}").get("quality") == quality
     assert spark.table("ml_layers_clean").count() == 12
     assert spark.table("ml_layers_gold_trips").filter("pickup_ym = '2024-05'").count() > 0
-    assert spark.table("ml_layers_raw").columns[-2:] == ["_ingestion_time", "_source_file"]
+    assert spark.table("ml_layers_raw").columns[-3:] == ["_ingestion_time", "_source_file", "ingest_batch"]
 
 
 def test_month_ranges_wrap_years_and_merge_runs(spark):

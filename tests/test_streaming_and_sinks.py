@@ -37,6 +37,24 @@ def test_ingest_exactly_once(spark, tmp_dir):
     assert landed.select(*RAW_COLUMNS).exceptAll(raw_frame(spark, _rows(30) + _rows(7, start=100))).count() == 0
 
 
+def test_old_files_and_many_batches_are_not_lost(spark, tmp_dir):
+    import glob
+    import os
+    source, sink, ckpt = f"{tmp_dir}/landing", f"{tmp_dir}/raw", f"{tmp_dir}/_ckpt"
+    raw_frame(spark, _rows(40)).repartition(8).write.parquet(source)
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    first = ingest(spark, source, sink, ckpt, max_files_per_trigger=1)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+    assert (first.rows, first.batches) == (40, len(glob.glob(f"{source}/*.parquet")))
+    before = set(glob.glob(f"{source}/*.parquet"))
+    raw_frame(spark, _rows(9, start=200)).coalesce(1).write.mode("append").parquet(source)
+    for f in set(glob.glob(f"{source}/*.parquet")) - before:
+        os.utime(f, (1.6e9, 1.6e9))  # long before the others
+    assert ingest(spark, source, sink, ckpt).rows == 9
+    assert read_ingested(spark, sink).count() == 49
+
+
 def test_ingest_lineage_columns(spark, tmp_dir):
     source, sink, ckpt = f"{tmp_dir}/landing", f"{tmp_dir}/raw", f"{tmp_dir}/_ckpt"
     raw_frame(spark, _rows(10)).coalesce(1).write.parquet(source)
