@@ -22,9 +22,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops recurring line templates; documents that had nothing else go."""
+    """Drops recurring line templates; documents left without a word go."""
     kept = linededup.drop_recurring_lines(docs)
-    return (kept.filter((F.col("n_lines") > 0) | (F.col("n_dropped") == 0))
+    return (kept.filter((F.col("n_dropped") == 0) | F.col("kept_text").rlike(r"[^\x20\x09-\x0D]"))
             .select("doc_id", F.col("kept_text").alias("text"), "lang", "source",
                     F.length("kept_text").cast("long").alias("n_chars")))
 
