@@ -3,7 +3,7 @@
 from meterline.operators.cleaning import (
     FILL_VALUES, add_avg_speed, add_calendar_keys, add_distance_band, add_trip_time, cast_columns,
     fill_all_numeric, fill_missing, fill_unknown_zones, label_day, label_month, map_codes, map_payment,
-    map_ratecode, map_vendor, select_clean,
+    map_ratecode, map_vendor,
 )
 from meterline.operators.dedup import DEDUP_KEYS, drop_duplicate_trips, duplicate_groups
 from meterline.operators.gold import bucket_metrics, passenger_metrics, period_comparison, trip_metrics

@@ -9,13 +9,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from meterline.functions import (
-    calendar_columns, distance_band, month_label, payment_label, ratecode_label, round_half_up,
-    rounded_minutes, vendor_label, weekday_label,
+    calendar_columns, distance_band, month_label, payment_label, ratecode_label, rounded_minutes,
+    vendor_label, weekday_label,
 )
 from meterline.functions.calendar import check_period
 from meterline.functions.reuse import per_application
 from meterline.functions.labels import UNKNOWN_ZONE
-from meterline.schema import CAST_TYPES, CLEAN_COLUMNS
+from meterline.schema import CAST_TYPES
 
 # ---------------------------------------------------------------------------
 # Default for each missing value (VendorID, distance and the
@@ -115,7 +115,7 @@ def add_trip_time(df: DataFrame) -> DataFrame:
 
 def speed_mph(distance: Column, minutes: Column) -> Column:
     """Average speed, 2 decimals; null when the trip lasted 0 minutes."""
-    return round_half_up(F.when(minutes != 0, distance / (minutes / 60.0)), 2)
+    return F.round(F.when(minutes != 0, distance / (minutes / 60.0)), 2)
 
 
 @per_application
@@ -127,11 +127,6 @@ def add_avg_speed(df: DataFrame) -> DataFrame:
     return df.withColumn("avg_speed", avg_speed_column())
 
 
-def select_clean(df: DataFrame) -> DataFrame:
-    """The clean layer's columns in order (lineage columns when present)."""
-    return df.select(*[c for c in CLEAN_COLUMNS if c in df.columns])
-
-
 @per_application
 def code_labels() -> dict[str, Column]:
     return {

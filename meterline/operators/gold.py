@@ -10,7 +10,7 @@ after aggregation, to the few result rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from meterline.functions.reuse import per_application
 from meterline.functions import (
@@ -115,10 +115,12 @@ def tip_share(df: DataFrame, keys=("payment_type",)) -> DataFrame:
 
 def period_comparison(df: DataFrame, period: str = "week", locations=("PUlocationID",)) -> DataFrame:
     """Trips and revenue per calendar week (Monday start) or month, with the
-    previous period present for the same location and the change in percent.
+    calendar period right before for the same location and the change in
+    percent; both are null when that period has no trips.
 
-    The window runs over aggregated rows (locations x periods), never over
-    trips, so no task sees more than one location's periods.
+    Every aggregated row is dealt out twice, under its own period and as the
+    predecessor of the next one, and a second small aggregation brings the two
+    together (no window, so no task holds all periods).
     """
     if period not in ("week", "month"):
         raise ValueError(f"Invalid comparison period: {period}")
@@ -127,13 +129,17 @@ def period_comparison(df: DataFrame, period: str = "week", locations=("PUlocatio
         F.count(F.lit(1)).alias("total_trips"),
         exact_sum(F.col("total_amount")).alias("total_revenue"),
     ))
-    w = Window.partitionBy(*locations).orderBy("period_start")
-    prev_trips = F.lag("total_trips").over(w)
-    prev_rev = F.lag("total_revenue").over(w)
-    return agg.select(
-        *locations, "period_start", "total_trips", "total_revenue",
-        prev_trips.alias("prev_total_trips"), prev_rev.alias("prev_total_revenue"),
-    ).withColumns({
+    following = F.date_add("period_start", 7) if period == "week" else F.add_months("period_start", 1)
+    values = ("total_trips", "total_revenue")
+    own = F.struct("period_start", *values, *[F.lit(None).alias(f"prev_{c}") for c in values])
+    ahead = F.struct(following.alias("period_start"), *[F.lit(None).alias(c) for c in values],
+                     *[F.col(c).alias(f"prev_{c}") for c in values])
+    dealt = agg.select(*locations, F.inline(F.array(own, ahead)))
+    dealt = dealt.filter(F.col("period_start").isNotNull() | F.col("total_trips").isNotNull())
+    columns = [*values, *[f"prev_{c}" for c in values]]
+    return dealt.groupBy(*locations, "period_start").agg(
+        *[F.max(c).alias(c) for c in columns],
+    ).filter(F.col("total_trips").isNotNull()).withColumns({
         "trips_change_pct": round_half_up(F.when(
             F.col("prev_total_trips") != 0,
             100 * (F.col("total_trips") - F.col("prev_total_trips")) / F.col("prev_total_trips"))),

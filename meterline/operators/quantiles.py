@@ -181,7 +181,7 @@ def quartile_report(df: DataFrame, columns=("trip_distance", "total_amount"), ex
     computed independently on the same input, reported to ``digits``
     decimals (HALF_UP)."""
     if exact:
-        df = _materialized(df)
+        df = _materialized(df.select(*columns))
     rows = []
     for c in columns:
         qs = exact_quantiles(df, c) if exact else approx_quantiles(df, c)

@@ -69,10 +69,13 @@ def round2(expr: str, digits: int = 2) -> str:
     return f"CAST(round(CAST({expr} AS DECIMAL(38,12)), {digits}) AS DOUBLE)"
 
 
+# Plain rounding of a double: HALF_UP on its shortest decimal form.
+SPEED = ("CAST(round(CAST(CAST(CASE WHEN trip_time_minutes <> 0 THEN trip_distance / (trip_time_minutes / 60.0) END "
+         "AS VARCHAR) AS DECIMAL(38,20)), 2) AS DOUBLE) AS avg_speed")
+
 CORE = (dedup_cte("deduped", "valid", DEDUP_ORDER) + ", core AS (SELECT VendorID, PUlocationID, "
         "tpep_pickup_datetime, tpep_dropoff_datetime, DOlocationID, trip_distance, trip_time_minutes, "
-        + round2("CASE WHEN trip_time_minutes <> 0 THEN trip_distance / (trip_time_minutes / 60.0) END")
-        + " AS avg_speed, passenger_count, RatecodeID, payment_type, fare_amount, extra, mta_tax, tip_amount, "
+        + SPEED + ", passenger_count, RatecodeID, payment_type, fare_amount, extra, mta_tax, tip_amount, "
         "tolls_amount, improvement_surcharge, congestion_surcharge, airport_fee, total_amount FROM deduped)")
 
 
@@ -110,11 +113,11 @@ CLEAN_CHAIN = (RAW, ZONES, FILLED, TYPED, VALID, CORE, CLEAN)
 
 
 def exact_sum(c: str) -> str:
-    return f"CAST(SUM(CAST({c} AS DECIMAL(18,2))) AS DOUBLE)"
+    return f"CAST(SUM(CAST({c} AS DECIMAL(18,6))) AS DOUBLE)"
 
 
 def exact_avg(c: str) -> str:
-    return round2(f"SUM(CAST({c} AS DECIMAL(18,2))) / COUNT({c})")
+    return round2(f"SUM(CAST({c} AS DECIMAL(18,6))) / COUNT({c})")
 
 
 def gold_trips_sql(period: str, locations: list[str], source: str = "clean") -> str:
@@ -224,8 +227,10 @@ def comparison_sql(period: str, locations: list[str], source: str = "clean") ->
     agg = (f"SELECT {loc}CAST(date_trunc('{period}', tpep_pickup_datetime) AS DATE) AS period_start, "
            f"COUNT(*) AS total_trips, {exact_sum('total_amount')} AS total_revenue FROM {source} "
            f"GROUP BY {loc}period_start")
-    lagged = (f"SELECT *, lag(total_trips) OVER ({part}ORDER BY period_start) AS prev_total_trips, "
-              f"lag(total_revenue) OVER ({part}ORDER BY period_start) AS prev_total_revenue FROM ({agg})")
+    before = f"lag(period_start) OVER w = period_start - INTERVAL 1 {period}"
+    lagged = (f"SELECT *, CASE WHEN {before} THEN lag(total_trips) OVER w END AS prev_total_trips, "
+              f"CASE WHEN {before} THEN lag(total_revenue) OVER w END AS prev_total_revenue FROM ({agg}) "
+              f"WINDOW w AS ({part}ORDER BY period_start)")
     return (f"SELECT *, "
             + round2("CASE WHEN prev_total_trips <> 0 THEN 100 * (total_trips - prev_total_trips) / prev_total_trips END")
             + " AS trips_change_pct, "
@@ -291,7 +296,19 @@ def oracle_queries() -> dict[str, str]:
     # sources and sinks
     q["scan_trips"] = raw + "SELECT * FROM trips_raw"
     q["zone_dim"] = with_(ZONES) + "SELECT * FROM zones"
-    q["schema_contract"] = q["scan_trips"]
+    q["schema_contract"] = (raw + "SELECT * REPLACE (CASE WHEN DOlocationID % 3 = 2 THEN NULL ELSE airport_fee END "
+                            "AS airport_fee) FROM trips_raw")
+    contract = {"VendorID": "bigint", "passenger_count": "bigint", "RatecodeID": "bigint", "PUlocationID": "int",
+                "DOlocationID": "int", "payment_type": "bigint", "tpep_pickup_datetime": "timestamp_ntz",
+                "tpep_dropoff_datetime": "timestamp_ntz"}
+    found = {"passenger_count": "'double'", "RatecodeID": "'string'", "PUlocationID": "'bigint'", "airport_fee": "NULL"}
+    bad = {"RatecodeID": "COUNT(*) FILTER (WHERE RatecodeID = 99)", "PUlocationID": "COUNT(*) FILTER (WHERE PUlocationID = 26)"}
+    q["schema_check"] = raw + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, '{(t := contract.get(c, 'double'))}' AS expected_type, "
+        f"CAST({found.get(c, repr(t))} AS VARCHAR) AS actual_type, "
+        f"{str(c not in found).lower()} AS type_ok, "
+        f"{bad.get(c, 'COUNT(*) FILTER (WHERE false)')} AS nonconforming_values FROM trips_raw"
+        for c in RAW_COLS)
     q["ingest_stream"] = q["scan_trips"]
     q["ingest_late_files"] = q["scan_trips"]
     q["ingest_lineage"] = (raw + "SELECT CAST(year(tpep_pickup_datetime) AS INTEGER) AS source_year, "
@@ -311,8 +328,7 @@ def oracle_queries() -> dict[str, str]:
     q["cast_columns"] = typed + "SELECT * EXCLUDE (trip_time_minutes) FROM typed"
     q["trip_time"] = typed + "SELECT tpep_pickup_datetime, tpep_dropoff_datetime, trip_time_minutes FROM typed"
     q["avg_speed"] = (typed + "SELECT tpep_pickup_datetime, trip_distance, trip_time_minutes, "
-                      + round2("CASE WHEN trip_time_minutes <> 0 THEN trip_distance / (trip_time_minutes / 60.0) END")
-                      + " AS avg_speed FROM typed")
+                      + SPEED + " FROM typed")
     q["project_clean"] = with_(RAW, FILLED, TYPED, VALID, CORE) + "SELECT * FROM core"
     q["map_ratecode"] = typed + f"SELECT RatecodeID AS code, {case_label('RatecodeID', RATE, None)} AS RatecodeID FROM typed"
     q["map_payment"] = typed + f"SELECT payment_type AS code, {case_label('payment_type', PAY, 'Other')} AS payment_type FROM typed"

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from meterline.operators.cleaning import avg_speed_column, code_labels, typed_columns
 from meterline.operators.dedup import drop_duplicate_trips
-from meterline.operators.rules import MONEY_TOLERANCE, valid_condition
+from meterline.operators.rules import (
+    MAX_TOTAL, MONEY_TOLERANCE, VALID_PAYMENTS, VALID_RATECODES, valid_condition,
+)
 from meterline.operators.zones import known_zones_only, map_location_to_zone
 from meterline.schema import CLEAN_COLUMNS
 from meterline.sources.zones import SizedDimension
@@ -17,13 +19,30 @@ def typed_trips(raw: DataFrame) -> DataFrame:
     return raw.select(*typed_columns(raw))
 
 
+def scan_condition(raw: DataFrame) -> Column:
+    """Code and total rules on the raw columns, where Parquet can skip row
+    groups by them; the validity rules still follow.  A missing code is filled
+    with a known one and a missing or NaN total never passes, so no row is
+    lost.  Fare, tip and tolls stay out: NaN counts as 0 there and must pass,
+    but file statistics leave NaN out.  Only for columns of the contract's
+    kind (codes stored as double are cast first)."""
+    kinds = {c.lower(): t for c, t in raw.dtypes}
+    cond = F.lit(True)
+    for column, known in (("RatecodeID", VALID_RATECODES), ("payment_type", VALID_PAYMENTS)):
+        if kinds.get(column.lower()) in ("int", "bigint"):
+            cond = cond & (F.col(column).isNull() | F.col(column).isin(list(known)))
+    if kinds.get("total_amount") == "double":
+        cond = cond & (F.col("total_amount") > 0) & (F.col("total_amount") <= MAX_TOTAL)
+    return cond
+
+
 def valid_trips(raw: DataFrame, *, passengers: bool = False, vendors: bool = False,
                 known_zones: SizedDimension | None = None) -> DataFrame:
     """Typed trips passing the validity rules AND the money check, as one
     filter.  A negative total passes the ratio test and is removed by the range
     rule only; the ratio is guarded against a zero total, so conjunct order
     does not matter."""
-    out = typed_trips(raw).filter(valid_condition(passengers, vendors, MONEY_TOLERANCE))
+    out = typed_trips(raw.filter(scan_condition(raw))).filter(valid_condition(passengers, vendors, MONEY_TOLERANCE))
     if known_zones is not None:
         out = known_zones_only(out, known_zones)
     return out

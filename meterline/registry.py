@@ -16,9 +16,9 @@ from meterline.operators import gold as G
 from meterline.plans.layers import read_layer, run_layers
 from meterline.plans.quality import quality_report
 from meterline.plans.silver import clean_core, clean_trips, typed_trips
-from meterline.schema import MONEY_COLUMNS, RAW_COLUMNS, RAW_SCHEMA, conform, schema_check
+from meterline.schema import MONEY_COLUMNS, RAW_COLUMNS, RAW_SCHEMA, schema_check
 from meterline.session import configure, scratch_path
-from meterline.sources.fixture import landing_path, raw_zones, staged_raw_trips, table
+from meterline.sources.fixture import landing_path, raw_zones, read_trip_files, staged_raw_trips, table
 from meterline.sources.sinks import materialize
 from meterline.sources.zones import sized_zones, zone_dimension
 from meterline.streaming.ingest import ingest, read_ingested
@@ -71,14 +71,36 @@ def q_zone_dim(spark, sf):
 
 @query("schema_contract")
 def q_schema_contract(spark, sf):
-    """Raw trips brought to the declared raw contract."""
-    return conform(_raw(spark, sf), RAW_SCHEMA)
+    """Trip files of three schemas brought to the raw contract: as declared;
+    codes stored as double and a wider id; one column missing and one extra."""
+    base, raw = scratch_path(spark, "schemas"), _raw(spark, sf)
+    kind = F.pmod("DOlocationID", F.lit(3))
+    files = {
+        "declared": raw.filter((kind == 0) | kind.isNull()),
+        "double": raw.filter(kind == 1).withColumns({
+            **{c: F.col(c).cast("double") for c in ("passenger_count", "RatecodeID")},
+            "PUlocationID": F.col("PUlocationID").cast("bigint")}),
+        "other": raw.filter(kind == 2).drop("airport_fee").withColumn("cbd_congestion_fee", F.lit(0.75)),
+    }
+    for name, rows in files.items():
+        rows.write.parquet(f"{base}/{name}")
+    return read_trip_files(spark, *[f"{base}/{name}" for name in files])
 
 
 @query("schema_check")
 def q_schema_check(spark, sf):
-    """Contract vs actual column types, with values failing the cast."""
-    return schema_check(_raw(spark, sf), RAW_SCHEMA)
+    """Contract vs the types found in trip files, with values failing the
+    cast.  The files store passengers as double, rate codes as text (99 as
+    "n/a") and pickup ids as long (26 beyond the range of int), and lack the
+    airport fee."""
+    path = scratch_path(spark, "check")
+    rate, zone = F.col("RatecodeID"), F.col("PUlocationID").cast("bigint")
+    (_raw(spark, sf).drop("airport_fee").withColumns({
+        "passenger_count": F.col("passenger_count").cast("double"),
+        "RatecodeID": F.when(rate == 99, "n/a").otherwise(rate.cast("string")),
+        "PUlocationID": F.when(zone == 26, zone + 2 ** 40).otherwise(zone),
+    }).write.parquet(path))
+    return schema_check(spark.read.parquet(path), RAW_SCHEMA)
 
 
 @query("ingest_stream")
@@ -393,7 +415,10 @@ def q_period_comparison_month(spark, sf):
 @query("gold_trips_iqr")
 def q_gold_trips_iqr(spark, sf):
     """Trip metrics by pickup zone and weekday after IQR outlier removal."""
-    return G.trip_metrics(O.remove_outliers_iqr(_clean(spark, sf)), "day", ["PUlocationID"])
+    needed = _clean(spark, sf).select(
+        "PUlocationID", "tpep_pickup_datetime", "trip_distance", "trip_time_minutes", "total_amount",
+        "fare_amount", "tip_amount", "tolls_amount")
+    return G.trip_metrics(O.remove_outliers_iqr(needed), "day", ["PUlocationID"])
 
 
 @query("null_profile")

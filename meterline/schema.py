@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+# ---------------------------------------------------------------------------
+# Names, order and types of the raw and clean layers.
 MONEY_COLUMNS = (
     "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount",
     "improvement_surcharge", "total_amount", "congestion_surcharge", "airport_fee",
@@ -72,12 +74,16 @@ CLEAN_SCHEMA = T.StructType([
     T.StructField("_source_file", T.StringType()),
 ])
 
-# Widening casts accepted when a file's column type differs from the contract.
-_WIDENING = {
+# ---------------------------------------------------------------------------
+
+# Casts accepted when a file's column type differs from the contract.
+_CASTS = {
     (T.IntegerType, T.LongType), (T.ShortType, T.IntegerType), (T.ShortType, T.LongType),
     (T.ByteType, T.IntegerType), (T.ByteType, T.LongType), (T.ByteType, T.ShortType),
     (T.IntegerType, T.DoubleType), (T.LongType, T.DoubleType), (T.FloatType, T.DoubleType),
     (T.TimestampType, T.TimestampNTZType), (T.TimestampNTZType, T.TimestampType),
+    # Ids stored wider than declared; a value beyond int raises under ANSI mode.
+    (T.LongType, T.IntegerType),
 }
 
 
@@ -112,7 +118,7 @@ def conform(df: DataFrame, contract: T.StructType = RAW_SCHEMA, keep_extra: bool
             out.append(F.lit(None).cast(field.dataType).alias(field.name))
         elif have == field.dataType:
             out.append(F.col(name).alias(field.name))
-        elif (type(have), type(field.dataType)) in _WIDENING or isinstance(have, T.DecimalType):
+        elif (type(have), type(field.dataType)) in _CASTS or isinstance(have, T.DecimalType):
             out.append(F.col(name).cast(field.dataType).alias(field.name))
         elif (type(have), type(field.dataType)) in _FLOAT_TO_INTEGER:
             out.append(F.col(name).try_cast(field.dataType).alias(field.name))

@@ -108,16 +108,6 @@ def read_trip_files(spark: SparkSession, *paths: str) -> DataFrame:
     return out
 
 
-def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trips_from_lineitem(table(spark, sf_dir, "lineitem"))
-
-
-def zones_from_nation(nation: DataFrame) -> DataFrame:
-    """Zone dimension rows ``(LocationID int, zone string)`` (not yet one per id)."""
-    return nation.select(F.col("n_nationkey").cast("int").alias("LocationID"),
-                         F.col("n_name").alias("zone"))
-
-
 def raw_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zone rows with their file position ``_pos`` (path, row index)."""
     nation = table(spark, sf_dir, "nation")

@@ -46,7 +46,7 @@ def _plausible(rnd):
     total = rnd.choice([base, base, round(base * 1.02, 2), round(base * 0.975, 2)])
     return (
         rnd.choice([1, 2, 6, 7, None]), start, start + dt.timedelta(seconds=seconds),
-        rnd.choice([None, 1, 2, 3]), rnd.choice([0.01, 2.0, 2.01, 150.0, round(rnd.uniform(0.1, 40), 2)]),
+        rnd.choice([None, 1, 2, 3]), rnd.choice([0.01, 2.0, 2.01, 150.0, round(rnd.uniform(0.1, 40), rnd.choice([2, 3, 4]))]),
         rnd.choice([None, 1, 2, 5, 99]), rnd.choice([None, 1, 5, 24, 26]), rnd.choice([0, 3, 24, 30]),
         rnd.choice([None, 0, 1, 2, 4]), fare, extra, mta, tip, tolls, imp, total, cong, air,
     )
