@@ -84,6 +84,35 @@ kept AS (
   FROM words LEFT JOIN gone ON words.doc_id = gone.doc_id AND words.i = gone.i WHERE gone.i IS NULL GROUP BY words.doc_id)
 SELECT d.doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id""",
+    "op8_line_dedup": r"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS line_no
+  FROM documents WHERE text IS NOT NULL),
+t AS (
+  SELECT doc_id, line_no, list_transform(regexp_extract_all(line, '[^\x20\x09-\x0D]+'),
+    lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS tok FROM l),
+k AS (SELECT *, (len(tok), tok[1:3]) AS leaf FROM t WHERE len(tok) > 0),
+leaves AS (SELECT leaf FROM k GROUP BY leaf HAVING count(DISTINCT doc_id) >= 3),
+c AS (SELECT * FROM k WHERE leaf IN (SELECT leaf FROM leaves)),
+v AS (
+  SELECT leaf, pos, token, count(*) AS n
+  FROM (SELECT leaf, unnest(tok) AS token, unnest(range(len(tok))) AS pos FROM c) GROUP BY leaf, pos, token),
+b AS (SELECT leaf, pos, CASE WHEN 2 * max(n) >= sum(n) THEN min((-n, token))[2] END AS token FROM v GROUP BY leaf, pos),
+p AS (SELECT leaf, list(token ORDER BY pos) AS template FROM b GROUP BY leaf),
+g AS (
+  SELECT doc_id, line_no, c.leaf, CASE WHEN
+    len(list_filter(list_zip(tok, template), lambda x: coalesce(x[1] = x[2], false))) / len(tok) < 0.8 THEN tok END AS own
+  FROM c JOIN p ON c.leaf = p.leaf),
+r AS (SELECT leaf, own, min(doc_id) AS first_doc FROM g GROUP BY leaf, own HAVING count(DISTINCT doc_id) >= 3),
+gone AS (
+  SELECT DISTINCT doc_id, line_no FROM g JOIN r ON g.leaf = r.leaf AND g.own IS NOT DISTINCT FROM r.own
+  WHERE doc_id > first_doc),
+kept AS (
+  SELECT l.doc_id, count(*) AS n, string_agg(line, chr(10) ORDER BY l.line_no) AS t
+  FROM l LEFT JOIN gone ON l.doc_id = gone.doc_id AND l.line_no = gone.line_no WHERE gone.doc_id IS NULL GROUP BY l.doc_id)
+SELECT d.doc_id, coalesce(len(string_split(text, chr(10))), 0) AS n_lines,
+  coalesce(len(string_split(text, chr(10))), 0) - coalesce(n, 0) AS n_dropped, sha256(coalesce(t, '')) AS kept_sha256
+FROM documents d LEFT JOIN kept ON d.doc_id = kept.doc_id""",
     "op9_top_k": """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
