@@ -297,7 +297,8 @@ def oracle_queries() -> dict[str, str]:
     q["scan_trips"] = raw + "SELECT * FROM trips_raw"
     q["zone_dim"] = with_(ZONES) + "SELECT * FROM zones"
     q["schema_contract"] = (raw + "SELECT * REPLACE (CASE WHEN DOlocationID % 3 = 2 THEN NULL ELSE airport_fee END "
-                            "AS airport_fee) FROM trips_raw")
+                            "AS airport_fee), CASE WHEN DOlocationID % 3 = 2 THEN '{\"cbd_congestion_fee\":0.75}' END AS rescued_data "
+                            "FROM trips_raw")
     contract = {"VendorID": "bigint", "passenger_count": "bigint", "RatecodeID": "bigint", "PUlocationID": "int",
                 "DOlocationID": "int", "payment_type": "bigint", "tpep_pickup_datetime": "timestamp_ntz",
                 "tpep_dropoff_datetime": "timestamp_ntz"}

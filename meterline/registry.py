@@ -18,7 +18,7 @@ from meterline.plans.quality import quality_report
 from meterline.plans.silver import clean_core, clean_trips, typed_trips
 from meterline.schema import MONEY_COLUMNS, RAW_COLUMNS, RAW_SCHEMA, schema_check
 from meterline.session import configure, scratch_path
-from meterline.sources.fixture import landing_path, raw_zones, read_trip_files, staged_raw_trips, table
+from meterline.sources.fixture import landing_path, raw_zones, staged_raw_trips, table
 from meterline.sources.sinks import materialize
 from meterline.sources.zones import sized_zones, zone_dimension
 from meterline.streaming.ingest import ingest, read_ingested
@@ -71,8 +71,9 @@ def q_zone_dim(spark, sf):
 
 @query("schema_contract")
 def q_schema_contract(spark, sf):
-    """Trip files of three schemas brought to the raw contract: as declared;
-    codes stored as double and a wider id; one column missing and one extra."""
+    """Trip files of three schemas ingested in one batch: as declared; codes
+    stored as double and a wider id; one column missing and one extra (which
+    goes to the rescued data)."""
     base, raw = scratch_path(spark, "schemas"), _raw(spark, sf)
     kind = F.pmod("DOlocationID", F.lit(3))
     files = {
@@ -83,8 +84,9 @@ def q_schema_contract(spark, sf):
         "other": raw.filter(kind == 2).drop("airport_fee").withColumn("cbd_congestion_fee", F.lit(0.75)),
     }
     for name, rows in files.items():
-        rows.write.parquet(f"{base}/{name}")
-    return read_trip_files(spark, *[f"{base}/{name}" for name in files])
+        rows.write.parquet(f"{base}/source/{name}")
+    result = ingest(spark, f"{base}/source", f"{base}/raw", f"{base}/_checkpoint")
+    return read_ingested(spark, result.sink_path).select(*RAW_COLUMNS, F.col("_rescued_data").alias("rescued_data"))
 
 
 @query("schema_check")

@@ -1,22 +1,33 @@
 """Incremental ingest of Parquet files into the raw layer.
 
-Structured Streaming file source -> two lineage columns -> one Parquet folder
-per batch.
+Structured Streaming over the names of new files -> each batch's files read and
+brought to the declared schema -> two lineage columns -> one Parquet folder per
+batch.
 The checkpoint records which files were taken and which batches committed,
 so every file lands exactly once: re-running picks up only new files, and a
 lost executor or a killed run resumes from the last committed batch.  Each
 batch overwrites a folder of its own (``ingest_batch=<id>``), so a batch that
 is run again replaces itself, and the batch id tells later jobs what is new
 without any clock.
+
+Files may differ in schema.  The files of a batch are grouped by what their
+footers say (a parallel footer pass), each group is read with its own types and
+brought to the declared schema by ``conform``: absent columns become null,
+compatible types are cast, anything else stops the stream.  Columns the schema
+does not know are kept as JSON in ``_rescued_data``.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from meterline.schema import RAW_SCHEMA
+from meterline.schema import LINEAGE_COLUMNS, RAW_SCHEMA, conform
+
+# Values of columns that the declared schema lacks, as JSON; null without any.
+RESCUED = "_rescued_data"
 
 
 @dataclass
@@ -34,18 +45,52 @@ def with_lineage(stream: DataFrame) -> DataFrame:
             .withColumn("_source_file", F.col("_metadata.file_path")))
 
 
-def read_file_stream(spark: SparkSession, source: str, schema: T.StructType = RAW_SCHEMA,
-                     max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming frame over Parquet files at ``source`` (a directory, possibly
-    partitioned ``key=value``, or a glob).  The schema is declared: a file
-    stream never infers one, so a changed file cannot silently change the
-    table."""
+def read_file_stream(spark: SparkSession, source: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming frame with the ``path`` of each file at ``source`` (a
+    directory with any folders below it, or a glob); contents are not read."""
     # A file is new if the checkpoint has not seen it, however old its time
     # stamp is (a backfill, or a copy that keeps time stamps).
-    reader = spark.readStream.schema(schema).option("maxFileAge", "36500d")
+    reader = (spark.readStream.format("binaryFile").option("maxFileAge", "36500d").option("recursiveFileLookup", "true")
+              .schema("path string, modificationTime timestamp, length long, content binary"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.parquet(source)
+    return reader.load(source).select("path")
+
+
+def _literal(path: str) -> str:
+    """``path`` with its glob characters quoted, as readers take paths for globs."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
+def _alike(spark: SparkSession, paths: list[str]) -> list[tuple[T.StructType, list[str]]]:
+    """``paths`` in groups whose files agree on the type of every column they
+    share, with the merged schema: by halves, as neighbours (sorted paths)
+    mostly agree."""
+    try:
+        return [(spark.read.option("mergeSchema", "true").parquet(*map(_literal, paths)).schema, paths)]
+    except Exception as e:
+        if len(paths) == 1 or "CANNOT_MERGE_SCHEMAS" not in str(e):
+            raise
+    half = len(paths) // 2
+    return _alike(spark, paths[:half]) + _alike(spark, paths[half:])
+
+
+def read_files(spark: SparkSession, paths: list[str], schema: T.StructType = RAW_SCHEMA) -> DataFrame:
+    """The rows of Parquet files of any schemas that ``conform`` accepts:
+    ``schema``'s columns, ``_rescued_data`` and lineage."""
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+    for found, own in _alike(spark, sorted(paths)):
+        groups.setdefault(found.json(), (found, []))[1].extend(own)
+    known = {n.lower() for n in schema.names}
+    out = None
+    for found, own in groups.values():
+        rows = spark.read.schema(found).parquet(*map(_literal, own))
+        extra = [c for c in rows.columns if c.lower() not in known]
+        rescued = F.nullif(F.to_json(F.struct(*extra)), F.lit("{}")) if extra else F.lit(None).cast("string")
+        rows = with_lineage(rows.withColumn(RESCUED, rescued))
+        rows = conform(rows, schema).select(*schema.names, RESCUED, *LINEAGE_COLUMNS)
+        out = rows if out is None else out.unionAll(rows)
+    return out
 
 
 # Files per micro-batch: a backfill of many files runs as bounded batches, each
@@ -63,12 +108,13 @@ def ingest(spark: SparkSession, source: str, sink: str, checkpoint: str, *,
     now, in bounded batches, then stop) and add it to ``sink``.  Rows are
     counted in what was written, not taken from the stream's progress log,
     which keeps only the latest batches."""
-    stream = with_lineage(read_file_stream(spark, source, schema, max_files_per_trigger))
+    stream = read_file_stream(spark, source, max_files_per_trigger)
     written: list[str] = []
 
-    def write(rows: DataFrame, batch: int) -> None:
+    def write(files: DataFrame, batch: int) -> None:
+        paths = [r["path"] for r in files.collect()]  # one batch's, see max_files_per_trigger
         path = f"{sink}/{BATCH}={batch}"
-        rows.write.mode("overwrite").parquet(path)
+        read_files(spark, paths, schema).write.mode("overwrite").parquet(path)
         written.append(path)
 
     run = (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
@@ -76,13 +122,14 @@ def ingest(spark: SparkSession, source: str, sink: str, checkpoint: str, *,
     run.awaitTermination()
     if run.exception() is not None:
         raise run.exception()
-    rows = spark.read.schema(stream.schema).parquet(*written).count() if written else 0
+    rows = spark.read.schema(schema).parquet(*written).count() if written else 0
     return IngestResult(sink, checkpoint, len(written), rows)
 
 
 def read_batches(spark: SparkSession, sink: str, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
     """Batch read of the raw layer with the id of the batch each row came in."""
-    lineage = T.StructType(schema.fields + [T.StructField("_ingestion_time", T.TimestampType()),
+    lineage = T.StructType(schema.fields + [T.StructField(RESCUED, T.StringType()),
+                                            T.StructField("_ingestion_time", T.TimestampType()),
                                             T.StructField("_source_file", T.StringType()),
                                             T.StructField(BATCH, T.LongType())])
     return spark.read.schema(lineage).parquet(sink)

@@ -55,6 +55,34 @@ def test_old_files_and_many_batches_are_not_lost(spark, tmp_dir):
     assert read_ingested(spark, sink).count() == 49
 
 
+def test_ingest_files_of_other_schemas(spark, tmp_dir):
+    source, sink, ckpt = f"{tmp_dir}/landing", f"{tmp_dir}/raw", f"{tmp_dir}/_ckpt"
+    raw_frame(spark, _rows(5)).coalesce(1).write.parquet(f"{source}/y1")
+    (raw_frame(spark, _rows(6, start=10)).coalesce(1)
+     .withColumn("passenger_count", F.col("passenger_count").cast("double"))
+     .withColumn("PUlocationID", F.col("PUlocationID").cast("bigint")).write.parquet(f"{source}/y2 [new]"))
+    (raw_frame(spark, _rows(7, start=20)).coalesce(1).drop("airport_fee").withColumnRenamed("PUlocationID", "PULocationID")
+     .withColumn("fee", F.lit(0.75)).withColumn("note", F.lit(None).cast("string")).write.parquet(f"{source}/y3"))
+    assert ingest(spark, source, sink, ckpt).rows == 18
+    landed = read_ingested(spark, sink)
+    want = raw_frame(spark, _rows(5) + _rows(6, start=10)).unionAll(
+        raw_frame(spark, _rows(7, start=20)).withColumn("airport_fee", F.lit(None).cast("double")))
+    got = landed.select(*RAW_COLUMNS)
+    assert got.schema == want.schema
+    assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+    rescued = {r[0]: r[1] for r in landed.groupBy("_rescued_data").count().collect()}
+    assert rescued == {None: 11, '{"fee":0.75}': 7}
+    assert landed.filter(F.col("_source_file").contains("/y3/")).count() == 7
+
+
+def test_ingest_stops_at_a_type_that_cannot_be_cast(spark, tmp_dir):
+    import pytest
+    source, sink, ckpt = f"{tmp_dir}/landing", f"{tmp_dir}/raw", f"{tmp_dir}/_ckpt"
+    raw_frame(spark, _rows(5)).withColumn("trip_distance", F.array("trip_distance")).write.parquet(source)
+    with pytest.raises(Exception, match="trip_distance"):
+        ingest(spark, source, sink, ckpt)
+
+
 def test_ingest_lineage_columns(spark, tmp_dir):
     source, sink, ckpt = f"{tmp_dir}/landing", f"{tmp_dir}/raw", f"{tmp_dir}/_ckpt"
     raw_frame(spark, _rows(10)).coalesce(1).write.parquet(source)
