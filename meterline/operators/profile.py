@@ -84,13 +84,14 @@ def histogram(df: DataFrame, columns=MONEY_COLUMNS, bins: int = 20) -> DataFrame
     """Equal-width histogram per column over its own [min, max].
 
     Pass 1 fetches 2 numbers per column (a bounded driver round trip); pass 2
-    is one aggregation of (column, bin) over all columns at once, combined
-    map-side.  Rows: (column, bin, bin_low, bin_high, trips); nulls and NaN are
-    not counted; the top edge falls in the last bin.
+    is one count per bin over all columns at once, combined map-side, keyed by
+    one int (column number and bin).  Names and edges are attached to the few
+    result rows.  Rows: (column, bin, bin_low, bin_high, trips); nulls and NaN
+    are not counted; the top edge falls in the last bin.
     """
     bounds = df.agg(*[F.min(F.when(~F.isnan(c), F.col(c))).alias(f"{c}__lo") for c in columns],
                     *[F.max(F.when(~F.isnan(c), F.col(c))).alias(f"{c}__hi") for c in columns]).first()
-    entries = []
+    names, lows, widths, codes = [], [], [], []
     for c in columns:
         lo, hi = bounds[f"{c}__lo"], bounds[f"{c}__hi"]
         if lo is None:
@@ -101,15 +102,17 @@ def histogram(df: DataFrame, columns=MONEY_COLUMNS, bins: int = 20) -> DataFrame
             b = F.least(F.floor((v - F.lit(lo)) / F.lit(hi - lo) * bins), F.lit(bins - 1))
         else:
             b = F.lit(0).cast("bigint")
-        b = F.when(v.isNotNull() & ~F.isnan(v), b)
-        width = (hi - lo) / bins
-        entries.append(F.struct(F.lit(c).alias("column_name"), b.cast("int").alias("bin"),
-                                F.lit(lo).alias("_lo"), F.lit(width).alias("_w")))
-    if not entries:
+        b = F.when(v.isNotNull() & ~F.isnan(v), b + len(names) * bins)
+        codes.append(b.cast("int"))
+        names.append(c)
+        lows.append(lo)
+        widths.append((hi - lo) / bins)
+    if not names:
         return df.sparkSession.createDataFrame([], "column_name string, bin int, bin_low double, bin_high double, trips bigint")
-    exploded = df.select(F.explode(F.array(*entries)).alias("e")).select("e.*").filter(F.col("bin").isNotNull())
-    counted = exploded.groupBy("column_name", "bin", "_lo", "_w").agg(F.count(F.lit(1)).alias("trips"))
-    return counted.select("column_name", "bin",
-                          (F.col("_lo") + F.col("bin") * F.col("_w")).alias("bin_low"),
-                          (F.col("_lo") + (F.col("bin") + 1) * F.col("_w")).alias("bin_high"),
-                          "trips")
+    counted = (df.select(F.explode(F.array(*codes)).alias("code")).filter(F.col("code").isNotNull())
+               .groupBy("code").agg(F.count(F.lit(1)).alias("trips")))
+    place = F.floor(F.col("code") / bins).cast("int") + 1
+    name, lo, width = (F.element_at(F.array(*map(F.lit, x)), place) for x in (names, lows, widths))
+    bin_ = F.col("code") % bins
+    return counted.select(name.alias("column_name"), bin_.alias("bin"), (lo + bin_ * width).alias("bin_low"),
+                          (lo + (bin_ + 1) * width).alias("bin_high"), "trips")

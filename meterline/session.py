@@ -90,7 +90,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         current = spark.sparkContext.getCheckpointDir()
         if current:
             return current
-        if not spark.sparkContext.master.startswith("local"):
+        # "local-cluster[...]" has executors of its own.
+        if spark.sparkContext.master.partition("[")[0] != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="meterline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
