@@ -23,15 +23,15 @@ from meterline.llm.common import bucket_of
 
 ROW_BLOCK, QUERY_BLOCK = 16384, 512
 
-# Components of this size or more take no part: products would leave 64 bits.
-TOO_LARGE = float(1 << 18)
+# Components must stay below this, quantised, so that an attribute's range fits a long.
+LARGEST = float(1 << 62)
 
 
 def quantised(vector: Column, scale: int = 256) -> Column:
     """floor(scale * x) of each component; null if the vector is null or holds
-    null, non-finite or too large components."""
+    null, non-finite or too large components (``LARGEST``)."""
     v = vector.cast("array<double>")
-    fine = F.forall(v, lambda x: F.coalesce(F.abs(x) < TOO_LARGE, F.lit(False)))
+    fine = F.forall(v, lambda x: F.coalesce(F.abs(x) * scale < LARGEST, F.lit(False)))
     return F.when(fine, F.transform(v, lambda x: F.floor(x * scale)))
 
 
@@ -56,18 +56,20 @@ class BitSlicedIndex:
     def scores(self, query: np.ndarray) -> tuple[list[np.ndarray], int]:
         """Slices of every row's score, least significant first, and what to add to it."""
         columns: dict[int, list[np.ndarray]] = {}
-        base = int(query @ np.where(query > 0, self.low, self.high))
+        ends = np.where(query > 0, self.low, self.high)
+        base = sum(q * v for q, v in zip(query.tolist(), ends.tolist()))
         for q, up, down in zip(query.tolist(), self.up, self.down):
             maps = up if q > 0 else down
             for c in range(abs(q).bit_length()):
                 if abs(q) >> c & 1:
                     for b in range(len(maps)):
                         columns.setdefault(c + b, []).append(maps[b])
-        stacks = {e: np.stack(m) for e, m in columns.items()}
-        out, e = [], 0
-        while e <= max(stacks, default=-1):
-            col, carried = stacks.get(e), []
-            while col is not None and len(col) > 1:
+        out, carried, last = [], [], max(columns, default=-1)
+        while len(out) <= last or carried:
+            maps = columns.pop(len(out), None)
+            parts = carried + ([np.stack(maps)] if maps else [])
+            col, carried = np.concatenate(parts) if parts else self.alive[None] ^ self.alive, []
+            while len(col) > 1:
                 if len(col) == 2:
                     carried.append(col[:1] & col[1:])
                     col = col[:1] ^ col[1:]
@@ -77,10 +79,7 @@ class BitSlicedIndex:
                     half = a ^ b
                     carried.append(a & b | half & c)
                     col = np.concatenate((half ^ c, col[3 * m:]))
-            if carried:
-                stacks[e + 1] = np.concatenate([*carried, *([stacks[e + 1]] if e + 1 in stacks else [])])
-            out.append(col[0] if col is not None else np.zeros_like(self.alive))
-            e += 1
+            out.append(col[0])
         return out, base
 
     def top(self, query: np.ndarray, k: int, own: int) -> tuple[np.ndarray, np.ndarray]:
@@ -99,9 +98,12 @@ class BitSlicedIndex:
                 tied &= ~s
         rows = [np.flatnonzero(np.unpackbits(m.view(np.uint8), bitorder="little")) for m in (taken, tied)]
         rows = np.concatenate((rows[0], rows[1][:max(0, k - len(rows[0]))]))  # ids are in row order
-        score = np.full(len(rows), base, np.int64)
+        small = len(slices) < 62 and abs(base) < 1 << 62
+        score = np.full(len(rows), base, np.int64 if small else object)  # else Python's integers
         for e, s in enumerate(slices):
-            score += (s[rows // 64] >> (rows % 64).astype(np.uint64) & np.uint64(1)).astype(np.int64) << e
+            score += (s[rows // 64] >> (rows % 64).astype(np.uint64) & np.uint64(1)).astype(score.dtype) << e
+        if not small:
+            score = np.array([min(max(int(x), -(1 << 63)), (1 << 63) - 1) for x in score], np.int64)
         return self.ids[rows], score
 
 
@@ -112,7 +114,8 @@ def top_k(vectors: DataFrame, queries: Column, *, k: int = 5, scale: int = 256,
     smaller id; fewer rows than ``k``: all of them.
 
     Vectors that are null, empty, or hold null, non-finite or too large
-    components take no part.  Vectors of different lengths have no product.
+    components (2^54 or more at the default scale) take no part.  A score that
+    no long holds is given as the nearest long.  Vectors of different lengths have no product.
     Of repeated ids the first vector in array order counts.  Other columns are
     never read; an empty table or no query gives no rows.
     """

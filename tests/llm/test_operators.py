@@ -263,6 +263,17 @@ def test_top_k(vectors):
     assert got == want and len(rows) == len(want)
 
 
+def test_top_k_of_large_components(spark):
+    values = [[3.0e5, -1.0], [2.0 ** 22, 2.0 ** 22], [-5.0, 2.0 ** 20], [1.0, 2.0], [2.0 ** 53, 0.0], [2.0 ** 54, 1.0], [1e300, 1.0]]
+    rows = bitsliced.top_k(spark.createDataFrame(list(enumerate(values)), "vec_id long, embedding array<double>"), F.lit(True)).collect()
+    good = [[math.floor(256 * x) for x in v] for v in values[:5]]
+    held = lambda x: min(max(x, -2 ** 63), 2 ** 63 - 1)
+    for q in range(5):
+        scores = sorted((-held(sum(a * b for a, b in zip(good[q], x))), i) for i, x in enumerate(good) if i != q)
+        assert [(r["vec_id"], r["score"]) for r in rows if r["query_id"] == q] == [(i, -s) for s, i in scores]
+    assert len(rows) == 20
+
+
 def test_language_model(docs, plain):
     out = pitman_yor.held_out(F.col("doc_id"))
     got = pitman_yor.score(docs, out).collect()
