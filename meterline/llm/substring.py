@@ -35,8 +35,8 @@ from pyspark.sql import DataFrame, functions as F
 from meterline.llm.common import map_rows, staged, text_bytes
 
 ROUNDS = 6
-CHUNK = 200_000       # words handled at once
-NAME_CACHE = 500_000  # word names a worker remembers
+CHUNK = 150_000  # bytes handled at once (a longer text is a chunk of its own)
+LONG_WORD = 256  # bytes from which on a word is named by one call
 
 _BASE = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
@@ -63,22 +63,28 @@ class Digest:
         return mix((self.sums[end] - self.sums[start]) * self.back[start] + (end - start).astype(np.uint64))
 
 
-class Names(dict):
-    def __missing__(self, word: bytes) -> int:
-        name = self[word] = xxhash.xxh64_intdigest(word)
-        return name
+_LOW = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)  # keeps the first k of 8 bytes
 
 
-_names = Names()
-
-
-def named(docs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    """Names of all tokens, and where each document starts (and the last ends)."""
-    if len(_names) > NAME_CACHE:
-        _names.clear()
-    at = np.cumsum([0, *map(len, docs)])
-    names = np.fromiter((x for d in docs for x in map(_names.__getitem__, d)), np.uint64, at[-1])
-    return names, at
+def named(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Names of all words, and which word each text starts with (and the last
+    ends at).  A word's name takes in its bytes eight at a time."""
+    text = b"\n".join([b"", *texts, b"        "])
+    data = np.frombuffer(text, np.uint8)
+    space = (data == 32) | (data - np.uint8(9) < 5)  # unsigned: below 9 wraps
+    edges = np.flatnonzero(space[1:] != space[:-1]) + 1
+    start, length = edges[::2], edges[1::2] - edges[::2]
+    eight = np.ndarray(len(text) - 7, "<u8", text, strides=1)  # the 8 bytes from each place on
+    names = mix((eight[start] & _LOW[np.minimum(length, 8)]) * _BASE[0] + length.astype(np.uint64) * _BASE[1])
+    more, k = np.flatnonzero((length > 8) & (length <= LONG_WORD)), 8
+    while len(more):
+        rest = length[more] - k
+        names[more] = mix(names[more] * _BASE[1] + (eight[start[more] + k] & _LOW[np.minimum(rest, 8)]) * _BASE[0])
+        more, k = more[rest > 8], k + 8
+    for i in np.flatnonzero(length > LONG_WORD):
+        names[i] = xxhash.xxh64_intdigest(text[start[i]:start[i] + length[i]])
+    at = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    return names, np.searchsorted(start, at)
 
 
 def merged(sym: np.ndarray, beg: np.ndarray, first: np.ndarray, name: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -127,23 +133,23 @@ def anchors(names: np.ndarray, at: np.ndarray, windows: np.ndarray, window: int)
     return anchor
 
 
-def chunks(docs: list[list[bytes]]) -> Iterator[tuple[int, list[list[bytes]]]]:
+def chunks(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
     start, size = 0, 0
-    for i, d in enumerate(docs):
-        if size and size + len(d) > CHUNK:
-            yield start, docs[start:i]
+    for i, t in enumerate(texts):
+        if size and size + len(t) > CHUNK:
+            yield start, texts[start:i]
             start, size = i, 0
-        size += len(d)
-    if docs:
-        yield start, docs[start:]
+        size += len(t)
+    if texts:
+        yield start, texts[start:]
 
 
-def blocks(docs: list[list[bytes]], window: int) -> dict[str, np.ndarray]:
+def blocks(texts: list[bytes], window: int) -> dict[str, np.ndarray]:
     """Blocks of neighbouring windows with one anchor: the anchor's name, the
     block's, its document (by number), first window and number of windows."""
-    names, at = named(docs)
-    doc = np.repeat(np.arange(len(docs)), np.maximum(np.diff(at) - window + 1, 0))
-    many = np.bincount(doc, minlength=len(docs))
+    names, at = named(texts)
+    doc = np.repeat(np.arange(len(texts)), np.maximum(np.diff(at) - window + 1, 0))
+    many = np.bincount(doc, minlength=len(texts))
     windows = np.arange(len(doc)) - np.repeat(np.cumsum(many) - many, many) + at[doc]
     if not len(windows):
         return {}
@@ -171,8 +177,8 @@ def split(text: bytes | None) -> list[bytes]:
 def block_rows(texts: DataFrame, window: int, only_keys: bool) -> DataFrame:
     def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         ids, out = batch.column(0).to_numpy(zero_copy_only=False), []
-        for start, docs in chunks([split(t.as_py()) for t in batch.column(1)]):
-            if found := blocks(docs, window):
+        for start, part in chunks([t.as_py() or b"" for t in batch.column(1)]):
+            if found := blocks(part, window):
                 found["doc_id"] = ids[start + found.pop("doc")]
                 out.append(found)
         cols = ["key"] if only_keys else ["key", "block", "doc_id", "start", "n"]
@@ -186,14 +192,14 @@ def window_rows(texts: DataFrame, window: int) -> DataFrame:
     """(d0, d1, doc_id, start): digests of the windows in each text's ``spans``."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         ids, out = batch.column(0).to_pylist(), []
-        docs = [split(t.as_py()) for t in batch.column(1)]
+        texts = [t.as_py() or b"" for t in batch.column(1)]
         spans = batch.column(2).to_pylist()
-        for first, part in chunks(docs):
+        for first, part in chunks(texts):
             names, at = named(part)
             both = [Digest(names, k) for k in (0, 1)]
             for j in range(len(part)):
                 w = np.concatenate([np.arange(s["start"], s["start"] + s["n"]) for s in spans[first + j]])
-                w = w[w + window <= len(part[j])] + at[j]
+                w = w[w + window <= at[j + 1] - at[j]] + at[j]
                 out.append([d.of(w, w + window).view(np.int64) for d in both]
                            + [np.full(len(w), ids[first + j]), (w - at[j]).astype(np.int32)])
         cols = [np.concatenate(c) for c in zip(*out)]

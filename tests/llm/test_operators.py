@@ -155,13 +155,25 @@ def test_anchors_are_the_same_wherever_a_window_stands(seed):
     seen = collections.defaultdict(set)
     for _ in range(5):
         docs = [word() + x + word() for x in inside]
-        found = substring.blocks(docs, 20)
+        found = substring.blocks([b" ".join(d) for d in docs], 20)
         for key, d, s, n in zip(found["key"], found["doc"], found["start"], found["n"]):
             for k in range(s, s + n):
                 seen[tuple(docs[d][k:k + 20])].add(int(key))
     assert all(len(keys) == 1 for keys in seen.values())
 
 
+def test_word_names():
+    texts = [b"", b" \t", b"a", b"x" * 300 + b" y\x0b" + b"z" * 257, b"\x08q \xc3\xa9\x85 " + b"k" * 9, b"x" * 256,
+             b"x" * 255 + b" x  a\n", b"k" * 8 + b" " + b"k" * 16, b"a\x00 a", b"x" * 300]
+    names, at = substring.named(texts)
+    words = [t.split() for t in texts]
+    assert np.diff(at).tolist() == [len(w) for w in words]
+    by_word = collections.defaultdict(set)
+    for w, name in zip((x for w in words for x in w), names.tolist()):
+        by_word[w].add(name)
+    assert all(len(x) == 1 for x in by_word.values()) and len(set.union(*by_word.values())) == len(by_word)
+
+
 def test_packing(docs, plain):
     from tokenizers import Tokenizer
     model = Tokenizer.from_file(packing.tokenizer_path())
