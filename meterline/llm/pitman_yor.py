@@ -4,8 +4,8 @@ Two levels of Chinese restaurants.  A token's context is the last of the
 ``contexts`` most frequent short words before it in its text, so a context
 tells language and register; each context is a restaurant whose dishes are the
 tokens that followed, and all share one parent, the root restaurant, over a
-uniform base.  Seating is sampled by Gibbs: a sweep seats every dish's
-customers anew, given the parent's probabilities and the table totals of the
+uniform base.  Seating is sampled by Gibbs: a sweep draws every dish's table
+count from its law given the parent's probabilities and the table totals of the
 last sweep, and a new table sends a customer to the parent.  Sweeps are
 bulk-synchronous: dishes are independent given the totals (one number per
 restaurant), so a sweep is one pass over the word table.  Scores use the
@@ -19,6 +19,7 @@ rare enough that none is a hot key.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -103,6 +104,54 @@ def seat(customers: np.ndarray, strength: np.ndarray, discount: float, rng: np.r
     return tables
 
 
+# Up to so many customers the law of the table count is held as it is.
+EXACT = 1024
+
+
+@functools.lru_cache(2)
+def table_law(discount: float) -> np.ndarray:
+    """[c, t]: log probability of t tables after c customers at strength 0,
+    which is discount^(t-1) (t-1)! S(c, t) / (c-1)! with the generalised
+    Stirling number S."""
+    with np.errstate(divide="ignore"):
+        law, t = np.full((EXACT + 1, EXACT + 1), -np.inf), np.arange(EXACT + 1)
+        law[1, 1] = 0
+        for n in range(1, EXACT):
+            law[n + 1, 1:] = np.logaddexp(law[n, :-1] + np.log(discount * t[:-1] / n),
+                                          law[n, 1:] + np.log(np.maximum(1 - discount * t[1:] / n, 0)))
+    return law
+
+
+def draw_tables(customers: np.ndarray, strength: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
+    """Tables of each dish given all other dishes: t has the weight
+    strength^t * S(customers, t).  Above ``EXACT`` customers the law of EXACT
+    customers is taken with t scaled by (customers / EXACT)^discount, its
+    limit form; what strength does to t is as it is at any count."""
+    out, law = np.ones(len(customers), np.int64), table_law(discount)
+    mean = strength / discount
+    # Beyond this the weights are nothing: t - 1 is near to Poisson(mean) at most.
+    most = np.minimum(customers, np.ceil(30 + 2 * mean + 10 * np.sqrt(mean)))
+    width = np.exp2(np.ceil(np.log2(np.maximum(most, 1)))).astype(np.int64)
+    log_mean = np.log(np.maximum(mean, 1e-300))
+    for w in np.unique(width[customers > 1]).tolist():
+        t = np.arange(1, w + 1)
+        factorial = np.concatenate(([0.0], np.cumsum(np.log(t[:-1]))))
+        of = np.flatnonzero((width == w) & (customers > 1))
+        for own in np.array_split(of, -(-len(of) * w // 2_000_000)):
+            c = customers[own]
+            if w <= EXACT:
+                weight = law[np.minimum(c, EXACT), 1:w + 1]
+            else:
+                weight = np.empty((len(own), w))
+            for i in np.flatnonzero(c > EXACT):
+                x = 1 + (t - 1) * (EXACT / c[i]) ** discount
+                weight[i] = np.interp(x, np.arange(1, EXACT + 1), law[EXACT, 1:], right=-np.inf)
+            weight = weight + log_mean[own][:, None] * t - factorial
+            share = np.cumsum(np.exp(weight - weight.max(axis=1, keepdims=True)), axis=1)
+            out[own] = 1 + (share < (rng.random(len(own)) * share[:, -1])[:, None]).sum(axis=1)
+    return out
+
+
 class Restaurants:
     """What all dishes share: discounts, strength and totals.  ``c`` and ``t``
     are customers and tables of each context, ``t0`` tables of the root."""
@@ -131,10 +180,10 @@ class Restaurants:
             at_root = np.add.reduceat(t, ends[:-1])
             # A dish's own tables are not there while it is seated.
             parent = np.maximum(self.root(at_root[word] - t, np.minimum(t0[word], at_root[word] - t)), 1e-300)
-            t = seat(c, self.new_table()[ctx] * parent, self.d, rng)
+            t = draw_tables(c, (self.new_table()[ctx] - self.d * t) * parent, self.d, rng)
             at_root = np.add.reduceat(t, ends[:-1])
-            base = np.full(len(t0), (self.theta + self.d0 * self.t0) / (self.words + 1))
-            t0 = seat(at_root, base, self.d0, rng)
+            base = (self.theta + self.d0 * (self.t0 - t0)) / (self.words + 1)
+            t0 = draw_tables(at_root, base, self.d0, rng)
             if keep:
                 kept = kept + c - self.d * t
                 p0 = p0 + self.root(at_root, t0)

@@ -343,6 +343,24 @@ def test_seating_agrees_with_one_by_one():
     assert np.mean([slow() for _ in range(4000)]) == pytest.approx(fast.mean(), rel=0.03)
 
 
+@pytest.mark.parametrize("c, a, d", [(2, 1.0, 0.5), (9, 3.0, 0.7), (100, 1.0, 0.5), (100, 1.0, 0.8), (100, 5.0, 0.9), (40, 60.0, 0.3),
+                                     (400, 90.0, 0.95), (3000, 5.0, 0.6), (3000, 200.0, 0.8)])
+def test_table_counts_have_their_exact_law(c, a, d):
+    """Weights a^t * S(c, t) by the recursion S(n+1, t) = S(n, t-1) + (n - d t) S(n, t)."""
+    log_s, t = np.full(c + 1, -np.inf), np.arange(c + 1)
+    log_s[1] = 0
+    with np.errstate(divide="ignore"):
+        for n in range(1, c):
+            log_s[1:] = np.logaddexp(log_s[:-1], log_s[1:] + np.log(np.maximum(n - d * t[1:], 0)))
+    w = log_s + t * math.log(a)
+    p = np.exp(w - w.max())
+    p /= p.sum()
+    got = pitman_yor.draw_tables(np.full(20_000, c), np.full(20_000, a), d, np.random.default_rng(4))
+    mean, sd = (p * t).sum(), math.sqrt((p * t * t).sum() - (p * t).sum() ** 2)
+    assert got.mean() == pytest.approx(mean, abs=5 * sd / math.sqrt(20_000) + (0.01 * mean if c > pitman_yor.EXACT else 0))
+    assert np.abs(np.cumsum(np.bincount(got, minlength=c + 1)) / 20_000 - np.cumsum(p)).max() < (0.02 if c <= pitman_yor.EXACT else 0.04)
+
+
 URLS = ["http://www.example.com/en/1", "https://EXAMPLE.com/en/x?y#z", "http://a.b.example.com/en/", "http://example.com/de/en/",
         "http://example.com", "http://x.net/es/1/2/3", "http://net/fr/", "http://x.net/fr", "http://x.net/frx/", None, "", "nonsense",
         "http://", "http://example.org/en/", "ftp://u@notcom/x", "http://com/", "a://b://c/d", "http://x.com?/en/", "http://x.com#q"]
