@@ -1,20 +1,19 @@
-"""LM scoring with a hierarchical Pitman-Yor model.
-
-Two levels of Chinese restaurants.  A token's context is the last of the
-``contexts`` most frequent short words before it in its text, so a context
-tells language and register; each context is a restaurant whose dishes are the
-tokens that followed, and all share one parent, the root restaurant, over a
-uniform base.  Seating is sampled by Gibbs: a sweep draws every dish's table
-count from its law given the parent's probabilities and the table totals of the
-last sweep, and a new table sends a customer to the parent.  Sweeps are
-bulk-synchronous: dishes are independent given the totals (one number per
-restaurant), so a sweep is one pass over the word table.  Scores use the
-predictive probabilities averaged over the sweeps after the burn-in.
-
-Counts cover all training text.  The word table grows with the vocabulary and
-is never collected; the ``head`` most frequent words go to every task as a
-matrix of fixed size, and all other tokens find their word by a join, on words
-rare enough that none is a hot key.
+"""LM scoring with a hierarchical Pitman-Yor model of bigrams.
+
+Two levels of Chinese restaurants.  A token's context is the token before it
+(the end of a text before its first): every token that precedes another is a
+restaurant whose dishes are the tokens that followed, and all share one parent,
+the root restaurant, over a uniform base.  Seating is sampled by Gibbs: a sweep
+draws every dish's table count from its law given the parent's probabilities
+and the table totals of the last sweep, and a new table sends a customer to the
+parent.  Sweeps are bulk-synchronous joins of the (context, word) table with one
+row per word and one per context; a pair seen once has one table and takes no
+part.  Scores use the predictive probabilities averaged over the sweeps after
+the burn-in.
+
+Counts cover all training text.  Words go by 64-bit names; no table is
+collected.  The most frequent pairs, words and contexts go to every task as a
+cache of fixed size, and all other tokens find theirs by joins.
 """
 
 from __future__ import annotations
@@ -24,68 +23,74 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, functions as F
 
-from meterline.llm.common import SLICE_ROWS, map_rows, staged, text_bytes
+from meterline.llm.common import SLICE_ROWS, staged, text_bytes
+from meterline.llm.substring import CHUNK, mix, named
 
-END = b" "  # the end of a text; no word holds a space
+END = np.uint64(0)  # the name of the end of a text
 
-# Counted (word, context) pairs a task holds before it sends them on.
-FLUSH = 400_000
+# Tokens a task holds before it counts their pairs and sends them on.
+FLUSH = 1_000_000
 
 
-def tokens(text: bytes | None) -> list[bytes]:
-    return [*(text or b"").lower().split(), END]
+def tokens(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Names of all words, A-Z lower-cased, each text with an end; and where
+    each text starts (and the last ends)."""
+    names, at = named([(t or b"").lower() for t in texts])
+    return np.insert(names, at[1:], END), at + np.arange(len(at))
+
+
+def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of about ``CHUNK`` bytes of text at a time."""
+    for batch in batches:
+        size = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False))
+        start = 0
+        while start < batch.num_rows:
+            end = int(np.searchsorted(size, (size[start - 1] if start else 0) + CHUNK)) + 1
+            end = min(end, start + SLICE_ROWS, batch.num_rows)
+            yield batch.slice(start, end - start)
+            start = end
+
+
+def before(names: np.ndarray) -> np.ndarray:
+    """The context of each token: the one before, which for a first is an end."""
+    return np.concatenate(([END], names[:-1]))
+
+
+def pair_key(ctx: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return mix(mix(ctx + np.uint64(1)) + word)
+
+
+def signed(x: np.ndarray) -> pa.Array:
+    return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
 def held_out(doc_id: Column, modulus: int = 7, remainder: int = 2) -> Column:
     return F.crc32(doc_id.cast("string")) % modulus == remainder
 
 
-def frequent_words(train: DataFrame, how_many: int, longest: int = 4) -> list[bytes]:
-    """The most frequent words of at most ``longest`` bytes: the contexts."""
-    def count(batch: pa.RecordBatch) -> pa.RecordBatch:
-        seen: dict[bytes, int] = {}
-        for text in batch.column(1).to_pylist():
-            for w in (text or b"").lower().split():
-                if len(w) <= longest:
-                    seen[w] = seen.get(w, 0) + 1
-        return pa.record_batch([pa.array(seen.keys(), pa.binary()), pa.array(seen.values(), pa.int64())], names=["word", "n"])
-    rows = map_rows(train, count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [bytes(r["word"]) for r in rows.orderBy(F.col("n").desc(), "word").limit(how_many).collect()]
+def pair_table(train: DataFrame) -> DataFrame:
+    """(ctx, word, c): how often each token follows each other."""
+    def count(parts: list[np.ndarray]) -> pa.RecordBatch:
+        ctx, word = (np.concatenate(x) for x in zip(*parts))
+        _, first, many = np.unique(pair_key(ctx, word), return_index=True, return_counts=True)
+        return pa.record_batch([signed(ctx[first]), signed(word[first]), pa.array(many.astype(np.int64))], names=["ctx", "word", "c"])
 
-
-def word_table(train: DataFrame, contexts: list[bytes]) -> DataFrame:
-    """(word, n, ctx, c): each training token with its count in each context."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = {w: i + 1 for i, w in enumerate(contexts)}
-        seen: list[dict[bytes, int]] = [{} for _ in range(len(contexts) + 1)]
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            for ctx, own in enumerate(seen):
-                if own:
-                    yield pa.record_batch([pa.array(own.keys(), pa.binary()), pa.array(np.full(len(own), ctx, np.int32)),
-                                           pa.array(own.values(), pa.int64())], names=["word", "ctx", "c"])
-                    own.clear()
-
-        for batch in batches:
-            for start in range(0, batch.num_rows, SLICE_ROWS):
-                for text in batch.column(1).slice(start, SLICE_ROWS):
-                    own = seen[0]
-                    for w in tokens(text.as_py()):
-                        own[w] = own.get(w, 0) + 1
-                        ctx = place.get(w)
-                        if ctx:
-                            own = seen[ctx]
-                if sum(map(len, seen)) > FLUSH:
-                    yield from flush()
-        yield from flush()
-
-    pairs = train.mapInArrow(run, "word binary, ctx int, c long").groupBy("word", "ctx").agg(F.sum("c").alias("c"))
-    # At most one entry per context.
-    entries = F.sort_array(F.collect_list(F.struct("ctx", "c")))
-    return (pairs.groupBy("word").agg(F.sum("c").alias("n"), entries.alias("e"))
-            .select("word", "n", F.col("e.ctx").alias("ctx"), F.col("e.c").alias("c")))
+        parts, size = [], 0
+        for batch in chunks(batches):
+            names, _ = tokens(batch.column(1).to_pylist())
+            parts.append((before(names), names))
+            size += len(names)
+            if size > FLUSH:
+                yield count(parts)
+                parts, size = [], 0
+        if parts:
+            yield count(parts)
+
+    return train.mapInArrow(run, "ctx long, word long, c long").groupBy("ctx", "word").agg(F.sum("c").alias("c"))
 
 
 def seat(customers: np.ndarray, strength: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
@@ -167,149 +172,184 @@ class Restaurants:
     def new_table(self) -> np.ndarray:
         return self.theta + self.d * self.t
 
-    def sweep(self, table: DataFrame, number: int, keep: bool) -> DataFrame:
-        """Seat every dish anew: (word, n, ctx, c, t, t0, kept, p0): ``kept``
-        sums c - d * t and ``p0`` the root's probability over kept sweeps."""
+    def seat_pairs(self, state: DataFrame, words: DataFrame, contexts: DataFrame, number: int, keep: bool) -> DataFrame:
+        """Draw the tables of every pair anew; ``kept`` sums them over kept sweeps."""
+        totals = (state.groupBy("ctx").agg(F.sum("t").alias("more")).join(contexts, "ctx")
+                  .select("ctx", (F.col("once") + F.col("more")).alias("of")))
+        joined = state.join(words.select("word", "at_root", "t0"), "word").join(totals, "ctx")
+
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            col = {n: batch.column(n) for n in batch.schema.names}
-            ends = col["ctx"].offsets.to_numpy() - col["ctx"].offsets[0].as_py()
-            ctx, c, t, kept = (col[n].flatten().to_numpy(zero_copy_only=False) for n in ("ctx", "c", "t", "kept"))
-            t0, p0 = (col[n].to_numpy(zero_copy_only=False) for n in ("t0", "p0"))
-            word = np.repeat(np.arange(len(t0)), np.diff(ends))
-            rng = np.random.default_rng([number, len(t0), *col["word"][0].as_py()])
-            at_root = np.add.reduceat(t, ends[:-1])
+            c, t, kept, at_root, t0, of = (batch.column(n).to_numpy() for n in ("c", "t", "kept", "at_root", "t0", "of"))
+            rng = np.random.default_rng([number, len(c), *(batch.column(n)[0].as_py() & (2**64 - 1) for n in ("ctx", "word"))])
             # A dish's own tables are not there while it is seated.
-            parent = np.maximum(self.root(at_root[word] - t, np.minimum(t0[word], at_root[word] - t)), 1e-300)
-            t = draw_tables(c, (self.new_table()[ctx] - self.d * t) * parent, self.d, rng)
-            at_root = np.add.reduceat(t, ends[:-1])
-            base = (self.theta + self.d0 * (self.t0 - t0)) / (self.words + 1)
-            t0 = draw_tables(at_root, base, self.d0, rng)
-            if keep:
-                kept = kept + c - self.d * t
-                p0 = p0 + self.root(at_root, t0)
-            offsets = pa.array(ends.astype(np.int32))
-            lists = {n: pa.ListArray.from_arrays(offsets, pa.array(x)) for n, x in (("t", t), ("kept", kept))}
-            return pa.record_batch({"word": col["word"], "n": col["n"], "ctx": col["ctx"], "c": col["c"], **lists,
-                                    "t0": pa.array(t0), "p0": pa.array(p0)})
-        return staged(table.mapInArrow(lambda bs: (run(b) for b in bs if b.num_rows), SWEPT), f"lm-sweep-{number}")
-
-
-SWEPT = "word binary, n long, ctx array<int>, c array<long>, t array<long>, kept array<double>, t0 long, p0 double"
-
+            parent = np.maximum(self.root(at_root - t, np.minimum(t0, at_root - t)), 1e-300)
+            t = draw_tables(c, (self.theta + self.d * (of - t)) * parent, self.d, rng)
+            return pa.record_batch({"ctx": batch.column("ctx"), "word": batch.column("word"), "c": batch.column("c"),
+                                    "t": pa.array(t), "kept": pa.array(kept + t if keep else kept)})
+        return staged(joined.mapInArrow(lambda bs: (run(b) for b in bs if b.num_rows),
+                                        "ctx long, word long, c long, t long, kept long"), f"lm-pairs-{number}")
+
+    def seat_root(self, state: DataFrame, words: DataFrame, number: int, keep: bool) -> DataFrame:
+        """Draw the root's tables anew; ``p0`` sums each word's own part of the
+        root's probability over kept sweeps."""
+        joined = words.drop("at_root").join(state.groupBy("word").agg(F.sum("t").alias("more")), "word", "left").select(
+            "*", (F.col("once") + F.coalesce("more", F.lit(0))).alias("at_root"))
 
-def by_context(table: DataFrame, values: str, width: int) -> np.ndarray:
-    rows = (table.select(F.explode(F.arrays_zip("ctx", values)).alias("e")).groupBy("e.ctx")
-            .agg(F.sum(f"e.{values}").alias("n")).collect())
-    out = np.zeros(width)
-    for r in rows:
-        out[r["ctx"]] = r["n"]
-    return out
+        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+            at_root, t0, p0 = (batch.column(n).to_numpy() for n in ("at_root", "t0", "p0"))
+            rng = np.random.default_rng([number, len(t0), batch.column("word")[0].as_py() & (2**64 - 1)])
+            t0 = draw_tables(at_root, (self.theta + self.d0 * (self.t0 - t0)) / (self.words + 1), self.d0, rng)
+            if keep:
+                p0 = p0 + (at_root - self.d0 * t0) / (self.theta + self.t.sum())
+            return pa.record_batch({**{n: batch.column(n) for n in ("word", "n", "once", "at_root")}, "t0": pa.array(t0), "p0": pa.array(p0)})
+        return staged(joined.mapInArrow(lambda bs: (run(b) for b in bs if b.num_rows),
+                                        "word long, n long, once long, at_root long, t0 long, p0 double"), f"lm-words-{number}")
+
+
+def most_frequent(table: DataFrame, column: str, most: int) -> DataFrame:
+    """The rows above some count, at most ``most``."""
+    level = F.floor(F.log2(column) * 8)
+    sizes = table.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("n")).collect()
+    least = 2**31
+    for r in sorted(sizes, key=lambda r: -r["level"]):
+        most -= r["n"]
+        if most < 0:
+            break
+        least = r["level"]
+    return table.filter(level >= least)
+
+
+def columns(table: DataFrame, key: str) -> dict[str, np.ndarray]:
+    """The columns as arrays, sorted by ``key``."""
+    own = table.toArrow()
+    cols = {n: own[n].to_numpy() for n in own.column_names}
+    order = np.argsort(cols[key])
+    return {n: x[order] for n, x in cols.items()}
+
+
+def find(keys: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of ``asked`` are among the sorted ``keys``, and where (0 if not)."""
+    if not len(keys):
+        return np.zeros(len(asked), bool), np.zeros(len(asked), np.int64)
+    at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+    hit = keys[at] == asked
+    return hit, np.where(hit, at, 0)
 
 
 def discount_of(ones: int, twos: int) -> float:
     return min(0.95, max(0.1, ones / max(1, ones + 2 * twos)))
 
 
-def score(documents: DataFrame, out: Column, *, contexts: int = 16, head: int = 200_000, burn_in: int = 2,
-          samples: int = 3, strength: float = 1.0) -> DataFrame:
+def score(documents: DataFrame, out: Column, *, head: int = 200_000, burn_in: int = 2, samples: int = 3,
+          strength: float = 1.0) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score).
 
     Learns from the rows where ``out`` is not true and scores every row's whole
     text: its words, A-Z lower-cased, and one end.  ``base_score`` is add-one
     unigram smoothing.  An unseen token has the model's probability of a new
-    word.  Null and empty texts are the end alone.  Nothing to learn from:
-    both scores are 0 for the one (unseen) kind of token.  Repeated rows count
-    as often as they occur and give equal rows; other columns are never read.
+    word; after an unseen token the root's probabilities hold.  Null and empty
+    texts are the end alone.  Nothing to learn from: both scores are 0 for the
+    one (unseen) kind of token.  Repeated rows count as often as they occur and
+    give equal rows; other columns are never read.
     """
     rows = documents.withColumn("held_out", F.coalesce(out, F.lit(False)))
-    train = text_bytes(rows.filter(~F.col("held_out")))
-    words = frequent_words(train, contexts)
-    width = len(words) + 1
-    table = staged(word_table(train, words), "lm-words")
-    c = by_context(table, "c", width)
-    pair = F.explode("c").alias("c")
-    few = table.select(pair).agg(F.count_if(F.col("c") == 1).alias("a"), F.count_if(F.col("c") == 2).alias("b")).first()
-    size = table.agg(F.count(F.lit(1)).alias("v"), F.sum("n").alias("n"), F.count_if(F.col("n") == 1).alias("a"),
-                     F.count_if(F.col("n") == 2).alias("b")).first()
+    pairs = staged(pair_table(text_bytes(rows.filter(~F.col("held_out")))), "lm-pairs")
+    once = F.count_if(F.col("c") == 1).alias("once")
+    vocabulary = staged(pairs.groupBy("word").agg(F.sum("c").alias("n"), once, F.count(F.lit(1)).alias("at_root")), "lm-words")
+    contexts = staged(pairs.groupBy("ctx").agg(F.sum("c").alias("n"), once), "lm-contexts")
+    few = pairs.agg(F.count_if(F.col("c") == 1).alias("a"), F.count_if(F.col("c") == 2).alias("b"), F.count(F.lit(1)).alias("t")).first()
+    size = vocabulary.agg(F.count(F.lit(1)).alias("v"), F.sum("n").alias("n"), F.count_if(F.col("n") == 1).alias("a"),
+                          F.count_if(F.col("n") == 2).alias("b")).first()
     v, n = size["v"], size["n"] or 0
     d, d0 = discount_of(few["a"], few["b"]), discount_of(size["a"], size["b"])
 
-    # A word seen once has one table everywhere; the others start with one per context and are sampled.
-    once = table.filter("n = 1")
-    once_by = by_context(once, "c", width)
-    state = table.filter("n > 1").select(
-        "word", "n", "ctx", "c", F.transform("c", lambda x: F.lit(1).cast("long")).alias("t"),
-        F.transform("c", lambda x: F.lit(0.0)).alias("kept"), F.lit(1).cast("long").alias("t0"), F.lit(0.0).alias("p0"))
-    here = Restaurants(d, d0, strength, v, c, once_by + by_context(state, "t", width), v)
-    p_once, p_new, new_table = 0.0, 0.0, np.zeros(width)
+    # What is seen once has one table; the others start with one and are sampled.
+    state = pairs.filter("c > 1").select("ctx", "word", "c", F.lit(1).cast("long").alias("t"), F.lit(0).cast("long").alias("kept"))
+    words = vocabulary.filter("n > 1").select("*", F.lit(1).cast("long").alias("t0"), F.lit(0.0).alias("p0"))
+    customers = np.array([n], float)
+    here = Restaurants(d, d0, strength, v, customers, np.array([few["t"]], float), v)
+    own_once, p_new = 0.0, 0.0
     for number in range(burn_in + samples):
         keep = number >= burn_in
-        state = here.sweep(state, number, keep)
-        t0 = state.agg(F.sum("t0").alias("t")).first()["t"] or 0
-        here = Restaurants(d, d0, strength, v, c, once_by + by_context(state, "t", width), int(once_by.sum()) + t0)
+        state = here.seat_pairs(state, words, contexts, number, keep)
+        t = few["a"] + (state.agg(F.sum("t").alias("t")).first()["t"] or 0)
+        here = Restaurants(d, d0, strength, v, customers, np.array([t], float), here.t0)
+        words = here.seat_root(state, words, number, keep)
+        t0 = size["a"] + (words.agg(F.sum("t0").alias("t")).first()["t"] or 0)
+        here = Restaurants(d, d0, strength, v, customers, here.t, t0)
         if keep:
-            p_once += float(here.root(np.array([1]), np.array([1]))[0]) / samples
+            own_once += (1 - d0) / (strength + t) / samples
             p_new += float(here.root(np.array([0]), np.array([0]))[0]) / samples
-            new_table += here.new_table() / samples
-    totals = here.theta + c
-    back = (new_table / totals).tolist()  # times the root's probability
-    model = state.select("word", "n", "ctx", F.transform("kept", lambda x: x / samples).alias("kept"),
-                         (F.col("p0") / samples).alias("p0")).unionByName(
-        once.select("word", "n", "ctx", F.transform("c", lambda x: F.lit(1 - d)).alias("kept"), F.lit(p_once).alias("p0")))
-
-    # The most frequent words as one matrix of log probabilities.
-    top = model.orderBy(F.col("n").desc(), "word").limit(head).toArrow().combine_chunks()
-    many = [np.diff(x.offsets.to_numpy()) for x in top["ctx"].chunks]
-    of = np.repeat(np.arange(top.num_rows), np.concatenate([np.empty(0, np.int64), *many]).astype(np.int64))
-    prob = np.array(top["p0"].to_numpy())[:, None] * np.array(back)[None, :]
-    if top.num_rows:
-        ctx, kept_sum = (np.concatenate([x.flatten().to_numpy() for x in top[c].chunks]) for c in ("ctx", "kept"))
-        prob[of, ctx] += kept_sum / totals[ctx]
-    log_prob, log_base = np.log10(prob), np.log10((top["n"].to_numpy() + 1) / (n + v + 1))
-    known = documents.sparkSession.sparkContext.broadcast(({w.as_py(): i for i, w in enumerate(top["word"])}, log_prob, log_base))
-    place = {w: i + 1 for i, w in enumerate(words)}
+
+    # The predictive probability is kept / total + back * p0.
+    model = state.select("ctx", "word", "c", (F.col("c") - F.col("kept") * d / samples).alias("kept")).unionByName(
+        pairs.filter("c = 1").select("ctx", "word", "c", F.lit(1 - d).alias("kept")))
+    words = (words.select("word", "n", (F.col("p0") / samples + p_new).alias("p0"))
+             .unionByName(vocabulary.filter("n = 1").select("word", "n", F.lit(own_once + p_new).alias("p0"))))
+    tables = F.col("once") + F.coalesce("more", F.lit(0)) / samples
+    contexts = staged(contexts.join(state.groupBy("ctx").agg(F.sum("kept").alias("more")), "ctx", "left").select(
+        "ctx", (strength + F.col("n")).alias("total"), ((strength + d * tables) / (strength + F.col("n"))).alias("back")), "lm-backs")
+
+    # The cache: the most frequent pairs, words and contexts.
+    top = (most_frequent(model, "c", 5 * head).join(words, "word").join(contexts, "ctx")
+           .select("ctx", "word", "n", F.log10(F.col("kept") / F.col("total") + F.col("back") * F.col("p0")).alias("p")).toArrow())
+    keys = pair_key(*(top[x].to_numpy().view(np.uint64) for x in ("ctx", "word")))
+    order = np.argsort(keys)
+    smooth = float(n + v + 1)
+    spark = documents.sparkSession.sparkContext
+    known_pairs = spark.broadcast((keys[order], top["p"].to_numpy()[order], np.log10((top["n"].to_numpy()[order] + 1) / smooth)))
+    known = spark.broadcast((columns(most_frequent(words, "n", head), "word"), columns(most_frequent(contexts, "total", head), "ctx")))
+    del top, keys, order
 
     def first(batch: pa.RecordBatch) -> pa.RecordBatch:
-        index, log_prob, log_base = known.value
-        starts = np.zeros(len(index) + 1, np.int64)  # context that a word opens
-        for w, i in place.items():
-            starts[index.get(w, -1)] = i if w in index else 0
-        out = {x: [] for x in ("n_tokens", "n_head", "head_score", "head_base", "rare")}
-        for text in batch.column(1):
-            words = tokens(text.as_py())
-            ids = np.fromiter((index.get(w, -1) for w in words), np.int64, len(words))
-            have = ids >= 0
-            rest = np.flatnonzero(~have)
-            opened = starts[ids]
-            opened[rest] = [place.get(words[i], 0) for i in rest]
-            last = np.maximum.accumulate(np.where(opened > 0, np.arange(len(ids)), -1))
-            ctx = np.where(last >= 0, opened[last], 0)
-            ctx = np.concatenate(([0], ctx[:-1]))
-            out["n_tokens"].append(len(ids))
-            out["n_head"].append(int(have.sum()))
-            out["head_score"].append(float(log_prob[ids[have], ctx[have]].sum()))
-            out["head_base"].append(float(log_base[ids[have]].sum()))
-            out["rare"].append([{"word": words[i], "ctx": int(ctx[i])} for i in rest])
-        rare = pa.array(out.pop("rare"), pa.list_(pa.struct([("word", pa.binary()), ("ctx", pa.int32())])))
-        own = {x: pa.array(y, pa.float64() if "_s" in x or "_b" in x else pa.int64()) for x, y in out.items()}
-        own["n_tokens"] = pa.array(out["n_tokens"], pa.int64())
-        return pa.record_batch({"doc_id": batch.column(0), "held_out": batch.column(2), **own, "rare": rare})
-
-    seen = map_rows(text_bytes(rows, "held_out"), first,
-                    "doc_id long, held_out boolean, n_tokens long, n_head long, head_score double, head_base double, "
-                    "rare array<struct<word: binary, ctx: int>>")
+        keys, log_prob, log_base = known_pairs.value
+        names, at = tokens(batch.column(1).to_pylist())
+        ctx = before(names)
+        hit, place = find(keys, pair_key(ctx, names))
+        sums = []
+        for x in (hit, log_prob[place] if len(keys) else np.zeros(len(hit)), log_base[place] if len(keys) else np.zeros(len(hit))):
+            # Every text has a token: its end.
+            sums.append(np.add.reduceat(np.where(hit, x, 0), at[:-1]))
+        ends = pa.array(np.concatenate(([0], np.cumsum(np.add.reduceat((~hit).astype(np.int64), at[:-1])))).astype(np.int32))
+        rest = {x: pa.ListArray.from_arrays(ends, signed(y[~hit])) for x, y in (("ctx", ctx), ("word", names))}
+        return pa.record_batch({"doc_id": batch.column(0), "held_out": batch.column(2), "n_tokens": pa.array(np.diff(at)),
+                                "n_head": pa.array(sums[0].astype(np.int64)), "head_score": pa.array(sums[1].astype(float)),
+                                "head_base": pa.array(sums[2].astype(float)), **rest})
+
+    seen = text_bytes(rows, "held_out").mapInArrow(
+        lambda bs: (first(b) for b in chunks(bs)),
+        "doc_id long, held_out boolean, n_tokens long, n_head long, head_score double, head_base double, "
+        "ctx array<long>, word array<long>")
     # Each row of the input has a number of its own, as doc_id may repeat.
     seen = staged(seen.withColumn("row", F.monotonically_increasing_id()), "lm-head-scores")
-    asked = seen.select("row", F.explode("rare").alias("e")).select("row", "e.word", F.col("e.ctx").alias("asked"))
-    backs, sums = (F.array(*(F.lit(float(x)) for x in xs)) for xs in (back, totals))
-    kept = F.element_at(F.map_from_arrays("ctx", "kept"), F.col("asked"))
-    prob = (F.coalesce(kept / F.element_at(sums, F.col("asked") + 1), F.lit(0.0))
-            + F.coalesce("p0", F.lit(p_new)) * F.element_at(backs, F.col("asked") + 1))
-    rare = (asked.join(model, "word", "left").groupBy("row").agg(
-        F.count("n").alias("n_rare"), F.sum(F.log10(prob)).alias("rare_score"),
-        F.sum(F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(float(n + v + 1)))).alias("rare_base")))
+    asked = (seen.select("row", F.explode(F.arrays_zip("ctx", "word")).alias("e")).select("row", "e.ctx", "e.word")
+             .join(model.drop("c"), ["ctx", "word"], "left"))
+
+    def second(batch: pa.RecordBatch) -> pa.RecordBatch:
+        """Scores of tokens whose word and context are in the cache; the others go on."""
+        words, contexts = known.value
+        ctx, word = (batch.column(x).to_numpy() for x in ("ctx", "word"))
+        kept = np.nan_to_num(batch.column("kept").to_numpy(zero_copy_only=False).astype(float))
+        (has_word, w), (has_ctx, u) = find(words["word"], word), find(contexts["ctx"], ctx)
+        done = has_word & has_ctx
+        score, base = np.zeros(len(done)), np.zeros(len(done))
+        w, u = w[done], u[done]
+        score[done] = np.log10(kept[done] / contexts["total"][u] + contexts["back"][u] * words["p0"][w])
+        base[done] = np.log10((words["n"][w] + 1) / smooth)
+        return pa.record_batch({"row": batch.column("row"), "ctx": pa.array(ctx, mask=done), "word": pa.array(word, mask=done),
+                                "kept": pa.array(kept, mask=done), "score": pa.array(score, mask=~done), "base": pa.array(base, mask=~done)})
+
+    found = staged(asked.mapInArrow(lambda bs: (second(b) for b in bs if b.num_rows),
+                                    "row long, ctx long, word long, kept double, score double, base double"), "lm-found")
+    done = found.filter(F.col("score").isNotNull()).select("row", "score", "base", F.lit(1).alias("known"))
+    prob = (F.coalesce(F.col("kept") / F.col("total"), F.lit(0.0)) + F.coalesce("back", F.lit(1.0)) * F.coalesce("p0", F.lit(p_new)))
+    others = (found.filter(F.col("score").isNull()).drop("score", "base").join(words, "word", "left").join(contexts, "ctx", "left")
+              .select("row", F.log10(prob).alias("score"), F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(smooth)).alias("base"),
+                      F.col("n").isNotNull().cast("int").alias("known")))
+    rare = done.unionByName(others).groupBy("row").agg(
+        F.sum("known").alias("n_rare"), F.sum("score").alias("rare_score"), F.sum("base").alias("rare_base"))
     zero = lambda c, z: F.coalesce(c, F.lit(z))
-    return seen.drop("rare").join(rare, "row", "left").select(
+    return seen.drop("ctx", "word").join(rare, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_head") + zero("n_rare", 0)).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"), (F.col("head_base") + zero("rare_base", 0.0)).alias("base_score"),
         (F.col("head_score") + zero("rare_score", 0.0)).alias("score"))

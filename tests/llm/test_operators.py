@@ -312,6 +312,16 @@ def test_language_model_beats_the_base_on_held_out_text(spark):
     assert rows[0] > rows[1]
 
 
+def test_every_preceding_word_is_a_context(spark):
+    """100 words, each always followed by its own partner: all of these pairs are learnt."""
+    texts = [" ".join(f"first{k} second{k}" for k in np.random.default_rng(i).permutation(100)) for i in range(40)]
+    asked = [" ".join(f"first{k} second{k}" for k in range(100)), " ".join(f"first{k} second{(k + 1) % 100}" for k in range(100))]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts + asked)], "doc_id long, text string")
+    for head in (200_000, 3):
+        got = {r["doc_id"]: r["score"] for r in pitman_yor.score(rows, F.col("doc_id") >= 40, head=head).collect()}
+        assert got[40] > got[41] + 100 and got[40] > -250  # half of the tokens are certain
+
+
 def test_predictive_probabilities_sum_to_one():
     rng = np.random.default_rng(1)
     c = rng.integers(0, 30, (50, 3))
