@@ -14,6 +14,7 @@ constants of the expression, no join.
 from __future__ import annotations
 
 import json
+import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -96,6 +97,9 @@ class Cascade:
         self.levels: list[Level] = []
         if n == 0:
             return
+        # So many more halvings leave no more false positives of level 1 than an eighth of the listed keys.
+        more = max(0, math.ceil(math.log2(max(1, universe.count()) / n)))
+        bits_per_key, hashes = bits_per_key + -(-3 * more // 2), hashes + more
         # The other side of level 1: universe keys that are not listed.
         inside, outside = listed, universe.select("key").distinct().join(F.broadcast(listed), "key", "left_anti")
         for depth in range(max_levels):

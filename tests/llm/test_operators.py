@@ -407,6 +407,14 @@ def test_cascade_is_exact_over_its_universe(spark):
     assert wrong.count() == 0
 
 
+def test_cascade_of_few_keys_over_a_large_universe(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "MAX_LISTED", 100)
+    universe = spark.range(300_000).select(F.concat(F.lit("k"), "id").alias("key"))
+    cascade = url_filter.Cascade(universe.filter("key in ('k1', 'k77', 'k4096')"), universe)
+    held = universe.filter(cascade.holds(F.col("key"))).collect()
+    assert {r["key"] for r in held} == {"k1", "k77", "k4096"}
+
+
 def test_mixing(docs):
     rows = mixing.mix(docs).collect()
     again = mixing.mix(docs.repartition(7)).collect()
