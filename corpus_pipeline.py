@@ -30,10 +30,15 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the smallest id of each group."""
-    groups = simhash.simhash_components(docs, shingle=3, max_bits=2)
-    first = groups.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.dropDuplicates(["doc_id"]).join(first, "doc_id", "left_semi").select(*COLUMNS)
+    """Keeps one row of each group, the first by doc_id and then by content.
+    Rows are judged by their own text: different texts of one id stay apart."""
+    content = F.xxhash64(*COLUMNS)
+    rows = staged(docs.select(*COLUMNS, content.alias("content")).withColumn("row", F.monotonically_increasing_id()), "pipeline-numbered")
+    groups = simhash.simhash_components(rows.select(F.col("row").alias("doc_id"), "text"), shingle=3, max_bits=2)
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "content", "row")
+    first = (groups.select(F.col("doc_id").alias("row"), "component_id").join(rows.select("row", "doc_id", "content"), "row")
+             .groupBy("component_id").agg(F.min(order)["row"].alias("row")))
+    return rows.join(first, "row", "left_semi").select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

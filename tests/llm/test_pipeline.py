@@ -49,6 +49,17 @@ def test_stages(spark):
     check_places(packed)
 
 
+def test_texts_of_one_id_are_judged_each_on_its_own(spark):
+    stage = dict(corpus_pipeline.STAGES)["simhash_near_dedup"]
+    one, two, other = (" ".join(f"{k}{i * k % 97}" for i in range(1, 90)) for k in (3, 5, 7))
+    rows = [(1, one, "en", "s", 1), (1, two, "en", "s", 2), (1, one, "en", "s", 1), (2, two, "en", "t", 2), (3, other, "en", "s", 3)]
+    want = [(1, one, "en", "s", 1), (1, two, "en", "s", 2), (3, other, "en", "s", 3)]
+    schema = spark.read.parquet(f"{SMALL}/documents.parquet").schema
+    for own in (rows, rows[::-1]):
+        got = stage(spark, spark.createDataFrame(own, schema).coalesce(1), SMALL).collect()
+        assert sorted(map(tuple, got)) == sorted(want)
+
+
 def test_empty_table(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").filter(F.lit(False))
     for name, stage in corpus_pipeline.STAGES:
