@@ -6,7 +6,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from meterline.llm import ann, bitsliced, langid, linededup, mixing, packing, pitman_yor, simhash, substring, url_filter
+from meterline.llm import (ann, bitsliced, langid, linededup, merkle, mixing, packing, pitman_yor, simhash, substring,
+                           url_filter)
 from meterline.llm.common import table
 
 # The rules of the url query.
@@ -67,11 +68,57 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents, profiles).select("doc_id", out.alias("held_out"), "lang_pred", "score")
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    return merkle.verified_manifest(table(spark, sf_dir, "documents"), tampered)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_simhash, op2_substring, op3_packing, op4_ann, op5_lm_score, op6_url_filter, op7_mixing, op8_line_dedup,
-    op9_top_k, op10_language_id)}
+    op9_top_k, op10_language_id, op13_merkle)}
+
+
+
+def _merkle_sql(depth: int = 10) -> str:
+    """Each of the ``depth`` levels spelled out: up to 8^depth documents a language."""
+    def digest(*values: str) -> str:
+        return "sha256(" + " || ".join(f"coalesce(octet_length(encode({v}::VARCHAR)) || ':' || {v}, '-')" for v in values) + ")"
+
+    def tree(n: str, start: str) -> list[str]:
+        out = [f"{n}0 AS MATERIALIZED ({start})"]
+        for k in range(depth):
+            out += [f"{n}r{k} AS MATERIALIZED (SELECT g, i // 8 AS p, list(h ORDER BY i) AS hs, any_value(c) > 1 AS many "
+                    f"FROM (SELECT *, count(*) OVER (PARTITION BY g) AS c FROM {n}{k}) GROUP BY g, i // 8)",
+                    f"{n}{k + 1} AS MATERIALIZED (SELECT g, p AS i, CASE WHEN many THEN sha256(array_to_string(hs, '')) ELSE hs[1] END AS h FROM {n}r{k})"]
+        return out
+
+    def fold(f: str, n: str, start: str) -> list[str]:
+        out = [f"{f}0 AS ({start})"]
+        for k in range(depth):
+            out.append(f"""{f}{k + 1} AS (SELECT doc_id, lang, leaf, f.g, i // 8 AS i,
+  CASE WHEN many THEN sha256(array_to_string(hs[1:i % 8], '') || h || array_to_string(hs[i % 8 + 2:], '')) ELSE h END AS h,
+  CASE WHEN many THEN s || array_to_string(hs[1:i % 8], '') || array_to_string(hs[i % 8 + 2:], '') ELSE s END AS s
+  FROM {f}{k} f JOIN {n}r{k} r ON f.g IS NOT DISTINCT FROM r.g AND i // 8 = p)""")
+        return out
+
+    text = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    crc = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+  lambda a, b: list_reduce(list_prepend(xor(a, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda v, z: xor(v >> 1, (v & 1) * 3988292384))))"""
+    parts = [
+        f"""d AS MATERIALIZED (SELECT doc_id, lang, {digest("doc_id", "source", "lang", "n_chars", "text")} AS leaf,
+  CASE WHEN {crc} % 3 = 0 THEN {digest("doc_id", "source", "lang", "n_chars", text)} END AS changed FROM documents)""",
+        *tree("n", "SELECT lang AS g, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, changed) - 1 AS i, leaf AS h, "
+                   "doc_id, coalesce(changed, leaf) AS now FROM d"),
+        *tree("t", f"SELECT '' AS g, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS i, h, g AS lang FROM n{depth}"),
+        *fold("f", "n", "SELECT doc_id, g AS lang, h AS leaf, g, i, now AS h, '' AS s FROM n0"),
+        *fold("u", "t", f"SELECT f.doc_id, f.lang, leaf, t.g, t.i, f.h, f.s FROM f{depth} f JOIN t0 t ON f.lang IS NOT DISTINCT FROM t.lang")]
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT u.doc_id, leaf, t0.h AS subroot, r.h AS root, sha256(s) AS proof_sha256, u.h AS folded_root, u.h = r.h AS verified
+FROM u{depth} u JOIN t0 ON u.lang IS NOT DISTINCT FROM t0.lang JOIN t{depth} r ON true"""
+
 
 ORACLE = {
+    "op13_merkle": _merkle_sql(),
     "op2_substring": r"""
 WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), CAST([] AS VARCHAR[])) AS w FROM documents),
 p AS (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM d WHERE len(w) >= 20),
