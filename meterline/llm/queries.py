@@ -6,9 +6,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from meterline.llm import (ann, bitsliced, langid, linededup, merkle, mixing, packing, pitman_yor, simhash, substring,
-                           url_filter)
+from meterline.llm import (ann, bitsliced, langid, linededup, merkle, mixing, packing, pitman_yor, rtree, simhash, substring,
+                           url_filter, warc)
 from meterline.llm.common import table
+from meterline.session import scratch_path
 
 # The rules of the url query.
 URL_RULES = [
@@ -68,6 +69,17 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents, profiles).select("doc_id", out.alias("held_out"), "lang_pred", "score")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return rtree.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label, positives=5, negatives=5, low=80, scale=256)
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write(warc.with_originals(table(spark, sf_dir, "pages"), least=100), path)
+    return warc.archived_pages(spark, path)
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
     return merkle.verified_manifest(table(spark, sf_dir, "documents"), tampered)
@@ -75,7 +87,7 @@ def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_simhash, op2_substring, op3_packing, op4_ann, op5_lm_score, op6_url_filter, op7_mixing, op8_line_dedup,
-    op9_top_k, op10_language_id, op13_merkle)}
+    op9_top_k, op10_language_id, op11_hard_negatives, op12_warc, op13_merkle)}
 
 
 
@@ -118,6 +130,29 @@ FROM u{depth} u JOIN t0 ON u.lang IS NOT DISTINCT FROM t0.lang JOIN t{depth} r O
 
 
 ORACLE = {
+    "op11_hard_negatives": """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+  WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding) AND len(embedding) > 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+    CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda x: x[1] * x[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+r AS (
+  SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+  FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT same AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM r WHERE rank <= 5""",
+    "op12_warc": """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, octet_length(b) AS n, sha256(b) AS h FROM p),
+r AS (SELECT *, CASE WHEN n >= 100 THEN nullif(min(page_id) OVER (PARTITION BY h, n), page_id) END AS first FROM d)
+SELECT page_id, n AS payload_bytes, h AS payload_digest, CASE WHEN first IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
+  first AS refers_to FROM r""",
     "op13_merkle": _merkle_sql(),
     "op2_substring": r"""
 WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), CAST([] AS VARCHAR[])) AS w FROM documents),
