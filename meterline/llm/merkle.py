@@ -19,12 +19,13 @@ from meterline.functions.reuse import per_application
 from meterline.llm.common import staged
 
 # Children of a node, and places that one window partition holds.
-FAN, SPAN = 8, 4096
+FAN, SPAN = 8, 512
 
 # What tampering changes, and to what.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-PATH = "array<struct<left:string,right:string>>"
+# Siblings travel as bytes, half as long as hex.
+PATH = "array<struct<left:binary,right:binary>>"
 
 
 def row_digest(*values: Column) -> Column:
@@ -92,7 +93,7 @@ def _paths(levels: list[DataFrame], top: DataFrame) -> DataFrame:
             found = level.join(above, ["g", "i"])
         else:
             own = F.when(F.col("n") > 1, F.array(F.struct("left", "right"))).otherwise(F.array().cast(PATH))
-            found = (_with_siblings(level).withColumn("_up", F.expr(f"i div {FAN}"))
+            found = (_with_siblings(level).withColumns({"left": F.unhex("left"), "right": F.unhex("right"), "_up": F.expr(f"i div {FAN}")})
                      .join(above.select("g", F.col("i").alias("_up"), F.col("path").alias("_path")), ["g", "_up"])
                      .withColumn("path", F.concat(own, "_path")).drop("_up", "_path", "left", "right"))
         above = found.select("g", "i", "path")
@@ -104,7 +105,8 @@ def manifest(docs: DataFrame, digests: dict[str, Column], *, group: str, order:
     ``subroot``, ``root``: the tree's leaves are the first of ``digests``, in
     one tree for each value of ``group`` (null is a value) by ``order`` (null
     first; equal ones by digests) and one tree over the groups' roots (null
-    first).  ``path`` has the (left, right) siblings from the leaf to the root.
+    first).  ``path`` has the (left, right) siblings from the leaf to the root, as
+    the bytes of their digests.
 
     Repeated rows are leaves of their own.  A group of one row has the leaf as
     its subroot, a table of one group has the subroot as its root.  An empty
@@ -129,14 +131,18 @@ def manifest(docs: DataFrame, digests: dict[str, Column], *, group: str, order:
                     *(F.col(f"_d_{name}").alias(name) for name in digests), "path", "subroot", "root"))
 
 
+def _hex(data: Column) -> Column:
+    return F.lower(F.hex(data))
+
+
 def proof_digest(path: Column) -> Column:
     """sha256 of a path's siblings, level by level, left to right."""
-    return F.sha2(F.concat_ws("", F.flatten(F.transform(path, lambda e: F.array(e["left"], e["right"])))), 256)
+    return F.sha2(F.concat_ws("", F.transform(path, lambda e: F.concat(_hex(e["left"]), _hex(e["right"])))), 256)
 
 
 def folded(path: Column, leaf: Column) -> Column:
     """The root that ``leaf`` gives with the siblings of ``path``."""
-    return F.aggregate(path, leaf, lambda h, e: F.sha2(F.concat(e["left"], h, e["right"]), 256))
+    return F.aggregate(path, leaf, lambda h, e: F.sha2(F.concat(_hex(e["left"]), h, _hex(e["right"])), 256))
 
 
 def document_digest(text: Column) -> Column:
