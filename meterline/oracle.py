@@ -304,6 +304,17 @@ def oracle_queries() -> dict[str, str]:
                 "tpep_dropoff_datetime": "timestamp_ntz"}
     found = {"passenger_count": "'double'", "RatecodeID": "'string'", "PUlocationID": "'bigint'", "airport_fee": "NULL"}
     bad = {"RatecodeID": "COUNT(*) FILTER (WHERE RatecodeID = 99)", "PUlocationID": "COUNT(*) FILTER (WHERE PUlocationID = 26)"}
+    events = [(0, "declared", c, None, contract.get(c, "double")) for c in RAW_COLS] + [
+        (1, "added", "cbd_congestion_fee", None, "int"), (1, "widened", "PUlocationID", "int", "bigint"),
+        (1, "cast", "passenger_count", "double", "bigint"), (2, "absent", "airport_fee", None, "double"),
+        (2, "added", "tag", None, "string"), (2, "widened", "cbd_congestion_fee", "int", "bigint"),
+        (2, "cast", "PUlocationID", "int", "bigint")]
+    holds = {"airport_fee": "coalesce(DOlocationID % 3, 0) <> 2 AND airport_fee IS NOT NULL", "tag": "DOlocationID % 3 = 2",
+             "cbd_congestion_fee": "DOlocationID % 3 IN (1, 2)"}
+    q["schema_history"] = raw + " UNION ALL ".join(
+        f"SELECT {v} AS version, '{e}' AS event, '{c}' AS column_name, CAST({repr(a) if a else 'NULL'} AS VARCHAR) AS from_type, "
+        f"'{b}' AS to_type, COUNT(*) FILTER (WHERE {holds.get(c, c + ' IS NOT NULL')}) AS values_now FROM trips_raw"
+        for v, e, c, a, b in events)
     q["schema_check"] = raw + " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, '{(t := contract.get(c, 'double'))}' AS expected_type, "
         f"CAST({found.get(c, repr(t))} AS VARCHAR) AS actual_type, "

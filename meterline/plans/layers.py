@@ -35,9 +35,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from meterline.operators.gold import bucket_metrics, passenger_metrics, trip_metrics
 from meterline.plans.silver import clean_trips
+from meterline.schema import LINEAGE_COLUMNS, RAW_COLUMNS
 from meterline.sources.sinks import register_table
 from meterline.sources.zones import SizedDimension
-from meterline.streaming.ingest import BATCH, IngestResult, ingest, read_batches
+from meterline.streaming.ingest import BATCH, IngestResult, ingest, last_batch, read_batches
 
 # Partition column of the clean and aggregate layers: pickup month, "yyyy-MM".
 MONTH_KEY = "pickup_ym"
@@ -149,11 +150,10 @@ def run_layers(spark: SparkSession, landing: str, root: str, zones: SizedDimensi
     small aggregation, one row per month).  Input without any valid row gives
     empty layers.  Old versions are left for the folder's owner to remove."""
     result = ingest(spark, landing, f"{root}/raw", f"{root}/_checkpoints/raw")
-    raw = read_batches(spark, result.sink_path)
+    raw = read_batches(spark, result.sink_path).select(*RAW_COLUMNS, *LINEAGE_COLUMNS, BATCH)
     state, depends_on = _read_state(spark, root), _fingerprint(zones, period, tuple(locations))
     full = not incremental or state is None or state.depends_on != depends_on
-    newest = raw.agg(F.max(BATCH).alias("b")).first()["b"]
-    newest = -1 if newest is None else newest
+    newest = last_batch(spark, result.sink_path)
     months = None
     if not full:
         month = month_key(F.col("tpep_pickup_datetime")).alias("m")

@@ -22,6 +22,7 @@ from meterline.sources.fixture import landing_path, raw_zones, staged_raw_trips,
 from meterline.sources.sinks import materialize
 from meterline.sources.zones import sized_zones, zone_dimension
 from meterline.streaming.ingest import ingest, read_ingested
+from meterline.streaming.schema_log import Evolution, read_log
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -89,6 +90,32 @@ def q_schema_contract(spark, sf):
     return read_ingested(spark, result.sink_path).select(*RAW_COLUMNS, F.col("_rescued_data").alias("rescued_data"))
 
 
+@query("schema_history")
+def q_schema_history(spark, sf):
+    """The schema log after three drops of trip files, with unknown columns
+    added and wider types taken over: as declared; a new fee, long zone ids and
+    passengers as double; the fee as long, a new tag and no airport fee.  With
+    each event, the values that its column holds in the raw layer now."""
+    base, raw = scratch_path(spark, "history"), _raw(spark, sf)
+    kind = F.pmod("DOlocationID", F.lit(3))
+    drops = (
+        raw.filter((kind == 0) | kind.isNull()),
+        raw.filter(kind == 1).withColumns({
+            "cbd_congestion_fee": F.lit(1), "PUlocationID": F.col("PUlocationID").cast("bigint"),
+            "passenger_count": F.col("passenger_count").cast("double")}),
+        raw.filter(kind == 2).drop("airport_fee").withColumns({"cbd_congestion_fee": F.lit(2 ** 40), "tag": F.lit("t")}),
+    )
+    for k, rows in enumerate(drops):
+        rows.write.parquet(f"{base}/source/{k}")
+        result = ingest(spark, f"{base}/source", f"{base}/raw", f"{base}/_checkpoint", evolution=Evolution("add", "widen"))
+    landed = read_ingested(spark, result.sink_path)
+    names = [c for c in landed.columns if not c.startswith("_")]
+    values = landed.agg(*(F.count(c).alias(c) for c in names)).select(
+        F.inline(F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(c).alias("values_now")) for c in names))))
+    return (read_log(spark, result.sink_path).join(values, "column_name")
+            .select("version", "event", "column_name", "from_type", "to_type", "values_now"))
+
+
 @query("schema_check")
 def q_schema_check(spark, sf):
     """Contract vs the types found in trip files, with values failing the

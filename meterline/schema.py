@@ -96,6 +96,12 @@ _FLOAT_TO_INTEGER = {
 }
 
 
+def accepted_cast(have: T.DataType, want: T.DataType) -> bool:
+    """Whether ``conform`` takes a column of type ``have`` for one of ``want``."""
+    pair = (type(have), type(want))
+    return have == want or pair in _CASTS or pair in _FLOAT_TO_INTEGER or isinstance(have, T.DecimalType) and isinstance(want, T.NumericType)
+
+
 class SchemaContractError(ValueError):
     """A column's type cannot be brought to the contract."""
 

@@ -11,10 +11,11 @@ is run again replaces itself, and the batch id tells later jobs what is new
 without any clock.
 
 Files may differ in schema.  The files of a batch are grouped by what their
-footers say (a parallel footer pass), each group is read with its own types and
-brought to the declared schema by ``conform``: absent columns become null,
+footers say (one job over the file names), each group is read with its own types
+and brought to the layer's schema by ``conform``: absent columns become null,
 compatible types are cast, anything else stops the stream.  Columns the schema
-does not know are kept as JSON in ``_rescued_data``.
+does not know are kept as JSON in ``_rescued_data``, or become columns, as the
+evolution policy says; the schema log keeps the history.
 """
 
 from __future__ import annotations
@@ -22,9 +23,10 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
-from meterline.schema import LINEAGE_COLUMNS, RAW_SCHEMA, conform
+from meterline.schema import LINEAGE_COLUMNS, RAW_SCHEMA, accepted_cast, conform
+from meterline.streaming.schema_log import Evolution, append, evolve, footers, read_log, schema_at
 
 # Values of columns that the declared schema lacks, as JSON; null without any.
 RESCUED = "_rescued_data"
@@ -64,8 +66,7 @@ def _literal(path: str) -> str:
 
 def _alike(spark: SparkSession, paths: list[str]) -> list[tuple[T.StructType, list[str]]]:
     """``paths`` in groups whose files agree on the type of every column they
-    share, with the merged schema: by halves, as neighbours (sorted paths)
-    mostly agree."""
+    share, with the merged schema, by halves: for stores that only Spark reads."""
     try:
         return [(spark.read.option("mergeSchema", "true").parquet(*map(_literal, paths)).schema, paths)]
     except Exception as e:
@@ -75,19 +76,30 @@ def _alike(spark: SparkSession, paths: list[str]) -> list[tuple[T.StructType, li
     return _alike(spark, paths[:half]) + _alike(spark, paths[half:])
 
 
-def read_files(spark: SparkSession, paths: list[str], schema: T.StructType = RAW_SCHEMA) -> DataFrame:
-    """The rows of Parquet files of any schemas that ``conform`` accepts:
-    ``schema``'s columns, ``_rescued_data`` and lineage."""
+def file_groups(files: DataFrame) -> list[tuple[T.StructType, list[str]]]:
+    """The files in ``path`` by Spark schema: one job reads the footers and
+    groups them, then the schema of one file of each kind is read.  The number
+    of jobs depends on the kinds of files, not on their number."""
+    spark = files.sparkSession
     groups: dict[str, tuple[T.StructType, list[str]]] = {}
-    for found, own in _alike(spark, sorted(paths)):
-        groups.setdefault(found.json(), (found, []))[1].extend(own)
-    known = {n.lower() for n in schema.names}
+    for row in sorted(footers(files).collect(), key=lambda r: r["paths"]):  # one batch's, see max_files_per_trigger
+        found = (_alike(spark, row["paths"]) if row["signature"] is None
+                 else [(spark.read.parquet(_literal(row["paths"][0])).schema, row["paths"])])
+        for schema, own in found:
+            groups.setdefault(schema.json(), (schema, []))[1].extend(own)
+    return list(groups.values())
+
+
+def read_groups(spark: SparkSession, groups: list[tuple[T.StructType, list[str]]], schema: T.StructType) -> DataFrame:
+    """The rows of groups of files: ``schema``'s columns, ``_rescued_data`` (what
+    the schema lacks or cannot take, as JSON) and lineage."""
+    want = {f.name.lower(): f.dataType for f in schema.fields}
     out = None
-    for found, own in groups.values():
+    for found, own in groups:
         rows = spark.read.schema(found).parquet(*map(_literal, own))
-        extra = [c for c in rows.columns if c.lower() not in known]
+        extra = [f.name for f in found.fields if f.name.lower() not in want or not accepted_cast(f.dataType, want[f.name.lower()])]
         rescued = F.nullif(F.to_json(F.struct(*extra)), F.lit("{}")) if extra else F.lit(None).cast("string")
-        rows = with_lineage(rows.withColumn(RESCUED, rescued))
+        rows = with_lineage(rows.withColumn(RESCUED, rescued)).drop(*extra)
         rows = conform(rows, schema).select(*schema.names, RESCUED, *LINEAGE_COLUMNS)
         out = rows if out is None else out.unionAll(rows)
     return out
@@ -103,31 +115,47 @@ BATCH = "ingest_batch"
 
 def ingest(spark: SparkSession, source: str, sink: str, checkpoint: str, *,
            schema: T.StructType = RAW_SCHEMA,
-           max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER) -> IngestResult:
+           max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER,
+           evolution: Evolution = Evolution()) -> IngestResult:
     """Take every file not yet ingested (``availableNow``: all that is there
     now, in bounded batches, then stop) and add it to ``sink``.  Rows are
-    counted in what was written, not taken from the stream's progress log,
-    which keeps only the latest batches."""
+    counted as they are written, not taken from the stream's progress log,
+    which keeps only the latest batches.  ``evolution`` says what happens to
+    unknown columns and wider types; see ``schema_log``."""
     stream = read_file_stream(spark, source, max_files_per_trigger)
-    written: list[str] = []
+    written: list[int] = []
 
     def write(files: DataFrame, batch: int) -> None:
-        paths = [r["path"] for r in files.collect()]  # one batch's, see max_files_per_trigger
-        path = f"{sink}/{BATCH}={batch}"
-        read_files(spark, paths, schema).write.mode("overwrite").parquet(path)
-        written.append(path)
+        groups = file_groups(files)
+        if not groups:
+            return
+        now, events = evolve(read_log(spark, sink), batch, schema, groups, evolution)
+        append(spark, sink, batch, events)
+        counted = Observation()
+        rows = read_groups(spark, groups, now).observe(counted, F.count(F.lit(1)).alias("rows"))
+        rows.write.mode("overwrite").parquet(f"{sink}/{BATCH}={batch}")
+        written.append(counted.get["rows"])
 
     run = (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
            .trigger(availableNow=True).start())
     run.awaitTermination()
     if run.exception() is not None:
         raise run.exception()
-    rows = spark.read.schema(schema).parquet(*written).count() if written else 0
-    return IngestResult(sink, checkpoint, len(written), rows)
+    return IngestResult(sink, checkpoint, len(written), sum(written))
 
 
-def read_batches(spark: SparkSession, sink: str, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
-    """Batch read of the raw layer with the id of the batch each row came in."""
+def last_batch(spark: SparkSession, sink: str) -> int:
+    """Id of the newest batch in the raw layer, from folder names; -1 without any."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(sink)
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(spark._jvm.org.apache.hadoop.fs.Path(folder, f"{BATCH}=*"))
+    return max((int(f.getPath().getName().partition("=")[2]) for f in found or []), default=-1)
+
+
+def read_batches(spark: SparkSession, sink: str, schema: T.StructType | None = None) -> DataFrame:
+    """Batch read of the raw layer with the id of the batch each row came in:
+    the columns the schema log gives it now (null in batches before a column
+    came, widened where its type was narrower), or those of ``schema``."""
+    schema = schema or schema_at(spark, sink) or RAW_SCHEMA
     lineage = T.StructType(schema.fields + [T.StructField(RESCUED, T.StringType()),
                                             T.StructField("_ingestion_time", T.TimestampType()),
                                             T.StructField("_source_file", T.StringType()),
@@ -135,6 +163,6 @@ def read_batches(spark: SparkSession, sink: str, schema: T.StructType = RAW_SCHE
     return spark.read.schema(lineage).parquet(sink)
 
 
-def read_ingested(spark: SparkSession, sink: str, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
+def read_ingested(spark: SparkSession, sink: str, schema: T.StructType | None = None) -> DataFrame:
     """Batch read of the raw layer."""
     return read_batches(spark, sink, schema).drop(BATCH)
