@@ -390,6 +390,9 @@ def oracle_queries() -> dict[str, str]:
     q["gold_bucket_month"] = clean + gold_bucket_sql("month", ["PUlocationID"])
     q["gold_passengers"] = clean + gold_passengers_sql("day", ["PUlocationID"])
     q["layers_gold_bucket"] = q["gold_bucket"]
+    for table in ("gold_trips", "gold_bucket", "gold_passengers"):
+        q[f"delta_{table}"] = q[table]
+    q["delta_clean"] = q["clean_trips"]
     q["layers_gold_passengers"] = q["gold_passengers"]
     q["gold_passengers_week"] = clean + gold_passengers_sql("week", ["DOlocationID"])
     q["gold_passengers_month"] = clean + gold_passengers_sql("month", [])

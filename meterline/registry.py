@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from meterline import operators as O
 from meterline.operators import gold as G
+from meterline.plans.deltas import maintain, read_clean, read_gold
 from meterline.plans.layers import read_layer, run_layers
 from meterline.plans.quality import quality_report
 from meterline.plans.silver import clean_core, clean_trips, typed_trips
-from meterline.schema import MONEY_COLUMNS, RAW_COLUMNS, RAW_SCHEMA, schema_check
+from meterline.schema import LINEAGE_COLUMNS, MONEY_COLUMNS, RAW_COLUMNS, RAW_SCHEMA, schema_check
 from meterline.session import configure, scratch_path
 from meterline.sources.fixture import landing_path, raw_zones, staged_raw_trips, table
 from meterline.sources.sinks import materialize
@@ -204,6 +205,47 @@ def q_layers_gold_passengers(spark, sf):
     return read_layer(spark, run, "gold_passengers")
 
 
+def _drops(spark, sf):
+    """The raw layer in three drops of files, rows dealt out by position, so
+    copies of a trip come in different drops."""
+    raw = _raw(spark, sf).withColumn("_drop", F.monotonically_increasing_id() % 3)
+    return [raw.filter(F.col("_drop") == k).drop("_drop") for k in (2, 0, 1)]
+
+
+def _maintained(spark, sf, **options):
+    base = scratch_path(spark, "deltas")
+    for drop in _drops(spark, sf):
+        drop.write.mode("append").parquet(f"{base}/landing")
+        snapshot = maintain(spark, f"{base}/landing", f"{base}/layers", _zones(spark, sf), **options)
+    return snapshot
+
+
+@query("delta_gold_trips")
+def q_delta_gold_trips(spark, sf):
+    """Trip metrics kept by signed deltas over three drops of files."""
+    return read_gold(spark, _maintained(spark, sf), "gold_trips")
+
+
+@query("delta_gold_bucket")
+def q_delta_gold_bucket(spark, sf):
+    """Distance-band metrics kept by signed deltas."""
+    return read_gold(spark, _maintained(spark, sf), "gold_bucket")
+
+
+@query("delta_gold_passengers")
+def q_delta_gold_passengers(spark, sf):
+    """Passenger metrics kept by signed deltas, partials and key index merged
+    into one run on the way."""
+    return read_gold(spark, _maintained(spark, sf, compact_every=2), "gold_passengers")
+
+
+@query("delta_clean")
+def q_delta_clean(spark, sf):
+    """The clean layer as the deltas keep it: appended survivors less those that
+    later drops replaced."""
+    return read_clean(spark, _maintained(spark, sf), _zones(spark, sf)).drop(*LINEAGE_COLUMNS)
+
+
 @query("materialize_roundtrip")
 def q_materialize_roundtrip(spark, sf):
     """Clean layer written as a table with comment and properties, read back."""
