@@ -315,6 +315,19 @@ def oracle_queries() -> dict[str, str]:
         f"SELECT {v} AS version, '{e}' AS event, '{c}' AS column_name, CAST({repr(a) if a else 'NULL'} AS VARCHAR) AS from_type, "
         f"'{b}' AS to_type, COUNT(*) FILTER (WHERE {holds.get(c, c + ' IS NOT NULL')}) AS values_now FROM trips_raw"
         for v, e, c, a, b in events)
+    valid = with_(RAW, FILLED, TYPED, VALID)
+    keys = "tpep_pickup_datetime, tpep_dropoff_datetime, passenger_count, trip_distance"
+    again = "FROM valid WHERE tpep_pickup_datetime < TIMESTAMP '2023-07-01' AND DOlocationID % 7"
+    q["watermark_clean"] = (valid + f", k AS (SELECT DISTINCT {keys} FROM valid), n(outcome, trips) AS ("
+                            "SELECT 'kept', (SELECT COUNT(*) FROM k) UNION ALL "
+                            f"SELECT 'duplicate', (SELECT COUNT(*) FROM valid) - (SELECT COUNT(*) FROM k) + (SELECT COUNT(*) {again} = 1) "
+                            f"UNION ALL SELECT 'late', (SELECT COUNT(*) {again} = 0)) SELECT * FROM n WHERE trips > 0")
+    quarters = "CROSS JOIN (VALUES (0.25::DOUBLE), (0.75::DOUBLE)) AS p(probability)"
+    q["quartiles_sketch"] = (clean + "SELECT column_name, n, probability, true AS within_bound FROM (" + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, COUNT({c}) AS n FROM clean" for c in ("trip_distance", "total_amount", "tip_amount", "fare_amount"))
+        + f") {quarters}")
+    q["iqr_sketch_ranks"] = ("SELECT column_name, probability, true AS within_bound FROM (VALUES ('trip_distance'), ('total_amount')) "
+                             f"AS c(column_name) {quarters}")
     q["schema_check"] = raw + " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, '{(t := contract.get(c, 'double'))}' AS expected_type, "
         f"CAST({found.get(c, repr(t))} AS VARCHAR) AS actual_type, "

@@ -28,7 +28,6 @@ import json
 import uuid
 from dataclasses import dataclass, replace
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from meterline.operators import key_index
@@ -38,7 +37,7 @@ from meterline.operators.zones import map_location_to_zone
 from meterline.plans.layers import MONTH_KEY, _fingerprint, month_key
 from meterline.plans.silver import _clean_projection, valid_trips
 from meterline.schema import LINEAGE_COLUMNS, RAW_COLUMNS
-from meterline.session import scratch_path
+from meterline.session import path_exists, scratch_path
 from meterline.sources.zones import SizedDimension
 from meterline.streaming.ingest import BATCH, ingest, last_batch, read_batches
 
@@ -72,10 +71,9 @@ class Snapshot:
 
 def open_snapshot(spark: SparkSession, root: str) -> Snapshot | None:
     """The newest published run; None before the first."""
-    try:
-        row = spark.read.schema(STATE_SCHEMA).parquet(f"{root}/deltas/_state").orderBy(F.col("run").desc()).first()
-    except AnalysisException:
+    if not path_exists(spark, f"{root}/deltas/_state"):
         return None
+    row = spark.read.schema(STATE_SCHEMA).parquet(f"{root}/deltas/_state").orderBy(F.col("run").desc()).first()
     return None if row is None else Snapshot(root, **row.asDict())
 
 

@@ -34,6 +34,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from meterline.operators.gold import bucket_metrics, passenger_metrics, trip_metrics
+from meterline.operators.sketches import sketched
 from meterline.plans.silver import clean_trips
 from meterline.schema import LINEAGE_COLUMNS, RAW_COLUMNS
 from meterline.sources.sinks import register_table
@@ -50,6 +51,7 @@ LAYER_TABLES = {
     "gold_trips": ("Trip metrics by pickup zone and weekday.", {"quality": "gold"}),
     "gold_bucket": ("Distance-band trip metrics by pickup zone and weekday.", {"quality": "gold"}),
     "gold_passengers": ("Passenger-count trip metrics by pickup zone and weekday.", {"quality": "gold"}),
+    "sketches": ("Quantile sketches of clean trips by month.", {"quality": "gold"}),
 }
 
 GOLD_BUILDERS = {
@@ -140,7 +142,7 @@ def _paths(root: str, version: str) -> dict:
 
 def run_layers(spark: SparkSession, landing: str, root: str, zones: SizedDimension, *,
                period: str = "day", locations=("PUlocationID",), table_prefix: str | None = None,
-               incremental: bool = True) -> LayerRun:
+               incremental: bool = True, sketch_columns: tuple = ()) -> LayerRun:
     """Ingest new files from ``landing`` and bring the clean and aggregate
     layers under ``root`` up to date.
 
@@ -148,10 +150,11 @@ def run_layers(spark: SparkSession, landing: str, root: str, zones: SizedDimensi
     location list build everything, in a new version folder.  Other runs
     rebuild the pickup months of the ingest batches not yet reflected (one
     small aggregation, one row per month).  Input without any valid row gives
-    empty layers.  Old versions are left for the folder's owner to remove."""
+    empty layers.  With ``sketch_columns`` a quantile sketch of each by month is
+    a layer, too.  Old versions are left for the folder's owner to remove."""
     result = ingest(spark, landing, f"{root}/raw", f"{root}/_checkpoints/raw")
     raw = read_batches(spark, result.sink_path).select(*RAW_COLUMNS, *LINEAGE_COLUMNS, BATCH)
-    state, depends_on = _read_state(spark, root), _fingerprint(zones, period, tuple(locations))
+    state, depends_on = _read_state(spark, root), _fingerprint(zones, period, (*locations, *sketch_columns))
     full = not incremental or state is None or state.depends_on != depends_on
     newest = last_batch(spark, result.sink_path)
     months = None
@@ -178,6 +181,13 @@ def run_layers(spark: SparkSession, landing: str, root: str, zones: SizedDimensi
         if full or months:
             _write(table, run.paths[layer], replace_all=full)
 
+    if sketch_columns:
+        run.paths["sketches"] = f"{root}/versions/{version}/sketches"
+        table = sketched(written, sketch_columns, MONTH_KEY)
+        run.schemas["sketches"] = table.schema
+        if full or months:
+            _write(table, run.paths["sketches"], replace_all=full)
+
     if full or newest > state.last_batch:
         _append_state(spark, root, _State(0 if state is None else state.run + 1, version, newest, depends_on))
     if table_prefix:
@@ -188,7 +198,9 @@ def run_layers(spark: SparkSession, landing: str, root: str, zones: SizedDimensi
 
 
 def read_layer(spark: SparkSession, run: LayerRun, layer: str) -> DataFrame:
-    """A layer as written, without the partition column."""
+    """A layer as written, without the partition column (sketches keep their month)."""
+    if layer == "sketches":
+        return spark.read.schema(run.schemas[layer]).parquet(run.paths[layer])
     if layer == "raw":
         return read_batches(spark, run.paths[layer]).drop(BATCH)
     # The partition column is the last one of the files' own schema.

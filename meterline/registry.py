@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from meterline import operators as O
 from meterline.operators import gold as G
+from meterline.operators.sketches import merged, quantiles, rank_bound, rank_errors, sequential_iqr
 from meterline.plans.deltas import maintain, read_clean, read_gold
-from meterline.plans.layers import read_layer, run_layers
+from meterline.plans.layers import MONTH_KEY, read_layer, run_layers
 from meterline.plans.quality import quality_report
 from meterline.plans.silver import clean_core, clean_trips, typed_trips
 from meterline.schema import LINEAGE_COLUMNS, MONEY_COLUMNS, RAW_COLUMNS, RAW_SCHEMA, schema_check
@@ -24,6 +25,7 @@ from meterline.sources.sinks import materialize
 from meterline.sources.zones import sized_zones, zone_dimension
 from meterline.streaming.ingest import ingest, read_ingested
 from meterline.streaming.schema_log import Evolution, read_log
+from meterline.streaming.watermark import clean_stream, read_outcomes
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -246,6 +248,47 @@ def q_delta_clean(spark, sf):
     return read_clean(spark, _maintained(spark, sf), _zones(spark, sf)).drop(*LINEAGE_COLUMNS)
 
 
+@query("watermark_clean")
+def q_watermark_clean(spark, sf):
+    """Streamed cleaning with duplicates dropped within a watermark: trips come
+    in three drops by time, then some of the first months again, once as they
+    were and once as trips that were never seen.  Rows by outcome."""
+    base, raw = scratch_path(spark, "watermark"), _raw(spark, sf)
+    pickup = F.col("tpep_pickup_datetime")
+    at = lambda day: F.lit(day).cast("timestamp_ntz")
+    early = raw.filter(pickup < at("2023-07-01"))
+    zone = F.col("DOlocationID") % 7
+    drops = (
+        raw.filter(pickup < at("2024-01-01")), raw.filter((pickup >= at("2024-01-01")) & (pickup < at("2025-01-01"))),
+        raw.filter(pickup >= at("2025-01-01")),
+        early.filter(zone == 1).unionAll(early.filter(zone == 0).withColumn("passenger_count", F.coalesce("passenger_count", F.lit(0)) + 10)),
+    )
+    for k, rows in enumerate(drops):
+        rows.write.parquet(f"{base}/source/{k}")
+        result = ingest(spark, f"{base}/source", f"{base}/raw", f"{base}/_ingest")
+        clean_stream(spark, result.sink_path, f"{base}/clean")
+    return read_outcomes(spark, f"{base}/clean").groupBy("outcome").agg(F.count(F.lit(1)).alias("trips"))
+
+
+@query("quartiles_sketch")
+def q_quartiles_sketch(spark, sf):
+    """Quartiles of the clean layer from the sketches of its months alone, each
+    held against the exact ranks of its value."""
+    columns = ("trip_distance", "total_amount", "tip_amount", "fare_amount")
+    run = run_layers(spark, landing_path(spark, sf), scratch_path(spark, "layers"), _zones(spark, sf), sketch_columns=columns)
+    found = quantiles(merged(read_layer(spark, run, "sketches"), MONTH_KEY))
+    checked = rank_errors(read_layer(spark, run, "clean"), found)
+    return checked.select("column_name", "n", "probability", (F.col("rank_error") <= rank_bound()).alias("within_bound"))
+
+
+@query("iqr_sketch_ranks")
+def q_iqr_sketch_ranks(spark, sf):
+    """The quartiles that sequential outlier removal by sketches uses, held
+    against their exact ranks among the rows each was taken from."""
+    _, report = sequential_iqr(_clean(spark, sf))
+    return report.select("column_name", "probability", (F.col("rank_error") <= rank_bound()).alias("within_bound"))
+
+
 @query("materialize_roundtrip")
 def q_materialize_roundtrip(spark, sf):
     """Clean layer written as a table with comment and properties, read back."""

@@ -100,6 +100,19 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder at ``path``, in any store Spark reads."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def newest_partition(spark: SparkSession, path: str, name: str) -> int:
+    """The greatest n of the folders ``<path>/<name>=n``; -1 without any."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path, f"{name}=*")
+    found = where.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(where)
+    return max((int(f.getPath().getName().partition("=")[2]) for f in found or []), default=-1)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, never-reused path under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/meterline-{label}-{uuid.uuid4().hex}"

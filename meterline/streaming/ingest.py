@@ -26,6 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from meterline.schema import LINEAGE_COLUMNS, RAW_SCHEMA, accepted_cast, conform
+from meterline.session import newest_partition
 from meterline.streaming.schema_log import Evolution, append, evolve, footers, read_log, schema_at
 
 # Values of columns that the declared schema lacks, as JSON; null without any.
@@ -146,9 +147,7 @@ def ingest(spark: SparkSession, source: str, sink: str, checkpoint: str, *,
 
 def last_batch(spark: SparkSession, sink: str) -> int:
     """Id of the newest batch in the raw layer, from folder names; -1 without any."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(sink)
-    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(spark._jvm.org.apache.hadoop.fs.Path(folder, f"{BATCH}=*"))
-    return max((int(f.getPath().getName().partition("=")[2]) for f in found or []), default=-1)
+    return newest_partition(spark, sink, BATCH)
 
 
 def read_batches(spark: SparkSession, sink: str, schema: T.StructType | None = None) -> DataFrame:

@@ -22,10 +22,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from meterline.schema import SchemaContractError, accepted_cast
+from meterline.session import path_exists
 
 FOLDER = "_schema_log"
 EVENT_SCHEMA = ("version int, position int, event string, column_name string, from_type string, to_type string, "
@@ -88,12 +88,8 @@ def footers(files: DataFrame) -> DataFrame:
 
 def read_log(spark: SparkSession, sink: str) -> DataFrame | None:
     """All events of the raw layer at ``sink``; None before its first batch."""
-    try:
-        return spark.read.schema(EVENT_SCHEMA).parquet(f"{sink}/{FOLDER}")
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    path = f"{sink}/{FOLDER}"
+    return spark.read.schema(EVENT_SCHEMA).parquet(path) if path_exists(spark, path) else None
 
 
 def _fold(events: list) -> T.StructType:
