@@ -296,6 +296,7 @@ def oracle_queries() -> dict[str, str]:
     # sources and sinks
     q["scan_trips"] = raw + "SELECT * FROM trips_raw"
     q["zone_dim"] = with_(ZONES) + "SELECT * FROM zones"
+    q["zone_dim_dbf"] = q["zone_dim"]
     q["schema_contract"] = (raw + "SELECT * REPLACE (CASE WHEN DOlocationID % 3 = 2 THEN NULL ELSE airport_fee END "
                             "AS airport_fee), CASE WHEN DOlocationID % 3 = 2 THEN '{\"cbd_congestion_fee\":0.75}' END AS rescued_data "
                             "FROM trips_raw")

