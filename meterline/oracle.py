@@ -444,4 +444,5 @@ def oracle_queries() -> dict[str, str]:
     q["quality_report"] = clean + " UNION ALL ".join(
         _profile_sql("raw", "trips_raw", RAW_COLS, UNKNOWN_RAW)
         + _profile_sql("clean", "clean", CLEAN_COLS, "(PUlocationID IS NULL OR DOlocationID IS NULL)"))
+    q["ingest_quality"] = f"SELECT check_type, item, value FROM ({q['quality_report']}) WHERE layer = 'raw' AND check_type <> 'zones'"
     return q

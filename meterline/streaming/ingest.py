@@ -23,7 +23,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from meterline.schema import LINEAGE_COLUMNS, RAW_SCHEMA, accepted_cast, conform
 from meterline.session import newest_partition
@@ -113,16 +113,22 @@ DEFAULT_MAX_FILES_PER_TRIGGER = 1000
 
 BATCH = "ingest_batch"
 
+# Beside the batches, hidden from readers of the layer.
+METRICS = "_metrics"
+METRIC_SCHEMA = "check_type string, item string, value long"
+
 
 def ingest(spark: SparkSession, source: str, sink: str, checkpoint: str, *,
            schema: T.StructType = RAW_SCHEMA,
            max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER,
-           evolution: Evolution = Evolution()) -> IngestResult:
+           evolution: Evolution = Evolution(), metrics: dict[str, Column] | None = None) -> IngestResult:
     """Take every file not yet ingested (``availableNow``: all that is there
     now, in bounded batches, then stop) and add it to ``sink``.  Rows are
     counted as they are written, not taken from the stream's progress log,
     which keeps only the latest batches.  ``evolution`` says what happens to
-    unknown columns and wider types; see ``schema_log``."""
+    unknown columns and wider types; see ``schema_log``.  ``metrics`` (aggregates
+    by name ``<check type>__<item>``) are taken while a batch is written, and
+    stored beside it: see ``batch_metrics``."""
     stream = read_file_stream(spark, source, max_files_per_trigger)
     written: list[int] = []
 
@@ -133,9 +139,15 @@ def ingest(spark: SparkSession, source: str, sink: str, checkpoint: str, *,
         now, events = evolve(read_log(spark, sink), batch, schema, groups, evolution)
         append(spark, sink, batch, events)
         counted = Observation()
-        rows = read_groups(spark, groups, now).observe(counted, F.count(F.lit(1)).alias("rows"))
+        rows = read_groups(spark, groups, now).observe(
+            counted, F.count(F.lit(1)).alias("rows"), *(m.cast("bigint").alias(name) for name, m in (metrics or {}).items()))
         rows.write.mode("overwrite").parquet(f"{sink}/{BATCH}={batch}")
-        written.append(counted.get["rows"])
+        found = dict(counted.get)
+        written.append(found.pop("rows"))
+        if found:
+            named = [(*name.split("__", 1), value) for name, value in found.items()]
+            (spark.createDataFrame(named, METRIC_SCHEMA).coalesce(1).write.mode("overwrite")
+             .parquet(f"{sink}/{METRICS}/batch={batch}"))
 
     run = (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
            .trigger(availableNow=True).start())
@@ -145,6 +157,12 @@ def ingest(spark: SparkSession, source: str, sink: str, checkpoint: str, *,
     return IngestResult(sink, checkpoint, len(written), sum(written))
 
 
+def batch_metrics(spark: SparkSession, sink: str) -> DataFrame:
+    """(check_type, item, value, batch): what was measured while the batches of
+    the raw layer were written.  Nothing of the layer itself is read."""
+    return spark.read.schema(f"{METRIC_SCHEMA}, batch long").parquet(f"{sink}/{METRICS}")
+
+
 def last_batch(spark: SparkSession, sink: str) -> int:
     """Id of the newest batch in the raw layer, from folder names; -1 without any."""
     return newest_partition(spark, sink, BATCH)

@@ -109,3 +109,28 @@ def test_materialize_partitioned(spark, tmp_dir):
     back = materialize(df, f"{tmp_dir}/part", name="ml_test_part", partition_by=("pickup_year",))
     assert back.count() == 5
     assert back.filter("pickup_year = 2024").count() == 5
+
+
+def test_metrics_are_taken_while_batches_are_written(spark, tmp_dir):
+    """Equal to the report over the rows, for any number of batches."""
+    import pytest
+
+    from meterline.plans.quality import merged_metrics, profile_aggregates, quality_report
+    from meterline.plans.silver import clean_trips
+    from meterline.sources.zones import sized_zones
+    from meterline.streaming.ingest import batch_metrics
+    from tests.helpers import zones_frame
+    source, sink, ckpt = f"{tmp_dir}/landing", f"{tmp_dir}/raw", f"{tmp_dir}/_ckpt"
+    rows = _rows(20) + [trip(total_amount=0.0, VendorID=None), trip(trip_distance=-1.0, tip_amount=None), trip(tpep_pickup_datetime=None)]
+    metrics = profile_aggregates(RAW_COLUMNS)
+    raw_frame(spark, rows).repartition(3).write.parquet(source)
+    assert ingest(spark, source, sink, ckpt, max_files_per_trigger=1, metrics=metrics).rows == len(rows)
+    zones = sized_zones(zones_frame(spark, [(1, "Alpha"), (2, "Beta")]))
+    raw = raw_frame(spark, rows)
+    want = {(r["check_type"], r["item"]): r["value"] for r in quality_report(raw, clean_trips(raw, zones), zones).collect()
+            if r["layer"] == "raw" and r["check_type"] != "zones"}
+    stored = batch_metrics(spark, sink)
+    assert stored.select("batch").distinct().count() >= 2
+    assert {(r["check_type"], r["item"]): r["value"] for r in merged_metrics(stored).collect()} == want
+    with pytest.raises(Exception):
+        batch_metrics(spark, f"{tmp_dir}/none").count()
