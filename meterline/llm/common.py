@@ -28,13 +28,24 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def text_bytes(df: DataFrame, *keep: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def text_bytes(df: DataFrame, *keep: str, id_col: str = "doc_id", text_col: str = "text", without_id: bool = False) -> DataFrame:
     """(id as long, text as UTF-8 bytes, ``keep``): what a Python stage reads.
-    Rows without an id take no part; other columns never leave the scan."""
-    return df.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"),
+    Rows without an id take part only if asked; other columns never leave the scan."""
+    return (df if without_id else df.filter(F.col(id_col).isNotNull())).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"),
                      *(F.col(c) for c in keep))
 
 
+def with_twin(documents: DataFrame, label: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``documents`` with ``_twin``, which tells apart the texts of one id: a hash
+    of the text where the id is null or different texts share it, else 0."""
+    h = F.xxhash64(text_col)
+    shared = (documents.filter(F.col(id_col).isNotNull()).select(F.col(id_col), h.alias("_h")).groupBy(id_col)
+              .agg(F.min("_h").alias("_low"), F.max("_h").alias("_high")).filter("_low <> _high").select(id_col))
+    shared = staged(shared, label).withColumn("_shared", F.lit(True))
+    return (documents.join(shared, id_col, "left")
+            .withColumn("_twin", F.when(F.col(id_col).isNull() | F.col("_shared"), h).otherwise(F.lit(0).cast("long"))).drop("_shared"))
+
+
 def map_rows(df: DataFrame, per_batch: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """``mapInArrow`` over at most ``SLICE_ROWS`` rows at a time, so the Python
     memory of a task does not depend on the session's batch size."""

@@ -32,7 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from meterline.llm.common import map_rows, staged, text_bytes
+from meterline.llm.common import map_rows, staged, with_twin
 
 ROUNDS = 6
 CHUNK = 150_000  # bytes handled at once (a longer text is a chunk of its own)
@@ -174,26 +174,37 @@ def split(text: bytes | None) -> list[bytes]:
     return (text or b"").split()
 
 
+# Texts without an id sort last.
+LAST_ID = (1 << 63) - 1
+
+
+def whole_texts(documents: DataFrame) -> DataFrame:
+    """(doc_id, text, twin, id): ``id`` is the id itself; ``doc_id`` (null last) and ``twin`` name a text."""
+    return with_twin(documents.select(F.col("doc_id").cast("long").alias("id"), "text"), "substring-twins", id_col="id").select(
+        F.coalesce("id", F.lit(LAST_ID)).alias("doc_id"), F.col("text").cast("binary").alias("text"), F.col("_twin").alias("twin"), "id")
+
+
 def block_rows(texts: DataFrame, window: int, only_keys: bool) -> DataFrame:
     def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        ids, out = batch.column(0).to_numpy(zero_copy_only=False), []
+        ids, twins, out = batch.column(0).to_numpy(zero_copy_only=False), batch.column(2).to_numpy(zero_copy_only=False), []
         for start, part in chunks([t.as_py() or b"" for t in batch.column(1)]):
             if found := blocks(part, window):
-                found["doc_id"] = ids[start + found.pop("doc")]
+                doc = start + found.pop("doc")
+                found |= {"doc_id": ids[doc], "twin": twins[doc]}
                 out.append(found)
-        cols = ["key"] if only_keys else ["key", "block", "doc_id", "start", "n"]
+        cols = ["key"] if only_keys else ["key", "block", "doc_id", "twin", "start", "n"]
         return pa.record_batch({c: pa.array(np.concatenate([x[c] for x in out]).astype(np.int32 if c in ("start", "n") else np.int64))
                                 for c in cols}) if out else None
-    schema = "key long" if only_keys else "key long, block long, doc_id long, start int, n int"
-    return map_rows(texts, run, schema)
+    schema = "key long" if only_keys else "key long, block long, doc_id long, twin long, start int, n int"
+    return map_rows(texts.select("doc_id", "text", "twin"), run, schema)
 
 
 def window_rows(texts: DataFrame, window: int) -> DataFrame:
-    """(d0, d1, doc_id, start): digests of the windows in each text's ``spans``."""
+    """(d0, d1, doc_id, twin, start): digests of the windows in each text's ``spans``."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        ids, out = batch.column(0).to_pylist(), []
+        ids, twins, out = batch.column(0).to_pylist(), batch.column(2).to_pylist(), []
         texts = [t.as_py() or b"" for t in batch.column(1)]
-        spans = batch.column(2).to_pylist()
+        spans = batch.column(3).to_pylist()
         for first, part in chunks(texts):
             names, at = named(part)
             both = [Digest(names, k) for k in (0, 1)]
@@ -201,34 +212,34 @@ def window_rows(texts: DataFrame, window: int) -> DataFrame:
                 w = np.concatenate([np.arange(s["start"], s["start"] + s["n"]) for s in spans[first + j]])
                 w = w[w + window <= at[j + 1] - at[j]] + at[j]
                 out.append([d.of(w, w + window).view(np.int64) for d in both]
-                           + [np.full(len(w), ids[first + j]), (w - at[j]).astype(np.int32)])
+                           + [np.full(len(w), ids[first + j]), np.full(len(w), twins[first + j]), (w - at[j]).astype(np.int32)])
         cols = [np.concatenate(c) for c in zip(*out)]
-        return pa.record_batch([pa.array(c) for c in cols], names=["d0", "d1", "doc_id", "start"]) if out else None
-    return map_rows(texts, run, "d0 long, d1 long, doc_id long, start int")
+        return pa.record_batch([pa.array(c) for c in cols], names=["d0", "d1", "doc_id", "twin", "start"]) if out else None
+    return map_rows(texts.select("doc_id", "text", "twin", "spans"), run, "d0 long, d1 long, doc_id long, twin long, start int")
 
 
-def repeated_windows(documents: DataFrame, window: int = 20) -> DataFrame:
-    """(doc_id, start, n): n consecutive windows from word ``start`` on that
-    each also start earlier (smaller doc_id, or same document, earlier start)."""
-    texts = text_bytes(documents)
+def repeated_windows(texts: DataFrame, window: int = 20) -> DataFrame:
+    """(doc_id, twin, start, n): n consecutive windows from word ``start`` on that
+    each also start earlier (an earlier document, or the same one further on);
+    ``texts`` are ``whole_texts``."""
     shared = (block_rows(texts, window, True).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
               .filter("n > 1").select("key"))
     shared = staged(shared, "substring-shared")
     seen = staged(block_rows(texts, window, False).join(shared, "key", "left_semi"), "substring-anchors")
-    here = F.struct("doc_id", "start", "n")
+    here = F.struct("doc_id", "twin", "start", "n")
     first = staged(seen.groupBy("key", "block").agg(F.min(here).alias("first")), "substring-blocks")
-    later = (seen.join(first, ["key", "block"]).filter(F.struct("doc_id", "start") > F.struct("first.doc_id", "first.start"))
-             .select("doc_id", "start", "n"))
+    later = (seen.join(first, ["key", "block"]).filter(F.struct("doc_id", "twin", "start") > F.struct("first.doc_id", "first.twin", "first.start"))
+             .select("doc_id", "twin", "start", "n"))
 
     several = staged(first.groupBy("key").agg(F.count(F.lit(1)).alias("blocks")).filter("blocks > 1").select("key"), "substring-several")
-    spans = (first.join(several, "key", "left_semi").select("first.doc_id", F.struct("first.start", "first.n").alias("span"))
-             .groupBy("doc_id").agg(F.collect_set("span").alias("spans")))
-    found = staged(window_rows(texts.join(spans, "doc_id").select("doc_id", "text", "spans"), window)
+    spans = (first.join(several, "key", "left_semi").select("first.doc_id", "first.twin", F.struct("first.start", "first.n").alias("span"))
+             .groupBy("doc_id", "twin").agg(F.collect_set("span").alias("spans")))
+    found = staged(window_rows(texts.join(spans, ["doc_id", "twin"]), window)
                    .distinct(), "substring-windows")
-    least = staged(found.groupBy("d0", "d1").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count(F.lit(1)).alias("n"))
+    least = staged(found.groupBy("d0", "d1").agg(F.min(F.struct("doc_id", "twin", "start")).alias("first"), F.count(F.lit(1)).alias("n"))
                    .filter("n > 1").drop("n"), "substring-first")
-    single = (found.join(least, ["d0", "d1"]).filter(F.struct("doc_id", "start") > F.col("first"))
-              .select("doc_id", "start", F.lit(1).alias("n")))
+    single = (found.join(least, ["d0", "d1"]).filter(F.struct("doc_id", "twin", "start") > F.col("first"))
+              .select("doc_id", "twin", "start", F.lit(1).alias("n")))
     return later.unionByName(single)
 
 
@@ -238,13 +249,15 @@ def remove_repeats(documents: DataFrame, *, window: int = 20) -> DataFrame:
     one space.
 
     Windows are judged on the input.  Null and empty texts have no words, and
-    texts shorter than a window lose none.  Rows of one doc_id are one
-    document, so repeated rows are no repeats of each other and give equal
-    rows.  Other columns are never read; an empty table gives no rows.
+    texts shorter than a window lose none.  Different texts of one id are
+    documents of their own, and so are texts without an id, which come last.
+    Equal rows are one document, so they are no repeats of each other and give
+    equal rows.  Other columns are never read; an empty table gives no rows.
     """
     if window < 8:
         raise ValueError("a window has 8 words at least")
-    spans = (repeated_windows(documents, window).groupBy("doc_id")
+    texts = whole_texts(documents)
+    spans = (repeated_windows(texts, window).groupBy("doc_id", "twin")
              .agg(F.collect_list(F.struct("start", "n")).alias("spans")))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -266,5 +279,5 @@ def remove_repeats(documents: DataFrame, *, window: int = 20) -> DataFrame:
         return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
                                names=["doc_id", "n_words", "n_removed", "kept_text"])
 
-    texts = text_bytes(documents).join(spans, "doc_id", "left").select("doc_id", "text", "spans")
+    texts = texts.join(spans, ["doc_id", "twin"], "left").select("id", "text", "spans")
     return map_rows(texts, run, "doc_id long, n_words long, n_removed long, kept_text string")
