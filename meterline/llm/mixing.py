@@ -117,7 +117,7 @@ def word_count(text: Column) -> Column:
 
 
 def mix(documents: DataFrame, *, weights: tuple = (5, 2, 1), max_copies: int = 3,
-        block: int = 4096) -> DataFrame:
+        block: int = 4096, keep: tuple = ()) -> DataFrame:
     """(doc_id, size, source_size, target, copies, taken): how often the mix
     takes each document, 0 to ``max_copies`` times.
 
@@ -125,10 +125,10 @@ def mix(documents: DataFrame, *, weights: tuple = (5, 2, 1), max_copies: int = 3
     rate in documents.  Null sources are one source, the last.  Repeated rows
     count and are drawn each on its own.  A source without words has target
     0 and takes nothing.  Rows without an id take no part, other columns are
-    never read, and an empty table gives no rows.
+    never read, and an empty table gives no rows.  Columns in ``keep`` follow.
     """
     rows = documents.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-                            word_count(F.col("text")).alias("size"))
+                            word_count(F.col("text")).alias("size"), *keep)
     # Repeated rows of one id are told apart by their place among equals.
     rows = staged(rows.withColumn("unit", F.row_number().over(
         Window.partitionBy("doc_id").orderBy("source", "size"))), "mix-sizes")
@@ -163,4 +163,4 @@ def mix(documents: DataFrame, *, weights: tuple = (5, 2, 1), max_copies: int = 3
     out = rated.join(extra, ["doc_id", "unit"], "left").withColumn(
         "copies", F.least(whole + F.coalesce("more", F.lit(0)), F.lit(max_copies)))
     return out.select("doc_id", "size", "source_size", "target", "copies",
-                      (F.col("copies") * F.col("size")).cast("long").alias("taken"))
+                      (F.col("copies") * F.col("size")).cast("long").alias("taken"), *keep)
