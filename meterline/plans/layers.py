@@ -13,15 +13,18 @@ table, and each aggregate scan reads only its own columns from Parquet.
 Incremental runs.  The dedup key holds the exact pickup time, so duplicates
 never span two pickup months, and every aggregate table groups by pickup year
 and month.  A run therefore rebuilds only the months that newly ingested
-batches touch and replaces just those partitions (dynamic partition
-overwrite); the result equals a full rebuild.
-
-State.  After all layers are written a run appends one row: the folder
-(version) that holds the layers, the last ingest batch they reflect, and a
-fingerprint of what else they depend on (zone rows, period, locations).  A run
-that dies appends nothing: the next one does its batches again.  A full build
-goes to a new version, so readers keep the old one until the row is written,
-and a changed fingerprint makes a full build.
+batches touch; the result equals a full rebuild.
+
+State.  A run writes its months to folders of its own (``run=N/<month>``) in
+every layer and replaces nothing.  After all layers are written it appends one
+row: the folder (version) that holds the layers, which run holds each month, the
+last ingest batch they reflect, and a fingerprint of what else they depend on
+(zone rows, period, locations).  That row publishes all layers at once: a reader
+who opened the state before sees the old months of every layer, one after sees
+the new ones, and a run that dies in between is not seen at all; the next one
+does its batches again.  A full build goes to a new version, and a changed
+fingerprint makes a full build.  Folders that no state row names any more are
+left for the folder's owner to remove.
 """
 
 from __future__ import annotations
@@ -30,13 +33,13 @@ import json
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from meterline.operators.gold import bucket_metrics, passenger_metrics, trip_metrics
 from meterline.operators.sketches import sketched
 from meterline.plans.silver import clean_trips
 from meterline.schema import LINEAGE_COLUMNS, RAW_COLUMNS
+from meterline.session import partition_values, path_exists
 from meterline.sources.sinks import register_table
 from meterline.sources.zones import SizedDimension
 from meterline.streaming.ingest import BATCH, IngestResult, ingest, last_batch, read_batches
@@ -61,10 +64,15 @@ GOLD_BUILDERS = {
 }
 
 
+# Partition column of the run that wrote a month.
+RUN = "run"
+
+
 @dataclass
 class LayerRun:
-    ingest: IngestResult
+    ingest: IngestResult | None
     months: list | None = None          # months rebuilt (None = all)
+    held_by: dict = field(default_factory=dict)  # month -> run that holds it
     paths: dict = field(default_factory=dict)
     schemas: dict = field(default_factory=dict)
 
@@ -96,14 +104,22 @@ def in_months(ts: Column, months: list) -> Column:
     return cond
 
 
-def _write(df: DataFrame, path: str, replace_all: bool) -> None:
-    """Write the whole layer, or replace only the month partitions that ``df``
-    holds.  The rebalance hint deals rows out by month; AQE merges small months
-    into one task and splits large ones."""
-    writer = df.hint("rebalance", F.col(MONTH_KEY)).write.partitionBy(MONTH_KEY).mode("overwrite")
-    if not replace_all:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
+def _write(df: DataFrame, path: str, run: int) -> None:
+    """Write the months of one run.  The rebalance hint deals rows out by month;
+    AQE merges small months into one task and splits large ones."""
+    df.hint("rebalance", F.col(MONTH_KEY)).write.partitionBy(MONTH_KEY).mode("overwrite").parquet(f"{path}/{RUN}={run}")
+
+
+def _read(spark: SparkSession, path: str, schema: T.StructType | None, held_by: dict) -> DataFrame:
+    """The months of a layer, each from the run that holds it."""
+    by_run: dict[int, list[str]] = {}
+    for month, run in held_by.items():
+        by_run.setdefault(run, []).append(month)
+    current = F.lit(False)
+    for run, months in sorted(by_run.items()):  # partition pruning: no other folder is read
+        current = current | ((F.col(RUN) == run) & F.col(MONTH_KEY).isin(sorted(months)))
+    reader = spark.read if schema is None else spark.read.schema(T.StructType([*schema.fields, T.StructField(RUN, T.LongType())]))
+    return reader.parquet(path).filter(current).drop(RUN)
 
 
 @dataclass
@@ -112,21 +128,22 @@ class _State:
     version: str
     last_batch: int
     depends_on: str
+    held_by: dict
+    layers: list
 
 
-_STATE_SCHEMA = "run long, version string, last_batch long, depends_on string"
+_STATE_SCHEMA = "run long, version string, last_batch long, depends_on string, held_by map<string,long>, layers array<string>"
 
 
 def _read_state(spark: SparkSession, root: str) -> _State | None:
-    try:
-        row = spark.read.schema(_STATE_SCHEMA).parquet(f"{root}/_state/runs").orderBy(F.col("run").desc()).first()
-    except AnalysisException:
+    if not path_exists(spark, f"{root}/_state/runs"):
         return None
+    row = spark.read.schema(_STATE_SCHEMA).parquet(f"{root}/_state/runs").orderBy(F.col("run").desc()).first()
     return None if row is None else _State(**row.asDict())
 
 
 def _append_state(spark: SparkSession, root: str, state: _State) -> None:
-    row = [(state.run, state.version, state.last_batch, state.depends_on)]
+    row = [(state.run, state.version, state.last_batch, state.depends_on, state.held_by, state.layers)]
     spark.createDataFrame(row, _STATE_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/_state/runs")
 
 
@@ -163,48 +180,61 @@ def run_layers(spark: SparkSession, landing: str, root: str, zones: SizedDimensi
         pending = raw.filter(F.col(BATCH) > state.last_batch).select(month).distinct().collect()
         months = sorted(r["m"] for r in pending if r["m"] is not None)
     version = uuid.uuid4().hex if full else state.version
-    run = LayerRun(result, months, _paths(root, version))
+    number = 0 if state is None else state.run + 1
+    run = LayerRun(result, months, {} if full else dict(state.held_by), _paths(root, version))
+    if sketch_columns:
+        run.paths["sketches"] = f"{root}/versions/{version}/sketches"
 
     source = raw.drop(BATCH) if full else raw.drop(BATCH).filter(in_months(F.col("tpep_pickup_datetime"), months))
     clean = clean_trips(source, zones).withColumn(MONTH_KEY, month_key(F.col("tpep_pickup_datetime")))
     run.schemas["clean"] = clean.schema
-    if full or months:
-        _write(clean, run.paths["clean"], replace_all=full)
-    written = spark.read.schema(clean.schema).parquet(run.paths["clean"])
-    if not full:
-        written = written.filter(F.col(MONTH_KEY).isin(months))  # partition pruning
+    rebuild = full or bool(months)
+    if rebuild:
+        _write(clean, run.paths["clean"], number)
+        written_months = partition_values(spark, f"{run.paths['clean']}/{RUN}={number}", MONTH_KEY)
+        run.held_by |= {m: number for m in (written_months if full else months)}
+    written = _read(spark, run.paths["clean"], clean.schema, {m: r for m, r in run.held_by.items() if full or m in months})
     for layer, build in GOLD_BUILDERS.items():
         # The month key is fixed by (pickup_year, pickup_month), so grouping by
         # it too leaves every group unchanged; it becomes the partition column.
         table = build(written, period, [*locations, MONTH_KEY])
         run.schemas[layer] = table.schema
-        if full or months:
-            _write(table, run.paths[layer], replace_all=full)
-
+        if rebuild:
+            _write(table, run.paths[layer], number)
     if sketch_columns:
-        run.paths["sketches"] = f"{root}/versions/{version}/sketches"
         table = sketched(written, sketch_columns, MONTH_KEY)
         run.schemas["sketches"] = table.schema
-        if full or months:
-            _write(table, run.paths["sketches"], replace_all=full)
+        if rebuild:
+            _write(table, run.paths["sketches"], number)
 
     if full or newest > state.last_batch:
-        _append_state(spark, root, _State(0 if state is None else state.run + 1, version, newest, depends_on))
+        _append_state(spark, root, _State(number, version, newest, depends_on, run.held_by, sorted(run.paths)))
     if table_prefix:
         for layer, path in run.paths.items():
             comment, props = LAYER_TABLES[layer]
-            register_table(spark, f"{table_prefix}_{layer}", path, comment=comment, properties=props, partitioned=True)
+            current = None if layer == "raw" else [
+                {RUN: r, MONTH_KEY: m} for m, r in sorted(run.held_by.items())
+                if path_exists(spark, f"{path}/{RUN}={r}/{MONTH_KEY}={m}")]
+            register_table(spark, f"{table_prefix}_{layer}", path, comment=comment, properties=props, partitioned=True, partitions=current)
     return run
 
 
+def open_layers(spark: SparkSession, root: str) -> LayerRun | None:
+    """The layers that the newest state row names, for readers: one state of all
+    layers, whatever is being written.  None before the first run."""
+    state = _read_state(spark, root)
+    if state is None:
+        return None
+    base = _paths(root, state.version)
+    return LayerRun(None, None, state.held_by, {layer: base.get(layer, f"{root}/versions/{state.version}/{layer}") for layer in state.layers})
+
+
 def read_layer(spark: SparkSession, run: LayerRun, layer: str) -> DataFrame:
     """A layer as written, without the partition column (sketches keep their month)."""
-    if layer == "sketches":
-        return spark.read.schema(run.schemas[layer]).parquet(run.paths[layer])
     if layer == "raw":
         return read_batches(spark, run.paths[layer]).drop(BATCH)
-    # The partition column is the last one of the files' own schema.
-    return spark.read.schema(run.schemas[layer]).parquet(run.paths[layer]).drop(MONTH_KEY)
+    rows = _read(spark, run.paths[layer], run.schemas.get(layer), run.held_by)
+    return rows if layer == "sketches" else rows.drop(MONTH_KEY)
 
 
-__all__ = ["LayerRun", "run_layers", "read_layer", "MONTH_KEY"]
+__all__ = ["LayerRun", "open_layers", "read_layer", "run_layers", "MONTH_KEY"]

@@ -106,11 +106,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
-def newest_partition(spark: SparkSession, path: str, name: str) -> int:
-    """The greatest n of the folders ``<path>/<name>=n``; -1 without any."""
+def partition_values(spark: SparkSession, path: str, name: str) -> list[str]:
+    """The values v of the folders ``<path>/<name>=v``."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path, f"{name}=*")
     found = where.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(where)
-    return max((int(f.getPath().getName().partition("=")[2]) for f in found or []), default=-1)
+    return sorted(f.getPath().getName().partition("=")[2] for f in found or [])
+
+
+def newest_partition(spark: SparkSession, path: str, name: str) -> int:
+    """The greatest of ``partition_values``, as numbers; -1 without any."""
+    return max(map(int, partition_values(spark, path, name)), default=-1)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

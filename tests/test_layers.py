@@ -72,6 +72,47 @@ def test_killed_full_build_leaves_the_old_version(spark, tmp_dir, monkeypatch):
         assert _rows(read_layer(spark, after, "gold_trips")) == want and read_layer(spark, after, "clean").count() == 70
 
 
+def test_readers_of_an_incremental_run_see_old_or_new_never_both(spark, tmp_dir, monkeypatch):
+    """Killed before each write and before the state row: a reader finds every
+    layer as it was; done at last, every layer as a full build makes it."""
+    import pytest
+    from meterline.plans import layers
+    zones = sized_zones(zones_frame(spark, [(1, "Alpha"), (2, "Beta")]))
+    landing, root = f"{tmp_dir}/landing", f"{tmp_dir}/inc"
+    names = ("clean", "gold_trips", "gold_bucket", "gold_passengers")
+    assert layers.open_layers(spark, root) is None
+    raw_frame(spark, _trips(1, 20) + _trips(2, 15)).coalesce(1).write.parquet(landing)
+    run_layers(spark, landing, root, zones)
+    seen = lambda: {n: _rows(read_layer(spark, layers.open_layers(spark, root), n).drop("_ingestion_time")) for n in names}
+    old = seen()
+    early = layers.open_layers(spark, root)
+    raw_frame(spark, _trips(2, 10, start=10) + _trips(3, 12)).coalesce(1).write.mode("append").parquet(landing)
+    write = layers._write
+    for survives in (0, 1, 3, 4):
+        left = [survives]
+
+        def dying(*a, **k):
+            if left[0] == 0:
+                raise RuntimeError("killed")
+            left[0] -= 1
+            write(*a, **k)
+        with monkeypatch.context() as m:
+            m.setattr(layers, "_write", dying)
+            m.setattr(layers, "_append_state", lambda *a: (_ for _ in ()).throw(RuntimeError("killed")))
+            with pytest.raises(RuntimeError):
+                run_layers(spark, landing, root, zones)
+        assert seen() == old
+    done = run_layers(spark, landing, root, zones)
+    assert done.months == ["2024-02", "2024-03"] and done.held_by == {"2024-01": 0, "2024-02": 1, "2024-03": 1}
+    new = seen()
+    full = run_layers(spark, landing, f"{tmp_dir}/full", zones, incremental=False)
+    for n in names[1:]:
+        assert new[n] == _rows(read_layer(spark, full, n))
+    assert len(new["clean"]) == 20 + 20 + 12
+    # a reader who opened the layers before still finds what there was then
+    assert {n: _rows(read_layer(spark, early, n).drop("_ingestion_time")) for n in names} == old
+
+
 def test_changed_zones_and_period_rebuild_everything(spark, tmp_dir):
     landing, root = f"{tmp_dir}/landing", f"{tmp_dir}/inc"
     raw_frame(spark, _trips(1, 40)).coalesce(1).write.parquet(landing)
@@ -121,6 +162,10 @@ def test_layer_tables_registered(spark, tmp_dir):
         assert table_properties(spark, f"ml_layers_{layer}").get("quality") == quality
     assert spark.table("ml_layers_clean").count() == 12
     assert spark.table("ml_layers_gold_trips").filter("pickup_ym = '2024-05'").count() > 0
+    # months that a later run holds are not read twice
+    raw_frame(spark, _trips(5, 3, start=10)).coalesce(1).write.mode("append").parquet(landing)
+    run_layers(spark, landing, f"{tmp_dir}/t", zones, table_prefix="ml_layers")
+    assert spark.table("ml_layers_clean").count() == 13
     assert spark.table("ml_layers_raw").columns[-3:] == ["_ingestion_time", "_source_file", "ingest_batch"]
 
 
