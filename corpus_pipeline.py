@@ -16,9 +16,12 @@ MIN_LANGUAGE_SCORE = 0.2
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents that some language's profile is near to."""
-    found = langid.identify(docs, langid.learn_profiles(docs), keep=COLUMNS[1:])
-    return found.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select(*COLUMNS)
+    """Keeps the documents that some language's profile is near to, those
+    without an id, too."""
+    rows = docs.select(F.monotonically_increasing_id().alias("doc_id"), F.col("doc_id").alias("id"), *COLUMNS[1:])
+    found = langid.identify(rows, langid.learn_profiles(docs), keep=("id", *COLUMNS[1:]))
+    return (found.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE))
+            .select(F.col("id").alias("doc_id"), *COLUMNS[1:]))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,9 +45,13 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """As many copies of each document as the mix takes; ids stay."""
-    copies = mixing.mix(docs).filter("copies > 0").select("doc_id", "copies")
-    return (docs.join(copies, "doc_id").select(*COLUMNS, F.explode(F.sequence(F.lit(1), "copies")).alias("copy"))
+    """As many copies of each row as the mix takes; ids stay.  Rows are drawn by
+    their content, so a rerun draws the same, and joined by their number, so
+    texts that share an id, and those without one, are taken each on its own."""
+    rows = staged(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "pipeline-drawn")
+    drawn = rows.select(F.xxhash64(*COLUMNS).alias("doc_id"), "text", "source", "row")
+    copies = mixing.mix(drawn, keep=("row",)).filter("copies > 0").select("row", "copies")
+    return (rows.join(copies, "row").select(*COLUMNS, F.explode(F.sequence(F.lit(1), "copies")).alias("copy"))
             .select(*COLUMNS))
 
 
