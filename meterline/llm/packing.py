@@ -21,6 +21,7 @@ third of all pieces has is not one task), and placing each by its rank.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -29,10 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from meterline.llm.common import bucket_of, map_rows, staged, text_bytes
+from meterline.llm.substring import chunks
 
 CAPACITY = 2048
 SALTS = 64
 
+# A word with ASCII marks (but no apostrophe, which can begin a contraction) at its end.
+MARKED = re.compile(rb"(.*[a-z])([!-&(-/:-@\[-`{-~]+)", re.S)
+
 # Words whose ids a worker remembers; then it starts anew.
 WORD_CACHE = 500_000
 
@@ -51,23 +56,54 @@ class WordTokenizer:
         self.path, self.known, self.model = path, {}, None
 
     def learn(self, words: Iterable[bytes]) -> None:
-        """Encode many words in one call and cut the ids at the words' ends."""
+        """Encode words, ASCII marks after a last letter apart from the rest of
+        the word: the tokenizer never joins these, and far fewer words are left."""
+        parts = {w: m.groups() for w in words if b"<|" not in w and (m := MARKED.fullmatch(w))}
+        self.encode_words({x for p in parts.values() for x in p if x not in self.known} | {w for w in words if w not in parts})
+        for word, (start, marks) in parts.items():
+            self.known[word] = self.known[start] + self.known[marks]
+
+    def load(self) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
+        from tokenizers import Tokenizer
+        self.model = Tokenizer.from_file(self.path)
+        self.mark, self.mark_text = next((i, t.content) for i, t in sorted(self.model.get_added_tokens_decoder().items()) if t.special)
+        # Ids that end a run of letters, marks or a digit.
+        self.ends = np.zeros(self.model.get_vocab_size(), bool)
+        self.ends[[i for t, i in self.model.get_vocab().items() if t.endswith("</w>")]] = True
+
+    def encode_words(self, words: Iterable[bytes]) -> None:
+        """Encode many words in one call.  Words of letters alone are one run
+        each, and end where a run ends.  Between others stands a special token,
+        which splits a text before anything else is done with it."""
         if self.model is None:
-            os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
-            from tokenizers import Tokenizer
-            self.model = Tokenizer.from_file(self.path)
-        new = [(w, w.decode()) for w in words]
-        for k in range(0, len(new), 1024):
-            part = new[k:k + 1024]
-            found = self.model.encode(" ".join(w for _, w in part), add_special_tokens=False)
-            ids = np.array(found.ids, "<u4")
-            starts = np.array([a for a, _ in found.offsets], np.int64)
-            ends = np.cumsum([len(w) + 1 for _, w in part])
-            cuts = np.searchsorted(starts, ends).tolist()
-            at = 0
-            for (word, _), cut in zip(part, cuts):
-                self.known[word] = ids[at:cut].tobytes()
-                at = cut
+            self.load()
+        texts = [(w, w.decode()) for w in words]
+        plain, others = [x for x in texts if x[1].isalpha()], [x for x in texts if not x[1].isalpha()]
+        for k in range(0, len(plain), 1024):
+            part = plain[k:k + 1024]
+            ids = self.encode(" ".join(t for _, t in part))
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(part):
+                self.remember(part, ids, [0, *cuts[:-1].tolist()], cuts.tolist())
+            else:  # a letter that lower case takes apart
+                others += part
+        for k in range(0, len(others), 1024):
+            part = others[k:k + 1024]
+            ids = self.encode(self.mark_text.join(t for _, t in part))
+            cuts = np.flatnonzero(ids == self.mark).tolist()
+            if len(cuts) == len(part) - 1:
+                self.remember(part, ids, [0, *(c + 1 for c in cuts)], [*cuts, len(ids)])
+            else:  # a word that holds the special token itself
+                self.known.update((w, self.encode(t).tobytes()) for w, t in part)
+
+    def remember(self, words: list[tuple[bytes, str]], ids: np.ndarray, starts: list[int], ends: list[int]) -> None:
+        data = ids.tobytes()
+        for (word, _), start, end in zip(words, starts, ends):
+            self.known[word] = data[4 * start:4 * end]
+
+    def encode(self, text: str) -> np.ndarray:
+        return np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def ids(self, texts: list[bytes]) -> Iterator[bytes]:
         # Special tokens are matched before case is lowered.
@@ -75,7 +111,7 @@ class WordTokenizer:
         words = set().union(*docs)
         if len(self.known) > WORD_CACHE:
             self.known.clear()
-        self.learn(w for w in words if w not in self.known)
+        self.learn([w for w in words if w not in self.known])
         for doc in docs:
             yield b"".join(map(self.known.__getitem__, doc))
 
@@ -91,7 +127,8 @@ def pieces(documents: DataFrame, path: str, capacity: int = CAPACITY) -> DataFra
         model = _workers.setdefault(path, WordTokenizer(path))
         rows = []
         texts = [t or b"" for t in batch.column(1).to_pylist()]
-        for doc, ids in zip(batch.column(0).to_pylist(), model.ids(texts)):
+        each = (ids for _, part in chunks(texts) for ids in model.ids(part))
+        for doc, ids in zip(batch.column(0).to_pylist(), each):
             ids += b"\0\0\0\0"
             for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                 part = ids[at:at + 4 * capacity]
@@ -99,7 +136,7 @@ def pieces(documents: DataFrame, path: str, capacity: int = CAPACITY) -> DataFra
         kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
         return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
                                names=["doc_id", "piece", "start", "length", "ids_crc32"])
-    return map_rows(text_bytes(documents), run, PIECE)
+    return map_rows(text_bytes(documents, without_id=True), run, PIECE)
 
 
 def plan_rounds(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:
@@ -158,12 +195,13 @@ def pack(documents: DataFrame, *, path: str | None = None, capacity: int = CAPAC
 
     Null and empty text are the closing id alone.  Only documents longer than
     ``capacity`` are cut.  Repeated rows are packed each on its own (their
-    pieces are alike, and so are their rows but for the place).  Other columns
+    pieces are alike, and so are their rows but for the place), and so are rows
+    without an id, which keep the null.  Other columns
     are never read; an empty table gives no rows.
     """
     spark = documents.sparkSession
     found = staged(pieces(documents, path or tokenizer_path(), capacity)
-                   .withColumn("salt", bucket_of(SALTS, F.col("doc_id"), F.col("piece"))), "pack-pieces")
+                   .withColumn("salt", bucket_of(SALTS, F.col("doc_id"), F.col("piece"), F.col("ids_crc32"))), "pack-pieces")
     parts = found.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     parts = staged(parts.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))), "pack-parts")
