@@ -23,23 +23,30 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from meterline.llm.common import bucket_of, map_rows, staged, text_bytes
-from meterline.llm.substring import chunks
 
 CAPACITY = 2048
 SALTS = 64
 
-# A word with ASCII marks (but no apostrophe, which can begin a contraction) at its end.
-MARKED = re.compile(rb"(.*[a-z])([!-&(-/:-@\[-`{-~]+)", re.S)
+# Letters that have one lower-case letter each and are never composed anew.
+LETTER = "[A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]"
 
-# Words whose ids a worker remembers; then it starts anew.
-WORD_CACHE = 500_000
+# ASCII marks that are cut off a word's end; no apostrophe, which can begin a contraction.
+MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
+
+# Bytes of text handled at once (a longer text is a chunk of its own).
+CHUNK = 500_000
+
+# At so many words a worker forgets those that it did not meet again.
+WORD_CACHE = 250_000
 
 
 def tokenizer_path() -> str:
@@ -47,73 +54,142 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def spans(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers from each ``first`` on, ``size`` of them, one after another."""
+    ends = np.cumsum(size)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - size), size)
+
+
+def cut_marks(words: pa.StringArray) -> tuple[pa.StringArray, pa.StringArray]:
+    """The words without the ASCII marks after a last letter, and these marks
+    (empty where there are none).  The tokenizer never joins the two, and far
+    fewer words are left."""
+    start = pc.ascii_rtrim(words, MARKS)
+    cut = pc.and_(pc.match_substring_regex(start, LETTER + "$"), pc.invert(pc.match_substring(words, "<|")))
+    start = pc.if_else(cut, start, words)
+    whole, size = (pc.binary_length(x).to_numpy().astype(np.int64) for x in (words, start))
+    _, offsets, data = words.buffers()
+    first = np.frombuffer(offsets, np.int32)[words.offset:words.offset + len(words)].astype(np.int64)
+    marks = np.frombuffer(data or b"", np.uint8)[spans(first + size, whole - size)]
+    ends = np.concatenate(([0], np.cumsum(whole - size))).astype(np.int32)
+    return start, pa.StringArray.from_buffers(len(words), pa.py_buffer(ends), pa.py_buffer(marks))
+
+
 class WordTokenizer:
     """Ids of texts as little-endian unsigned 32-bit bytes.  This tokenizer
     lowers case, drops white space and never joins across it, so a text's ids
-    are its lower-cased words' ids in order, and a word is encoded once."""
+    are its lower-cased words' ids in order, and a word is encoded once.
 
-    def __init__(self, path: str):
-        self.path, self.known, self.model = path, {}, None
+    ``known`` are the words so far; word i has ``size[i]`` of ``all_ids`` from
+    ``first[i]`` on, and ``met[i]`` tells if it came again."""
 
-    def learn(self, words: Iterable[bytes]) -> None:
-        """Encode words, ASCII marks after a last letter apart from the rest of
-        the word: the tokenizer never joins these, and far fewer words are left."""
-        parts = {w: m.groups() for w in words if b"<|" not in w and (m := MARKED.fullmatch(w))}
-        self.encode_words({x for p in parts.values() for x in p if x not in self.known} | {w for w in words if w not in parts})
-        for word, (start, marks) in parts.items():
-            self.known[word] = self.known[start] + self.known[marks]
+    def __init__(self, path: str):
+        self.path, self.model = path, None
+        self.forget()
+
+    def forget(self) -> None:
+        self.known, self.all_ids, self.met = pa.array([""]), np.empty(0, "<u4"), np.ones(1, bool)
+        self.first, self.size = np.zeros(1, np.int64), np.zeros(1, np.int64)
+
+    def keep_met(self) -> None:
+        """Forget the words that did not come again; all, if too many did."""
+        if self.met.sum() > WORD_CACHE // 2:
+            return self.forget()
+        self.met[0] = True  # the empty word stays the first
+        self.all_ids = self.all_ids[spans(self.first[self.met], self.size[self.met])]
+        self.known, self.size = self.known.filter(pa.array(self.met)), self.size[self.met]
+        self.first, self.met = np.cumsum(self.size) - self.size, np.zeros(len(self.size), bool)
 
     def load(self) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.model = Tokenizer.from_file(self.path)
         self.mark, self.mark_text = next((i, t.content) for i, t in sorted(self.model.get_added_tokens_decoder().items()) if t.special)
         # Ids that end a run of letters, marks or a digit.
         self.ends = np.zeros(self.model.get_vocab_size(), bool)
         self.ends[[i for t, i in self.model.get_vocab().items() if t.endswith("</w>")]] = True
+        # How the model spells the letters that are not ASCII.
+        spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.spelling = {c: spell(chr(c))[0][0] for c in range(128, 256) if re.fullmatch(LETTER, chr(c))}
 
-    def encode_words(self, words: Iterable[bytes]) -> None:
-        """Encode many words in one call.  Words of letters alone are one run
-        each, and end where a run ends.  Between others stands a special token,
-        which splits a text before anything else is done with it."""
+    def numbers(self, words: pa.StringArray) -> np.ndarray:
+        """Where distinct words are among the known, after learning the new."""
+        if len(self.known) > WORD_CACHE:
+            self.keep_met()
+        at = pc.index_in(words, value_set=self.known)
+        new = words.filter(pc.is_null(at))
+        at = pc.fill_null(at, 0).to_numpy().astype(np.int64)
+        at[(at == 0) & (pc.binary_length(words).to_numpy() > 0)] = len(self.known) + np.arange(len(new))
+        self.met[at[at < len(self.known)]] = True
+        if len(new):
+            plain = pc.match_substring_regex(new, f"^{LETTER}+$")
+            letters, others = new.filter(plain), new.filter(pc.invert(plain))
+            order = np.argsort(~plain.to_numpy(zero_copy_only=False), kind="stable")
+            found = [self.encode_letters(letters), *self.encode_words(others)]
+            size = np.empty(len(new), np.int64)
+            size[order] = np.concatenate([s for _, s in found])
+            first = np.empty(len(new), np.int64)
+            first[order] = np.cumsum(size[order]) - size[order] + len(self.all_ids)
+            self.all_ids = np.concatenate([self.all_ids, *(ids for ids, _ in found)])
+            self.first, self.size = np.concatenate((self.first, first)), np.concatenate((self.size, size))
+            self.known = pa.concat_arrays([self.known, new])
+            self.met = np.concatenate((self.met, np.zeros(len(new), bool)))
+        return at
+
+    def encode_letters(self, words: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words of ``LETTER``, and how many each has.  Such a word is
+        one run, and nothing but its case is normalised: the model's merges
+        alone make its ids."""
         if self.model is None:
             self.load()
-        texts = [(w, w.decode()) for w in words]
-        plain, others = [x for x in texts if x[1].isalpha()], [x for x in texts if not x[1].isalpha()]
-        for k in range(0, len(plain), 1024):
-            part = plain[k:k + 1024]
-            ids = self.encode(" ".join(t for _, t in part))
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) == len(part):
-                self.remember(part, ids, [0, *cuts[:-1].tolist()], cuts.tolist())
-            else:  # a letter that lower case takes apart
-                others += part
-        for k in range(0, len(others), 1024):
-            part = others[k:k + 1024]
-            ids = self.encode(self.mark_text.join(t for _, t in part))
-            cuts = np.flatnonzero(ids == self.mark).tolist()
+        spelt = (w.lower() if w.isascii() else w.lower().translate(self.spelling)
+                 for w in words.to_numpy(zero_copy_only=False).tolist())
+        ids = np.fromiter((t.id for t in chain.from_iterable(map(self.model.model.tokenize, spelt))), "<u4")
+        return ids, np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
+
+    def encode_words(self, words: pa.StringArray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The ids of many words in one call.  Between them stands a special
+        token, which splits a text before anything else is done with it."""
+        for k in range(0, len(words), 1024):
+            part = words[k:k + 1024].to_pylist()
+            ids = self.encode(self.mark_text.join(part))
+            marks = ids == self.mark
+            cuts = np.flatnonzero(marks)
             if len(cuts) == len(part) - 1:
-                self.remember(part, ids, [0, *(c + 1 for c in cuts)], [*cuts, len(ids)])
+                yield ids[~marks], np.diff(cuts, prepend=-1, append=len(ids)) - 1
             else:  # a word that holds the special token itself
-                self.known.update((w, self.encode(t).tobytes()) for w, t in part)
-
-    def remember(self, words: list[tuple[bytes, str]], ids: np.ndarray, starts: list[int], ends: list[int]) -> None:
-        data = ids.tobytes()
-        for (word, _), start, end in zip(words, starts, ends):
-            self.known[word] = data[4 * start:4 * end]
+                for word in part:
+                    ids = self.encode(word)
+                    yield ids, np.array([len(ids)])
 
     def encode(self, text: str) -> np.ndarray:
         return np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def ids(self, texts: list[bytes]) -> Iterator[bytes]:
+        texts = pa.array(texts, pa.binary()).cast(pa.string())
         # Special tokens are matched before case is lowered.
-        docs = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        words = set().union(*docs)
-        if len(self.known) > WORD_CACHE:
-            self.known.clear()
-        self.learn([w for w in words if w not in self.known])
-        for doc in docs:
-            yield b"".join(map(self.known.__getitem__, doc))
+        docs = pc.ascii_split_whitespace(pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts)))
+        words = docs.flatten().dictionary_encode()
+        parts = pa.concat_arrays(cut_marks(words.dictionary)).dictionary_encode()
+        # Each word as its number without marks and that of its marks.
+        at = self.numbers(parts.dictionary)[parts.indices.to_numpy()].reshape(2, -1).T
+        at = at[words.indices.to_numpy()]
+        ids = self.all_ids[spans(self.first[at.ravel()], self.size[at.ravel()])].tobytes()
+        ends = np.concatenate(([0], np.cumsum(self.size[at].sum(1))))[docs.offsets.to_numpy()] * 4
+        for start, end in zip(ends[:-1].tolist(), ends[1:].tolist()):
+            yield ids[start:end]
+
+
+def chunks(texts: list[bytes]) -> Iterator[list[bytes]]:
+    """Texts of about ``CHUNK`` bytes at a time."""
+    start, size = 0, 0
+    for i, t in enumerate(texts):
+        if size and size + len(t) > CHUNK:
+            yield texts[start:i]
+            start, size = i, 0
+        size += len(t)
+    if texts:
+        yield texts[start:]
 
 
 _workers: dict[str, WordTokenizer] = {}
@@ -127,7 +203,7 @@ def pieces(documents: DataFrame, path: str, capacity: int = CAPACITY) -> DataFra
         model = _workers.setdefault(path, WordTokenizer(path))
         rows = []
         texts = [t or b"" for t in batch.column(1).to_pylist()]
-        each = (ids for _, part in chunks(texts) for ids in model.ids(part))
+        each = (ids for part in chunks(texts) for ids in model.ids(part))
         for doc, ids in zip(batch.column(0).to_pylist(), each):
             ids += b"\0\0\0\0"
             for piece, at in enumerate(range(0, len(ids), 4 * capacity)):

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import collections
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -115,3 +116,30 @@ def test_marks_are_cut_off_where_the_tokenizer_cuts():
     got = packing.WordTokenizer(packing.tokenizer_path()).ids([w.encode() for w in words] + [" ".join(words).encode()])
     import numpy as np
     assert [np.frombuffer(g, "<u4").tolist() for g in got] == [model.encode(t, add_special_tokens=False).ids for t in [*words, " ".join(words)]]
+
+
+def test_a_word_is_encoded_once_whatever_marks_follow():
+    from tokenizers import Tokenizer
+    model = Tokenizer.from_file(packing.tokenizer_path())
+    texts = ["N\u00c9! n\u00e9? n\u00e9 end. End, END\x0b\x0cfin;  <b>", "n\u00e9... fin \u00e6\u00df\u00b5\u00aa! \u0130a! \u03a3\u03a3. n\u0303! A<|endoftext|>B n\u00e9!", "", " \t"]
+    words = packing.WordTokenizer(packing.tokenizer_path())
+    got = [g for t in texts for g in words.ids([t.encode()])]
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [model.encode(t, add_special_tokens=False).ids for t in texts]
+    known = words.known.to_pylist()
+    assert len(known) == len(set(known)) and {"n\u00e9", "end", "fin"} <= set(known)
+    assert not {"n\u00e9!", "n\u00e9?", "n\u00e9...", "end.", "fin;"} & set(known)
+
+
+@pytest.mark.parametrize("cache", [20, 120, 400])
+def test_a_worker_forgets_words_and_stays_right(monkeypatch, cache):
+    from tokenizers import Tokenizer
+    monkeypatch.setattr(packing, "WORD_CACHE", cache)
+    model = Tokenizer.from_file(packing.tokenizer_path())
+    rng = np.random.default_rng(5)
+    letters = np.array(list("abcde\u00e9\u0142"))
+    texts = [" ".join("".join(rng.choice(letters, rng.integers(1, 4))) + rng.choice(["", ".", "'s", "1"]) for _ in range(40)) for _ in range(40)]
+    words = packing.WordTokenizer(packing.tokenizer_path())
+    for t in texts:
+        assert [np.frombuffer(g, "<u4").tolist() for g in words.ids([t.encode()])] == [model.encode(t, add_special_tokens=False).ids]
+        assert len(words.known) <= cache + 120 and words.known[0].as_py() == ""
+        assert len(words.known) == len(words.first) == len(words.size) == len(words.met)
