@@ -55,6 +55,8 @@ def map_rows(df: DataFrame, per_batch: Callable[[pa.RecordBatch], pa.RecordBatch
                 out = per_batch(batch.slice(start, SLICE_ROWS))
                 if out is not None and out.num_rows:
                     yield out
+        # What Arrow freed goes back to the system, as the worker lives on for other stages.
+        pa.default_memory_pool().release_unused()
     return df.mapInArrow(run, schema)
 
 

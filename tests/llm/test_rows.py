@@ -143,3 +143,15 @@ def test_a_worker_forgets_words_and_stays_right(monkeypatch, cache):
         assert [np.frombuffer(g, "<u4").tolist() for g in words.ids([t.encode()])] == [model.encode(t, add_special_tokens=False).ids]
         assert len(words.known) <= cache + 120 and words.known[0].as_py() == ""
         assert len(words.known) == len(words.first) == len(words.size) == len(words.met)
+
+
+def test_a_worker_gives_memory_back_after_a_task(monkeypatch):
+    import pyarrow as pa
+    from meterline.llm.common import SLICE_ROWS, map_rows
+    released = []
+    pool = type("Pool", (), {"release_unused": lambda self: released.append(1)})()
+    frame = type("Frame", (), {"mapInArrow": lambda self, run, schema: run})()
+    batches = [pa.record_batch({"x": list(range(n))}) for n in (SLICE_ROWS + 1, 3)]
+    monkeypatch.setattr(pa, "default_memory_pool", lambda: pool)
+    found = [b.num_rows for b in map_rows(frame, lambda b: b, "x long")(iter(batches))]
+    assert found == [SLICE_ROWS, 1, 3] and released == [1]
