@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -18,13 +19,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Whether Spark removes a query's shuffle files when the query has ended (else
+# they stay until the driver happens to collect its garbage).
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Queries run inside leave no shuffle files behind.  The session's own
+    setting holds again afterwards."""
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(FREE_SHUFFLES)
+        else:
+            spark.conf.set(FREE_SHUFFLES, before)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared scratch folder and read back: cuts the
     lineage, survives lost executors, and gives later joins a plain exchange
-    on each side, which AQE can split when a key is hot."""
+    on each side, which AQE can split when a key is hot.  Once it is written,
+    the shuffle files it took are removed."""
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{label}")
-    df.write.parquet(path)
+    with shuffles_freed(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
