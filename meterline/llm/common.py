@@ -20,33 +20,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 # Whether Spark removes a query's shuffle files when the query has ended (else
-# they stay until the driver happens to collect its garbage).
+# they stay until the driver happens to collect its garbage), and the rows that
+# go to a Python worker at once (whole texts: a batch of Spark's usual 10,000
+# takes tens of MB in the executor and again in the worker).
 FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 @contextmanager
-def shuffles_freed(spark: SparkSession) -> Iterator[None]:
-    """Queries run inside leave no shuffle files behind.  The session's own
-    setting holds again afterwards."""
-    before = spark.conf.get(FREE_SHUFFLES, None)
-    spark.conf.set(FREE_SHUFFLES, "true")
+def frugal(spark: SparkSession, texts: bool) -> Iterator[None]:
+    """Queries run inside leave no shuffle files behind and, where whole texts
+    go to Python, send them in small batches.  The session's own settings hold
+    again afterwards."""
+    before = {k: spark.conf.get(k) for k in (FREE_SHUFFLES, BATCH_ROWS)}
     try:
+        spark.conf.set(FREE_SHUFFLES, "true")
+        # 0 or less is no bound at all.
+        if texts and not 0 < int(before[BATCH_ROWS]) < SLICE_ROWS:
+            spark.conf.set(BATCH_ROWS, str(SLICE_ROWS))
         yield
     finally:
-        if before is None:
-            spark.conf.unset(FREE_SHUFFLES)
-        else:
-            spark.conf.set(FREE_SHUFFLES, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+def staged(df: DataFrame, label: str, *, texts: bool = False) -> DataFrame:
     """``df`` written to the shared scratch folder and read back: cuts the
     lineage, survives lost executors, and gives later joins a plain exchange
     on each side, which AQE can split when a key is hot.  Once it is written,
-    the shuffle files it took are removed."""
+    the shuffle files it took are removed.  ``texts``: it sends whole texts to
+    Python, so in small batches."""
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{label}")
-    with shuffles_freed(spark):
+    with frugal(spark, texts):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -277,7 +277,7 @@ def pack(documents: DataFrame, *, path: str | None = None, capacity: int = CAPAC
     """
     spark = documents.sparkSession
     found = staged(pieces(documents, path or tokenizer_path(), capacity)
-                   .withColumn("salt", bucket_of(SALTS, F.col("doc_id"), F.col("piece"), F.col("ids_crc32"))), "pack-pieces")
+                   .withColumn("salt", bucket_of(SALTS, F.col("doc_id"), F.col("piece"), F.col("ids_crc32"))), "pack-pieces", texts=True)
     parts = found.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     parts = staged(parts.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))), "pack-parts")

@@ -116,7 +116,7 @@ def simhash_components(documents: DataFrame, *, shingle: int = 3, max_bits: int
     Copies share a fingerprint and enter the search once.  Repeated rows give
     equal rows; an empty table gives none; other columns are never read.
     """
-    rows = staged(fingerprints(documents, shingle), "simhash-prints")
+    rows = staged(fingerprints(documents, shingle), "simhash-prints", texts=True)
     prints = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("id")), "simhash-distinct")
     found = connected_components(near_links(prints, max_bits))
     named = staged(prints.join(found, "id", "left").select("fp", F.coalesce("component", "id").alias("component_id")),

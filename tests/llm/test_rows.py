@@ -8,11 +8,12 @@ import time
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from meterline.llm import linededup, packing, substring
-from meterline.llm.common import FREE_SHUFFLES, staged
+from meterline.llm.common import BATCH_ROWS, FREE_SHUFFLES, SLICE_ROWS, staged
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -170,3 +171,14 @@ def test_staging_leaves_no_shuffle_files(spark):
             time.sleep(0.1)
     assert not left and spark.conf.get(FREE_SHUFFLES) == setting
     assert got.agg(F.sum("n")).first()[0] == 1000 and got.count() == 7
+
+
+def test_staging_sends_small_batches_to_python(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    setting = spark.conf.get(BATCH_ROWS)
+    got = staged(spark.range(0, 3000, 1, 1).mapInArrow(sizes, "n long"), "test-batches", texts=True).collect()
+    assert sum(r["n"] for r in got) == 3000 and max(r["n"] for r in got) <= SLICE_ROWS
+    assert spark.conf.get(BATCH_ROWS) == setting
