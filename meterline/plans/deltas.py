@@ -164,7 +164,8 @@ def maintain(spark: SparkSession, landing: str, root: str, zones: SizedDimension
                                     "_version": F.xxhash64(*valid.columns)}), "new")
     months = sorted(r[0] for r in new.select(MONTH_KEY).distinct().collect())  # a row for each month
     delta, checked = _delta(spark, s, new, months)
-    delta = _stage(delta, "rows")
+    if checked:  # else it is ``new`` as it was written, with its sign
+        delta = _stage(delta, "rows")
     came, went = delta.filter(F.col(SIGN) > 0).drop(SIGN, "of_run"), delta.filter(F.col(SIGN) < 0)
 
     schemas = _write(came, s, "survivors", run, MONTH_KEY)

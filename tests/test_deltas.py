@@ -165,3 +165,17 @@ def test_key_index_has_no_false_negative_and_few_false_positives(spark):
     found = {r["known"]: r["count"] for r in hit.groupBy("known").count().collect()}
     assert found[True] == n and found.get(False, 0) < 0.03 * n
     assert key_index.maybe_present(keys.withColumn("m", F.lit("x")), index, "m").count() == 0
+
+
+def test_a_run_without_known_keys_writes_its_rows_once(spark, tmp_dir, zones, monkeypatch):
+    staged, stage = [], deltas._stage
+    monkeypatch.setattr(deltas, "_stage", lambda df, label: staged.append(label) or stage(df, label))
+    one, two = (random_trips(random.Random(k), 40) for k in (1, 2))
+    raw_frame(spark, one).write.mode("append").parquet(f"{tmp_dir}/landing")
+    maintain(spark, f"{tmp_dir}/landing", f"{tmp_dir}/layers", zones)
+    assert staged == ["new"]
+    staged.clear()
+    raw_frame(spark, two).write.mode("append").parquet(f"{tmp_dir}/landing")
+    snapshot = maintain(spark, f"{tmp_dir}/landing", f"{tmp_dir}/layers", zones)
+    assert staged == ["new", "maybe", "rows"]
+    same(spark, snapshot, zones, raw_frame(spark, one + two))
