@@ -44,16 +44,17 @@ def frugal(spark: SparkSession, texts: bool) -> Iterator[None]:
             spark.conf.set(k, v)
 
 
-def staged(df: DataFrame, label: str, *, texts: bool = False) -> DataFrame:
+def staged(df: DataFrame, label: str, *, texts: bool = False, path: str | None = None) -> DataFrame:
     """``df`` written to the shared scratch folder and read back: cuts the
     lineage, survives lost executors, and gives later joins a plain exchange
     on each side, which AQE can split when a key is hot.  Once it is written,
     the shuffle files it took are removed.  ``texts``: it sends whole texts to
-    Python, so in small batches."""
+    Python, so in small batches.  ``path``: in the place of an earlier staged
+    table that nothing reads any more."""
     spark = df.sparkSession
-    path = scratch_path(spark, f"llm-{label}")
+    path, mode = (path, "overwrite") if path else (scratch_path(spark, f"llm-{label}"), "error")
     with frugal(spark, texts):
-        df.write.parquet(path)
+        df.write.mode(mode).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -6,6 +6,7 @@ from __future__ import annotations
 import collections
 import hashlib
 import math
+import os
 import re
 import zlib
 
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from meterline.llm import (ann, bitsliced, langid, linededup, mixing, packing, pitman_yor, queries, simhash, substring,
                            url_filter)
+from meterline.session import scratch_path
 
 DOCS = ("doc_id long, text string, lang string, source string, n_chars long, "
         "n int, word string, key int, leaf int, size int, ctx int, fp int, spans int, kept_text string, n_lines string, rare int")
@@ -313,6 +315,53 @@ def test_language_model_beats_the_base_on_held_out_text(spark):
     assert rows[0] > rows[1]
 
 
+def test_language_model_stages_little(spark):
+    """All tables a run leaves staged, those of five sweeps among them, against the bytes of its text."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{k}" for k in rng.zipf(1.2, 2000) % 50_000) for _ in range(200)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    scratch = os.path.dirname(scratch_path(spark, "x")).removeprefix("file:")
+    before = set(os.listdir(scratch))
+    assert pitman_yor.score(rows, F.col("doc_id") % 7 == 2).count() == 200
+    new = [os.path.join(d, f) for x in set(os.listdir(scratch)) - before for d, _, fs in os.walk(os.path.join(scratch, x)) for f in fs]
+    assert 0 < sum(map(os.path.getsize, new)) < 1.6 * sum(map(len, texts))
+
+
+def test_pairs_are_counted_once_each_packed(spark):
+    """Pair counts against a plain count, with every word short, some and none; repeated rows count again."""
+    texts = ["a b a b c", "a B", None, "", "x y z a b", "a b a b c"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").selectExpr(
+        "doc_id", "cast(text as binary) text")
+    want = collections.Counter()
+    for t in texts:
+        words = [b" ", *(t or "").lower().encode().split(), b" "]
+        want.update(zip(words, words[1:]))
+    name = {b" ": 0, **{w.encode(): int(pitman_yor.tokens([w.encode()])[0][0]) for w in "abcxyz"}}
+    for head in (7, 2, 0):
+        own = np.array(sorted(name.values())[:head], np.uint64)
+        lookup = pitman_yor.Lookup(own)
+        shown = {int(lookup.ids(np.array([k], np.uint64))[0]): w for w, k in name.items()}
+        assert len(shown) == 7 and sum(0 <= k < head for k in shown) == head
+        got = collections.Counter()
+        known = spark.sparkContext.broadcast(lookup)
+        for r in pitman_yor.pair_table(rows, known, 3).collect():
+            u, w, *more = pitman_yor.unpack([r["blob"]], {pitman_yor.ONCE: 2, pitman_yor.STATE: 5, pitman_yor.TAIL: 3}[r["kind"]])
+            for k in range(len(u)):
+                got[shown[int(u[k])], shown[int(w[k])]] += int(more[0][k]) if more else 1
+        assert got == want
+
+
+def test_packed_columns_and_lookups_come_back():
+    rng = np.random.default_rng(5)
+    columns = [rng.integers(-2**63, 2**63 - 1, 1000), np.arange(1000), np.zeros(1000, np.int64)]
+    got = pitman_yor.unpack([pitman_yor.pack(*columns), pitman_yor.pack(*columns)], 3)
+    assert all((np.concatenate((x, x)) == y).all() for x, y in zip(columns, got))
+    keys = np.unique(rng.integers(0, 2**63, 5000).astype(np.uint64))
+    asked = np.concatenate((keys[::3], keys[:50] + np.uint64(1)))
+    want = {int(k): i for i, k in enumerate(keys)}
+    assert pitman_yor.Lookup(keys).find(asked).tolist() == [want.get(int(k), -1) for k in asked]
+
+
 def test_every_preceding_word_is_a_context(spark):
     """100 words, each always followed by its own partner: all of these pairs are learnt."""
     texts = [" ".join(f"first{k} second{k}" for k in np.random.default_rng(i).permutation(100)) for i in range(40)]
