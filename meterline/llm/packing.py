@@ -20,11 +20,12 @@ third of all pieces has is not one task), and placing each by its rank.
 
 from __future__ import annotations
 
+import codecs
 import os
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +43,9 @@ LETTER = "[A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]"
 # ASCII marks that are cut off a word's end; no apostrophe, which can begin a contraction.
 MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
 
-# Bytes of text handled at once (a longer text is a chunk of its own).
-CHUNK = 500_000
+# Bytes of text handled at once (a longer text is a chunk of its own).  A word
+# is looked up once a chunk, so small chunks look up common words over and over.
+CHUNK = 2_000_000
 
 # At so many words a worker forgets those that it did not meet again.
 WORD_CACHE = 250_000
@@ -75,13 +77,18 @@ def cut_marks(words: pa.StringArray) -> tuple[pa.StringArray, pa.StringArray]:
     return start, pa.StringArray.from_buffers(len(words), pa.py_buffer(ends), pa.py_buffer(marks))
 
 
+def strings(words: pa.StringArray) -> list[str]:
+    return words.to_numpy(zero_copy_only=False).tolist()
+
+
 class WordTokenizer:
     """Ids of texts as little-endian unsigned 32-bit bytes.  This tokenizer
     lowers case, drops white space and never joins across it, so a text's ids
     are its lower-cased words' ids in order, and a word is encoded once.
 
-    ``known`` are the words so far; word i has ``size[i]`` of ``all_ids`` from
-    ``first[i]`` on, and ``met[i]`` tells if it came again."""
+    ``known`` are the words so far and ``number`` their places; word i has
+    ``size[i]`` of ``all_ids`` from ``first[i]`` on, and ``met[i]`` tells if it
+    came again."""
 
     def __init__(self, path: str):
         self.path, self.model = path, None
@@ -90,6 +97,7 @@ class WordTokenizer:
     def forget(self) -> None:
         self.known, self.all_ids, self.met = pa.array([""]), np.empty(0, "<u4"), np.ones(1, bool)
         self.first, self.size = np.zeros(1, np.int64), np.zeros(1, np.int64)
+        self.number = {"": 0}
 
     def keep_met(self) -> None:
         """Forget the words that did not come again; all, if too many did."""
@@ -99,6 +107,7 @@ class WordTokenizer:
         self.all_ids = self.all_ids[spans(self.first[self.met], self.size[self.met])]
         self.known, self.size = self.known.filter(pa.array(self.met)), self.size[self.met]
         self.first, self.met = np.cumsum(self.size) - self.size, np.zeros(len(self.size), bool)
+        self.number = dict(zip(strings(self.known), range(len(self.known))))
 
     def load(self) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
@@ -108,20 +117,23 @@ class WordTokenizer:
         # Ids that end a run of letters, marks or a digit.
         self.ends = np.zeros(self.model.get_vocab_size(), bool)
         self.ends[[i for t, i in self.model.get_vocab().items() if t.endswith("</w>")]] = True
-        # How the model spells the letters that are not ASCII.
+        # How the model spells each byte of letters: ASCII as it is, the others by a letter a byte.
         spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
-        self.spelling = {c: spell(chr(c))[0][0] for c in range(128, 256) if re.fullmatch(LETTER, chr(c))}
+        letters = [chr(c) for c in range(128, 256) if re.fullmatch(LETTER, chr(c))]
+        spelt = {b: s for c in letters for b, s in zip(c.encode(), spell(c)[0][0], strict=True)}
+        self.spelling = "".join(chr(b) if b < 128 else spelt.get(b, "\ufffe") for b in range(256))
 
     def numbers(self, words: pa.StringArray) -> np.ndarray:
         """Where distinct words are among the known, after learning the new."""
         if len(self.known) > WORD_CACHE:
             self.keep_met()
-        at = pc.index_in(words, value_set=self.known)
-        new = words.filter(pc.is_null(at))
-        at = pc.fill_null(at, 0).to_numpy().astype(np.int64)
-        at[(at == 0) & (pc.binary_length(words).to_numpy() > 0)] = len(self.known) + np.arange(len(new))
-        self.met[at[at < len(self.known)]] = True
+        # A dictionary that lives on: a search in an array would hash all known words each time.
+        at = np.fromiter(map(self.number.get, strings(words), repeat(-1)), np.int64, len(words))
+        missing = at < 0
+        self.met[at[~missing]] = True
+        new = words.filter(pa.array(missing))
         if len(new):
+            at[missing] = len(self.known) + np.arange(len(new))
             plain = pc.match_substring_regex(new, f"^{LETTER}+$")
             letters, others = new.filter(plain), new.filter(pc.invert(plain))
             order = np.argsort(~plain.to_numpy(zero_copy_only=False), kind="stable")
@@ -132,6 +144,7 @@ class WordTokenizer:
             first[order] = np.cumsum(size[order]) - size[order] + len(self.all_ids)
             self.all_ids = np.concatenate([self.all_ids, *(ids for ids, _ in found)])
             self.first, self.size = np.concatenate((self.first, first)), np.concatenate((self.size, size))
+            self.number.update(zip(strings(new), at[missing].tolist()))
             self.known = pa.concat_arrays([self.known, new])
             self.met = np.concatenate((self.met, np.zeros(len(new), bool)))
         return at
@@ -142,9 +155,10 @@ class WordTokenizer:
         alone make its ids."""
         if self.model is None:
             self.load()
-        spelt = (w.lower() if w.isascii() else w.lower().translate(self.spelling)
-                 for w in words.to_numpy(zero_copy_only=False).tolist())
-        ids = np.fromiter((t.id for t in chain.from_iterable(map(self.model.model.tokenize, spelt))), "<u4")
+        lower = "\n".join(strings(words)).lower().encode()
+        spelt = codecs.charmap_decode(lower, "strict", self.spelling)[0].split("\n")
+        tokenize = self.model.model.tokenize
+        ids = np.array([t.id for w in spelt for t in tokenize(w)], "<u4")
         return ids, np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
 
     def encode_words(self, words: pa.StringArray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -171,13 +185,16 @@ class WordTokenizer:
         docs = pc.ascii_split_whitespace(pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts)))
         words = docs.flatten().dictionary_encode()
         parts = pa.concat_arrays(cut_marks(words.dictionary)).dictionary_encode()
-        # Each word as its number without marks and that of its marks.
+        # Each word as its number without marks and that of its marks; then the texts' words.
         at = self.numbers(parts.dictionary)[parts.indices.to_numpy()].reshape(2, -1).T
-        at = at[words.indices.to_numpy()]
-        ids = self.all_ids[spans(self.first[at.ravel()], self.size[at.ravel()])].tobytes()
-        ends = np.concatenate(([0], np.cumsum(self.size[at].sum(1))))[docs.offsets.to_numpy()] * 4
-        for start, end in zip(ends[:-1].tolist(), ends[1:].tolist()):
-            yield ids[start:end]
+        own = self.all_ids[spans(self.first[at.ravel()], self.size[at.ravel()])]
+        ends = 4 * np.concatenate(([0], np.cumsum(self.size[at].sum(1))))
+        own = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(ends), pa.py_buffer(own)])
+        _, ends, ids = own.take(words.indices).buffers()
+        ends = np.frombuffer(ends, np.int64)[docs.offsets.to_numpy()].tolist()
+        ids = memoryview(ids or b"")
+        for start, end in zip(ends[:-1], ends[1:]):
+            yield bytes(ids[start:end])
 
 
 def chunks(texts: list[bytes]) -> Iterator[list[bytes]]:

@@ -148,6 +148,32 @@ def test_a_worker_forgets_words_and_stays_right(monkeypatch, cache):
         assert len(words.known) == len(words.first) == len(words.size) == len(words.met)
 
 
+def test_a_batch_looks_each_word_up_once(monkeypatch):
+    from tokenizers import Tokenizer
+    model = Tokenizer.from_file(packing.tokenizer_path())
+    known = packing.WordTokenizer(packing.tokenizer_path())
+    looked, numbers = [], known.numbers
+    monkeypatch.setattr(known, "numbers", lambda words: (looked.extend(words.to_pylist()), numbers(words))[1])
+    # A search in an array hashes all known words each time.
+    monkeypatch.setattr(packing.pc, "index_in", lambda *a, **k: pytest.fail("known words are hashed again"))
+    texts = [" ".join(f"{'\u00c9b' * (k % 5)}word{'abcdefghij'[k % 10]}{'xyz' * (j % 7)}" for j in range(k, k + 150)) for k in range(SLICE_ROWS)]
+    got = [ids for part in packing.chunks([t.encode() for t in texts]) for ids in known.ids(part)]
+    assert sum(map(len, texts)) > 1_000_000 and len(looked) == len(set(looked)) > 50
+    for k in range(0, SLICE_ROWS, 37):
+        assert np.frombuffer(got[k], "<u4").tolist() == model.encode(texts[k], add_special_tokens=False).ids
+    assert known.number == {w: i for i, w in enumerate(known.known.to_pylist())}
+    known.keep_met()
+    assert known.number == {w: i for i, w in enumerate(known.known.to_pylist())}
+
+
+@pytest.mark.parametrize("texts", [[], [""], ["", " \n\t", ""], ["", "1", "!"], ["\u00c9\u00ff \u00b5\u00aa\u00ba\u00df"]])
+def test_texts_without_words_or_without_letters(texts):
+    from tokenizers import Tokenizer
+    model = Tokenizer.from_file(packing.tokenizer_path())
+    got = packing.WordTokenizer(packing.tokenizer_path()).ids([t.encode() for t in texts])
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [model.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_a_worker_gives_memory_back_after_a_task(monkeypatch):
     import pyarrow as pa
     from meterline.llm.common import SLICE_ROWS, map_rows
